@@ -11,11 +11,11 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagweave.functions.orderstats import exact_quantiles, n50_inclusive
-from tagweave.functions.scans import dense_ids, ordered_scan, prior_max, running_max
+from tagweave.functions.scans import BUCKET, dense_ids
 from tagweave.session import checkpointed
 
 # Tolerated overlap (bp) between neighbouring reads of one molecule, by library.
@@ -45,29 +45,72 @@ def analyzable(min_mapq: int = 0, barcode: str = "bx") -> Column:
     )
 
 
-def permissive_sessions(reads: DataFrame, keys: Sequence[str], window: int | None) -> DataFrame:
-    """(keys, start) -> ``mol_start``, read count and newly covered bases; every overlap is fine.
+def _local_sessions(reads: DataFrame, keys: list[str], window: int | None) -> DataFrame:
+    """(keys, bucket, start) -> ``local_start``, the first position of its session in that bucket.
 
-    Reads sharing a start always share a molecule, so they are collapsed before any shuffle by
-    position; the molecule of a position is the last position that opened one.
+    Reads are cut at bucket borders, so coverage adds up over buckets and no bucket needs to know
+    how far reads of the one before reach. Pieces sharing a start always share a session and are
+    collapsed before the shuffle by bucket: a (keys, bucket) group holds at most one row a position.
     """
-    keys = list(keys)
-    positions = reads.groupBy(*keys, "start").agg(F.max("end").alias("end"), F.count(F.lit(1)).alias("reads"))
-    scanned = ordered_scan(
-        positions, keys, "start", SCAN_WIDTH, keep_bucket=True, prior_end=prior_max(F.col("end"))
+    width = F.lit(SCAN_WIDTH)
+    first, last = F.floor(F.col("start") / width), F.floor(F.greatest(F.col("start"), F.col("end") - 1) / width)
+    pieces = reads.select(*keys, "start", "end", first.alias("_first"), F.explode(F.sequence(first, last)).alias(BUCKET))
+    positions = (
+        pieces.select(
+            *keys,
+            BUCKET,
+            F.greatest("start", F.col(BUCKET) * width).alias("start"),
+            F.least("end", (F.col(BUCKET) + 1) * width).alias("end"),
+            (F.col(BUCKET) == F.col("_first")).cast("long").alias("reads"),
+        )
+        .groupBy(*keys, BUCKET, "start")
+        .agg(F.max("end").alias("end"), F.sum("reads").alias("reads"))
+    )
+    within = Window.partitionBy(*keys, BUCKET).orderBy("start")
+    prior = F.max("end").over(within.rowsBetween(Window.unboundedPreceding, -1))
+    opens = _opens(F.col("_prior"), window)
+    return (
+        positions.withColumn("_prior", prior)
+        .withColumn("covered", F.greatest(F.col("end") - F.greatest("start", "_prior"), F.lit(0)))
+        .withColumn("local_start", F.max(F.when(opens, F.col("start"))).over(within))
+        .drop("_prior")
     )
-    opens = F.col("prior_end").isNull()
-    if window is not None:
-        opens = opens | (F.col("prior_end") + F.lit(window) < F.col("start"))
-    covered = F.when(opens, F.col("end") - F.col("start")).otherwise(
-        F.greatest(F.col("end") - F.greatest("start", "prior_end"), F.lit(0))
+
+
+def _opens(prior: Column, window: int | None) -> Column:
+    return prior.isNull() if window is None else prior.isNull() | (prior + F.lit(window) < F.col("start"))
+
+
+def _joined_sessions(local: DataFrame, keys: list[str], window: int | None) -> DataFrame:
+    """Bucket-local sessions with the ``mol_start`` they belong to.
+
+    Sessions of a key are more than ``window`` apart but for bucket borders, so this window sees at
+    most range / window + range / bucket width rows, whatever the number of reads.
+    """
+    partial = local.groupBy(*keys, BUCKET, F.col("local_start").alias("start")).agg(
+        F.max("end").alias("end"), F.sum("reads").alias("reads"), F.sum("covered").alias("covered")
     )
-    flagged = scanned.withColumn("covered", covered).withColumn("_open", F.when(opens, F.col("start")))
-    return ordered_scan(flagged, keys, "start", SCAN_WIDTH, mol_start=running_max(F.col("_open"))).select(
-        *keys, "start", "end", "reads", "covered", "mol_start"
+    across = Window.partitionBy(*keys).orderBy("start")
+    prior = F.max("end").over(across.rowsBetween(Window.unboundedPreceding, -1))
+    return partial.withColumn("_prior", prior).withColumn(
+        "mol_start", F.max(F.when(_opens(F.col("_prior"), window), F.col("start"))).over(across)
     )
 
 
+def permissive_sessions(reads: DataFrame, keys: Sequence[str], window: int | None) -> DataFrame:
+    """Session pieces (``end, reads, covered, mol_start``) when every overlap is acceptable."""
+    return _joined_sessions(_local_sessions(reads, list(keys), window), list(keys), window)
+
+
+def permissive_placements(reads: DataFrame, keys: Sequence[str], window: int | None) -> DataFrame:
+    """(keys, start) -> ``mol_start`` when every overlap is acceptable."""
+    keys = list(keys)
+    local = _local_sessions(reads, keys, window)
+    joined = _joined_sessions(local, keys, window).select(*keys, BUCKET, F.col("start").alias("local_start"), "mol_start")
+    starts = local.where(F.col("reads") > 0).select(*keys, BUCKET, "start", "local_start")
+    return starts.join(joined, [*keys, BUCKET, "local_start"]).select(*keys, "start", "mol_start")
+
+
 def _fold(rows: pd.DataFrame, keys: list[str], window: int | None, band, state: dict | None) -> dict:
     """Walk sorted rows once; fills ``mol_start`` (None when refused) and ``covered``."""
     low, high = band
@@ -224,7 +267,7 @@ def place_reads(
     band = TOLERATED_OVERLAP[library_type]
     if band is None:
         on = [*keys, "start"]
-        return reads.join(permissive_sessions(reads, keys, window).select(*on, "mol_start"), on, "left")
+        return reads.join(permissive_placements(reads, keys, window), on, "left")
     on = [*keys, "start", "end", "qname"]
     return reads.join(strict_placements(reads, keys, window, band).select(*on, "mol_start"), on, "left")
 
@@ -327,20 +370,19 @@ def without_barcodes(molecules: DataFrame, barcodes: DataFrame, barcode: str = "
 def molecule_summary(molecules: DataFrame) -> DataFrame:
     """One row: fragment N50, mean / median / longest length, mean / median read coverage in percent."""
     coverage = F.try_divide(F.lit(100.0) * F.col("BpCovered"), F.col("Length"))
-    rated = molecules.withColumn("coverage", coverage)
-    plain = rated.agg(
+    rated = checkpointed(molecules.select("Length", coverage.alias("coverage")))
+    one = F.lit(1).alias("_one")
+    summary = rated.agg(
         F.count(F.lit(1)).alias("molecules"),
         F.avg("Length").alias("mean_length"),
         F.max("Length").alias("longest"),
         F.avg("coverage").alias("mean_coverage"),
-    )
-    one = F.lit(1).alias("_one")
+    ).select(one, "*")
     parts = [
         n50_inclusive(rated, "Length").select(one, F.col("n50").alias("n50_length")),
         exact_quantiles(rated, "Length", {"median_length": 0.5}).select(one, "median_length"),
         exact_quantiles(rated, "coverage", {"median_coverage": 0.5}, width=0.01).select(one, "median_coverage"),
     ]
-    summary = plain.select(one, "*")
     for part in parts:
-        summary = summary.join(part, "_one")
+        summary = summary.join(F.broadcast(part), "_one")
     return summary.drop("_one")

@@ -177,5 +177,5 @@ def molecule_numbering(spark, sf_dir):
         mol.build_molecules(event_reads(spark, sf_dir), "10x", WINDOW, MIN_READS, MIN_MAPQ)
     )
     bed = molecule_bed(molecules)
-    span = bed.agg((F.max("MoleculeID") - F.min("MoleculeID") + 1).alias("molecules"))
-    return bed.join(F.broadcast(span)).select("Chromosome", "Barcode", "StartPosition", "molecules", "Info")
+    span = bed.agg(F.max("MoleculeID") - F.min("MoleculeID") + 1).scalar()
+    return bed.select("Chromosome", "Barcode", "StartPosition", span.alias("molecules"), "Info")

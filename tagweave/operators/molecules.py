@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tagweave.functions.orderstats import exact_quantiles, n50_inclusive
 from tagweave.functions.scans import BUCKET, dense_ids
+from tagweave.operators.statistics import side_by_side
 from tagweave.session import checkpointed
 
 # Tolerated overlap (bp) between neighbouring reads of one molecule, by library.
@@ -371,18 +372,15 @@ def molecule_summary(molecules: DataFrame) -> DataFrame:
     """One row: fragment N50, mean / median / longest length, mean / median read coverage in percent."""
     coverage = F.try_divide(F.lit(100.0) * F.col("BpCovered"), F.col("Length"))
     rated = checkpointed(molecules.select("Length", coverage.alias("coverage")))
-    one = F.lit(1).alias("_one")
-    summary = rated.agg(
+    main = rated.agg(
         F.count(F.lit(1)).alias("molecules"),
         F.avg("Length").alias("mean_length"),
         F.max("Length").alias("longest"),
         F.avg("coverage").alias("mean_coverage"),
-    ).select(one, "*")
-    parts = [
-        n50_inclusive(rated, "Length").select(one, F.col("n50").alias("n50_length")),
-        exact_quantiles(rated, "Length", {"median_length": 0.5}).select(one, "median_length"),
-        exact_quantiles(rated, "coverage", {"median_coverage": 0.5}, width=0.01).select(one, "median_coverage"),
-    ]
-    for part in parts:
-        summary = summary.join(F.broadcast(part), "_one")
-    return summary.drop("_one")
+    )
+    return side_by_side(
+        main,
+        n50_inclusive(rated, "Length").withColumnRenamed("n50", "n50_length"),
+        exact_quantiles(rated, "Length", {"median_length": 0.5}),
+        exact_quantiles(rated, "coverage", {"median_coverage": 0.5}, width=0.01),
+    )

@@ -105,14 +105,16 @@ def block_rows(variants: DataFrame, indels: bool = False) -> DataFrame:
 
     Variants without a phase set form one block, which is left out on chromosomes that have others.
     """
-    rows = index_variants(variants).where(heterozygous(indels) & F.col("phased")).select(
-        "chrom",
-        F.coalesce("ps", F.lit(NO_PHASE_SET)).cast("long").alias("ps"),
-        "idx",
-        "pos",
-        F.element_at("gt", 1).alias("g0"),
-        F.element_at("gt", 2).alias("g1"),
-        alleles().alias("alleles"),
+    rows = checkpointed(
+        index_variants(variants).where(heterozygous(indels) & F.col("phased")).select(
+            "chrom",
+            F.coalesce("ps", F.lit(NO_PHASE_SET)).cast("long").alias("ps"),
+            "idx",
+            "pos",
+            F.element_at("gt", 1).alias("g0"),
+            F.element_at("gt", 2).alias("g1"),
+            alleles().alias("alleles"),
+        )
     )
     blocks = rows.groupBy("chrom", "ps").agg(F.count(F.lit(1)).alias("n"))
     sets = blocks.groupBy("chrom").agg(F.count(F.lit(1)).alias("sets"))

@@ -70,11 +70,11 @@ def coverage_histogram(df: DataFrame, covered: str, length: str) -> DataFrame:
 def count_histogram(df: DataFrame, value: str, width: int = 2, drop_even_maximum: bool = False) -> DataFrame:
     """Rows per left-closed bin. ``drop_even_maximum`` repeats the original script's edge: bins that
     end exactly at the maximum leave that maximum out."""
-    counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_rows"))
     if drop_even_maximum:
         top = df.agg(F.max(value)).scalar()
         counts = counts.where((F.col(value) % width != 0) | (F.col(value) != top))
-    return counts.groupBy(left_closed_bin(F.col(value), width).alias("Bin")).agg(F.sum("n").alias("Count"))
+    return counts.groupBy(left_closed_bin(F.col(value), width).alias("Bin")).agg(F.sum("_rows").alias("Count"))
 
 
 def bin_sums(df: DataFrame, value: str, width: int = 2000, normalize: bool = False) -> DataFrame:

@@ -5,11 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagweave.sources.lines import numbered_lines
-
-
-def _fields(column: str = "line") -> Column:
-    return F.split(column, "\t")
+from tagweave.sources.lines import split_fields
 
 
 def reference_length(cigar: Column) -> Column:
@@ -23,12 +19,13 @@ def parse_sam(lines: DataFrame) -> DataFrame:
 
     All other tags stay in the map ``tags`` (tag -> TYPE:value).
     """
-    f = _fields()
+    f = F.col("f")
     tag_items = F.slice(f, F.lit(12), F.greatest(F.size(f) - 11, F.lit(0)))
     tags = F.map_from_entries(
         F.transform(tag_items, lambda t: F.struct(F.substring(t, 1, 2).alias("key"), F.substring(t, F.lit(4), F.length(t)).alias("value")))
     )
-    rows = lines.where(~F.col("line").startswith("@")).select(f.alias("f"), tags.alias("tags"))
+    fields = split_fields(lines.where(~F.col("line").startswith("@")))
+    rows = fields.select(F.explode(F.array(F.struct("f", tags.alias("tags")))).alias("_r")).select("_r.f", "_r.tags")
 
     def tag(name: str) -> Column:
         value = F.try_element_at("tags", F.lit(name))
@@ -99,7 +96,7 @@ def unmapped() -> Column:
 def parse_vcf(lines: DataFrame) -> DataFrame:
     """Single-sample variants: 0-based ``pos``, genotype, phase set, filters and an INFO map."""
     f = F.col("f")
-    rows = lines.where(~F.col("line").startswith("#") & (F.col("line") != "")).select(_fields().alias("f"))
+    rows = split_fields(lines.where(~F.col("line").startswith("#") & (F.col("line") != "")))
     keys, values = F.split(f[8], ":"), F.split(f[9], ":")
 
     def sample(name: str) -> Column:
@@ -143,21 +140,21 @@ def vcf_contig_lengths(lines: DataFrame) -> DataFrame:
 
 def parse_fai(lines: DataFrame) -> DataFrame:
     """(name, length) of a FASTA index; blank lines are skipped."""
-    f = _fields()
-    return lines.where(F.trim("line") != "").select(f[0].alias("name"), f[1].cast("long").alias("length"))
+    f = F.col("f")
+    return split_fields(lines.where(F.trim("line") != "")).select(f[0].alias("name"), f[1].cast("long").alias("length"))
 
 
 def parse_bed(lines: DataFrame) -> DataFrame:
     """(chrom, start, end) of BED text."""
-    f = _fields()
+    f = F.col("f")
     kept = lines.where((F.trim("line") != "") & ~F.col("line").rlike("^(#|track|browser)"))
-    return kept.select(f[0].alias("chrom"), f[1].cast("long").alias("start"), f[2].cast("long").alias("end"))
+    return split_fields(kept).select(f[0].alias("chrom"), f[1].cast("long").alias("start"), f[2].cast("long").alias("end"))
 
 
 def parse_sv_calls(lines: DataFrame) -> DataFrame:
     """Structural variant calls of a ten-column table whose header starts with Chr1."""
     f = F.col("f")
-    rows = lines.where(~F.col("line").startswith("Chr1") & (F.trim("line") != "")).select(F.split(F.trim("line"), "\t").alias("f"))
+    rows = split_fields(lines.where(~F.col("line").startswith("Chr1") & (F.trim("line") != "")), trim=True)
     return rows.select(
         f[0].alias("chr1"),
         f[1].cast("long").alias("break1"),
@@ -175,7 +172,7 @@ def parse_sv_calls(lines: DataFrame) -> DataFrame:
 def parse_gfa_gaps(lines: DataFrame) -> DataFrame:
     """(gid, left, left_orient, right, right_orient, distance) of GFA gap lines."""
     f = F.col("f")
-    rows = lines.where(F.col("line").startswith("G\t")).select(_fields().alias("f"))
+    rows = split_fields(lines.where(F.col("line").startswith("G\t")))
 
     def bare(i: int) -> Column:
         return F.regexp_extract(f[i], r"^(.*?)[+-]?$", 1)

@@ -48,3 +48,12 @@ def carried_section(lines: DataFrame, is_header, name, default: str, keys: Seque
     marked = F.when(is_header, F.struct(F.col("line_no").alias("_at"), name.alias("_name")))
     scanned = ordered_scan(lines, keys, "line_no", LINE_WIDTH, _section=running_max(marked))
     return scanned.withColumn("section", F.coalesce("_section._name", F.lit(default))).drop("_section")
+
+
+def split_fields(lines: DataFrame, trim: bool = False) -> DataFrame:
+    """One column ``f``: the tab-separated fields of each line.
+
+    The one-element explode keeps the optimizer from copying the split into every later use of it.
+    """
+    text = F.trim("line") if trim else F.col("line")
+    return lines.select(F.explode(F.array(F.split(text, "\t"))).alias("f"))

@@ -326,18 +326,8 @@ def molecule_table(molecules: DataFrame) -> DataFrame:
     )
 
 
-def tag_reads(
-    reads: DataFrame,
-    library_type: str = "dbs",
-    window: int = DEFAULT_WINDOW,
-    min_reads: int = DEFAULT_MIN_READS,
-    min_mapq: int = 0,
-) -> DataFrame:
-    """All reads with the molecule of their *name*: ``mi`` is its start, -1 when there is none.
-
-    A name met in several molecules takes the last one by (chromosome, end, start, barcode). Reads
-    left out of molecule building (duplicates, unmapped) still receive the tag of their name.
-    """
+def _name_tags(reads: DataFrame, library_type: str, window: int, min_reads: int, min_mapq: int) -> DataFrame:
+    """(qname, last): the last kept molecule of each name by (chromosome, end, start, barcode)."""
     placed = place_reads(reads.where(analyzable(min_mapq)), library_type, window).where(F.col("mol_start").isNotNull())
     per_name = placed.groupBy("rname", "bx", "mol_start", "qname").agg(
         F.count(F.lit(1)).alias("n"), F.max("end").alias("end")
@@ -347,13 +337,48 @@ def tag_reads(
         .agg(F.sum("n").alias("n"), F.max("end").alias("mol_end"))
         .where(F.col("n") >= min_reads)
     )
-    tags = (
+    return (
         per_name.drop("n", "end")
         .join(kept.drop("n"), ["rname", "bx", "mol_start"])
         .groupBy("qname")
         .agg(F.max(F.struct("rname", "mol_end", "mol_start", "bx")).alias("last"))
-        .select("qname", F.col("last.mol_start").alias("mi"))
     )
+
+
+def tag_reads(
+    reads: DataFrame,
+    library_type: str = "dbs",
+    window: int = DEFAULT_WINDOW,
+    min_reads: int = DEFAULT_MIN_READS,
+    min_mapq: int = 0,
+) -> DataFrame:
+    """All reads with the molecule of their *name*: ``mi`` is its start, -1 when there is none.
+
+    A name met in several molecules takes the last one by (chromosome, end, start, barcode). Reads
+    left out of molecule building (duplicates, unmapped) still receive the tag of their name.
+    """
+    last = _name_tags(reads, library_type, window, min_reads, min_mapq)
+    tags = last.select("qname", F.col("last.mol_start").alias("mi"))
+    return reads.drop("mi").join(tags, "qname", "left").withColumn("mi", F.coalesce("mi", F.lit(NO_MOLECULE)))
+
+
+def number_reads(
+    reads: DataFrame,
+    table: DataFrame,
+    library_type: str = "dbs",
+    window: int = DEFAULT_WINDOW,
+    min_reads: int = DEFAULT_MIN_READS,
+    min_mapq: int = 0,
+) -> DataFrame:
+    """Like :func:`tag_reads`, with ``mi`` the ``MoleculeID`` of a molecule table."""
+    last = _name_tags(reads, library_type, window, min_reads, min_mapq).select(
+        "qname",
+        F.col("last.rname").alias("Chromosome"),
+        F.col("last.bx").alias("Barcode"),
+        F.col("last.mol_start").alias("StartPosition"),
+    )
+    on = ["Chromosome", "Barcode", "StartPosition"]
+    tags = last.join(table.select(*on, F.col("MoleculeID").alias("mi")), on).select("qname", "mi")
     return reads.drop("mi").join(tags, "qname", "left").withColumn("mi", F.coalesce("mi", F.lit(NO_MOLECULE)))
 
 

@@ -14,8 +14,9 @@ from tagweave.sources import genomics, lines, reports, sequences
 CATALOG = Catalog()
 
 
-def spelled(rows, key: str, parts, path=F.lit("f")):
+def spelled(rows, key: str, parts, path=None):
     """Numbered lines: each row contributes ``parts``, ordered by its integer ``key``."""
+    path = F.lit("f") if path is None else path
     each = rows.select(path.alias("path"), F.col(key).alias("_k"), F.posexplode(F.array(*parts)).alias("_i", "line"))
     return each.select("path", (F.col("_k") * len(parts) + F.col("_i")).alias("line_no"), "line")
 

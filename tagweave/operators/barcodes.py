@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tagweave.functions import dna
 from tagweave.functions.scans import ordered_scan, row_index, running_sum
+from tagweave.functions.skew import lookup
 from tagweave.session import checkpointed
 
 # Read mappers and how they want barcodes: sorted by barcode, or only named in the header.
@@ -167,7 +168,7 @@ def attach_barcodes(reads: DataFrame, raw_barcodes: DataFrame, clusters: DataFra
     ``raw_barcodes`` holds (read_name, raw_barcode). The raw barcode is corrected before the reads
     are touched, so the wide read table is shuffled once.
     """
-    corrected = raw_barcodes.join(barcode_map(clusters), "raw_barcode", "left").select(
+    corrected = lookup(raw_barcodes, barcode_map(clusters), "raw_barcode").select(
         F.substring_index("read_name", " ", 1).alias("_key"), "raw_barcode", "barcode"
     )
     keyed = reads.withColumn("_key", F.substring_index("name", " ", 1))

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagweave.functions.skew import lookup
 from tagweave.session import checkpointed
 
 
@@ -60,5 +61,5 @@ def retag(reads: DataFrame, labels: DataFrame, barcode: str = "bx") -> DataFrame
     """Replace barcodes by their component label; unknown and missing barcodes stay."""
     merges = labels.where("node <> label").select(F.col("node").alias(barcode), F.col("label").alias("_label"))
     columns = reads.columns
-    joined = reads.join(merges, barcode, "left").withColumn(barcode, F.coalesce("_label", barcode))
+    joined = lookup(reads, merges, barcode).withColumn(barcode, F.coalesce("_label", barcode))
     return joined.select(*columns)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tagweave.functions.orderstats import exact_quantiles
 from tagweave.functions.scans import ordered_scan, previous, prior_max, row_index
+from tagweave.functions.skew import lookup
 from tagweave.operators.molecules import TOLERATED_OVERLAP, permissive_sessions
 from tagweave.session import checkpointed
 
@@ -75,7 +76,8 @@ def seed_positions(pairs: DataFrame, quantile: float = 0.99, minimum: int = 6, b
     limits = coverage_threshold(positions, quantile, minimum)
     kept = positions.join(limits, "rname").where("barcodes < threshold").select(*POSITION)
     rows = pairs.where(F.col(barcode).isNotNull()).select(*POSITION, F.col(barcode).alias("bx")).distinct()
-    return rows.join(kept, POSITION, "left_semi")
+    found = lookup(rows, kept.withColumn("_kept", F.lit(True)), POSITION)
+    return found.where(F.col("_kept")).drop("_kept")
 
 
 def shared_pairs(seeds: DataFrame) -> DataFrame:
@@ -144,7 +146,6 @@ def mark_duplicates(reads: DataFrame, keys: Sequence[str], quality: str, name: s
     The best read is found by a partial aggregate; reads then look it up.
     """
     keys = list(keys)
-    best = reads.groupBy(*keys).agg(F.max(quality).alias("_q"))
-    tied = reads.join(best, keys).where(F.col(quality) == F.col("_q"))
-    keep = tied.groupBy(*keys).agg(F.min(name).alias("_keep"))
-    return reads.join(keep, keys).withColumn("is_duplicate", F.col(name) != F.col("_keep")).drop("_keep")
+    best = F.min(F.struct((-F.col(quality)).alias("q"), F.col(name).alias("name")))
+    keep = reads.groupBy(*keys).agg(best.alias("_best")).select(*keys, F.col("_best.name").alias("_keep"))
+    return lookup(reads, keep, keys).withColumn("is_duplicate", F.col(name) != F.col("_keep")).drop("_keep")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tagweave.functions.orderstats import exact_quantiles, n50_inclusive
 from tagweave.functions.scans import BUCKET, dense_ids
+from tagweave.functions.skew import lookup
 from tagweave.operators.statistics import side_by_side
 from tagweave.session import checkpointed
 
@@ -268,9 +269,9 @@ def place_reads(
     band = TOLERATED_OVERLAP[library_type]
     if band is None:
         on = [*keys, "start"]
-        return reads.join(permissive_placements(reads, keys, window), on, "left")
+        return lookup(reads, permissive_placements(reads, keys, window), on)
     on = [*keys, "start", "end", "qname"]
-    return reads.join(strict_placements(reads, keys, window, band).select(*on, "mol_start"), on, "left")
+    return lookup(reads, strict_placements(reads, keys, window, band).select(*on, "mol_start"), on)
 
 
 def build_molecules(
@@ -390,7 +391,8 @@ def crowded_barcodes(molecules: DataFrame, max_molecules: int, barcode: str = "b
 
 def without_barcodes(molecules: DataFrame, barcodes: DataFrame, barcode: str = "bx") -> DataFrame:
     """Anti join of molecules (or reads) against a barcode list."""
-    return molecules.join(barcodes.select(barcode).distinct(), barcode, "left_anti")
+    listed = barcodes.select(barcode).distinct().withColumn("_listed", F.lit(True))
+    return lookup(molecules, listed, barcode).where(F.col("_listed").isNull()).drop("_listed")
 
 
 def molecule_summary(molecules: DataFrame) -> DataFrame:

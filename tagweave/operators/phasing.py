@@ -26,6 +26,7 @@ from tagweave.functions.scans import (
     running_max,
     total_sum,
 )
+from tagweave.functions.skew import lookup
 from tagweave.operators.variants import block_spans
 from tagweave.session import checkpointed
 
@@ -125,7 +126,7 @@ def compare_phasings(asm: DataFrame, ref: DataFrame) -> tuple[DataFrame, DataFra
             before=previous(F.struct("x0", "pos", "idx")),
         ).withColumn("flip", F.coalesce(F.col("x0") != F.col("before.x0"), F.lit(False)))
     )
-    runs = ordered_scan(
+    scanned = ordered_scan(
         usable,
         PAIR,
         "idx",
@@ -133,7 +134,8 @@ def compare_phasings(asm: DataFrame, ref: DataFrame) -> tuple[DataFrame, DataFra
         calm=running_max(F.when(~F.col("flip"), F.col("at"))),
         next_flip=following(F.col("flip")),
         before2=previous(F.col("before")),
-    ).join(parity, PAIR)
+    )
+    runs = lookup(scanned, checkpointed(parity), PAIR)
     judged = checkpointed(runs.withColumn("kind0", _error_kind("odd0")).withColumn("kind1", _error_kind("odd1")))
 
     def errors(kind: str, which: str) -> Column:
@@ -159,7 +161,7 @@ def compare_phasings(asm: DataFrame, ref: DataFrame) -> tuple[DataFrame, DataFra
         )
     )
     kind = F.when(F.col("first_allele"), F.col("kind0")).otherwise(F.col("kind1"))
-    marked = judged.join(pairs.select(*PAIR, "first_allele"), PAIR).withColumn("kind", kind)
+    marked = lookup(judged, pairs.select(*PAIR, "first_allele"), PAIR).withColumn("kind", kind)
     place = F.struct("at", "pos", "idx")
     cut = ordered_scan(
         marked, PAIR, "idx", WIDTH, since=prior_max(F.when(F.col("kind").isNotNull() | (F.col("at") == 1), place))

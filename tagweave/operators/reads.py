@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagweave.functions.dna import is_dna
+from tagweave.functions.skew import lookup
 
 UNDERLINED = r"_[A-Z]{2}:[AifZHB]:.*(_|$)"
 TRAILING_BARCODE = r":[ATGC]{17,}$"
@@ -67,8 +68,8 @@ def tags_from_names(
 
 def strip_barcodes(reads: DataFrame, barcodes: DataFrame, barcode_tag: str = "bx", tags: Sequence[str] = ("bx", "mi")) -> DataFrame:
     """Reads of listed barcodes keep their place but lose barcode and molecule; names say so."""
-    listed = barcodes.select(F.col(barcode_tag), F.lit(True).alias("_listed")).distinct()
-    joined = reads.join(listed, barcode_tag, "left")
+    listed = barcodes.select(barcode_tag).distinct().withColumn("_listed", F.lit(True))
+    joined = lookup(reads, listed, barcode_tag)
     hit = F.coalesce("_listed", F.lit(False))
     cleared = {tag: F.when(~hit, F.col(tag)) for tag in tags}
     columns = reads.columns

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagweave.functions.orderstats import exact_quantiles, n50_inclusive, ranked_totals
+from tagweave.functions.skew import lookup
 from tagweave.session import checkpointed
 
 
@@ -132,8 +133,9 @@ def value_counts(df: DataFrame, tag: str, values: DataFrame) -> DataFrame:
 
 def rows_with_values(df: DataFrame, tag: str, values: DataFrame) -> DataFrame:
     """Rows whose tag is one of the requested values."""
-    keyed = values.select(F.col("value").alias("_value")).distinct()
-    return df.join(keyed, F.col(tag).cast("string") == F.col("_value"), "left_semi")
+    keyed = values.select(F.col("value").alias("_value")).distinct().withColumn("_wanted_value", F.lit(True))
+    found = lookup(df.withColumn("_value", F.col(tag).cast("string")), keyed, "_value")
+    return found.where(F.col("_wanted_value")).select(*df.columns)
 
 
 def counters(df: DataFrame, conditions: dict[str, Column]) -> DataFrame:

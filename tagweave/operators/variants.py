@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tagweave.functions.orderstats import exact_quantiles
 from tagweave.functions.scans import ordered_scan, running_sum
+from tagweave.functions.skew import lookup
 from tagweave.session import checkpointed
 
 INDEX_WIDTH = 1 << 20
@@ -121,7 +122,8 @@ def block_rows(variants: DataFrame, indels: bool = False) -> DataFrame:
     kept = blocks.join(sets, "chrom").where(
         (F.col("n") > 1) & ((F.col("ps") != NO_PHASE_SET) | (F.col("sets") == 1))
     )
-    return rows.join(kept.select("chrom", "ps"), ["chrom", "ps"], "left_semi")
+    flagged = lookup(rows, kept.select("chrom", "ps", F.lit(True).alias("_kept")), ["chrom", "ps"])
+    return flagged.where(F.col("_kept")).drop("_kept")
 
 
 def block_spans(rows: DataFrame) -> DataFrame:

@@ -49,8 +49,9 @@ def reverse_complement(column: Column) -> Column:
 
 
 def base4(number: Column, length: int, bases: str = "ACGT") -> Column:
-    """A number written with four bases as digits, most significant first."""
-    return F.translate(F.lpad(F.conv(number.cast("string"), 10, 4), length, "0"), "0123", bases)
+    """The last ``length`` base-4 digits of a number, written with four bases."""
+    digits = F.concat(F.lit("0" * length), F.conv(number.cast("string"), 10, 4))
+    return F.translate(F.right(digits, F.lit(length)), "0123", bases)
 
 
 def generated_barcode(rank: Column, length: int = 16) -> Column:

@@ -96,8 +96,10 @@ def unmapped() -> Column:
 def parse_vcf(lines: DataFrame) -> DataFrame:
     """Single-sample variants: 0-based ``pos``, genotype, phase set, filters and an INFO map."""
     f = F.col("f")
-    rows = split_fields(lines.where(~F.col("line").startswith("#") & (F.col("line") != "")))
-    keys, values = F.split(f[8], ":"), F.split(f[9], ":")
+    fields = split_fields(lines.where(~F.col("line").startswith("#") & (F.col("line") != "")))
+    parts = F.struct("f", F.split(f[8], ":").alias("keys"), F.split(f[9], ":").alias("values"))
+    rows = fields.select(F.explode(F.array(parts)).alias("_r")).select("_r.f", "_r.keys", "_r.values")
+    keys, values = F.col("keys"), F.col("values")
 
     def sample(name: str) -> Column:
         return F.nullif(F.try_element_at(values, F.array_position(keys, name).cast("int")), F.lit("."))

@@ -11,9 +11,15 @@ from tagweave.functions.skew import lookup
 from tagweave.session import checkpointed
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-    return row["n"], row["h"]
+def _settled(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges, materialised, with their fingerprint."""
+    saved = checkpointed(edges)
+    row = saved.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
+    return saved, (row["n"], row["h"])
+
+
+def _star_round(edges: DataFrame) -> DataFrame:
+    return _small_star(_large_star(edges)).distinct()
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -40,11 +46,9 @@ def connected_components(edges: DataFrame, left: str = "src", right: str = "dst"
     """
     named = edges.select(F.col(left).alias("a"), F.col(right).alias("b"))
     nodes = named.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    stars = checkpointed(named.where("a <> b").distinct())
-    seen = _fingerprint(stars)
+    stars, seen = _settled(_star_round(named.where("a <> b").distinct()))
     while True:
-        stars = checkpointed(_small_star(_large_star(stars).distinct()).distinct())
-        now = _fingerprint(stars)
+        stars, now = _settled(_star_round(stars))
         if now == seen:
             break
         seen = now

@@ -161,11 +161,11 @@ def strict_placements(
     keys = list(keys)
     order = [*keys, "start", "end", "qname"]
     spark = reads.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     distinct = reads.groupBy(*order).agg(F.count(F.lit(1)).alias("reads"))
+    # Without a number, small neighbouring ranges are merged at run time; the order is kept.
+    ranged = distinct.repartitionByRange(partitions, *order) if partitions else distinct.repartitionByRange(*order)
     chunks = checkpointed(
-        distinct.repartitionByRange(parts, *order)
-        .sortWithinPartitions(*order)
+        ranged.sortWithinPartitions(*order)
         .withColumn("chunk", F.spark_partition_id())
         .withColumn("prior", F.lit(False))
     )

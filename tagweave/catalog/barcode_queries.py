@@ -104,6 +104,18 @@ def barcode_edit_clusters(spark, sf_dir):
     return clusters.withColumn("components", F.concat_ws(",", "components"))
 
 
+@CATALOG.query(
+    "wanted_barcodes",
+    f"""WITH {RAW}, c AS (SELECT substr(barcode, 1, CAST(reads % 6 + 5 AS INTEGER)) || CASE WHEN reads % 7 = 0 THEN 'N' ELSE '' END AS barcode FROM raw)
+    SELECT barcode, count(*) AS n FROM c WHERE length(barcode) BETWEEN 7 AND 9 AND NOT contains(barcode, 'N') GROUP BY barcode""",
+)
+def wanted_barcodes(spark, sf_dir):
+    """Extracted barcodes of acceptable length without unread bases."""
+    cut = F.col("barcode").substr(F.lit(1), (F.col("n") % 6 + 5).cast("int"))
+    rows = line_counts(spark, sf_dir).select(F.concat(cut, F.when(F.col("n") % 7 == 0, "N").otherwise("")).alias("barcode"))
+    return bc.count_barcodes(bc.wanted_barcodes(rows, "barcode", 7, 9))
+
+
 @CATALOG.query(
     "iupac_filter",
     f"""WITH {RAW} SELECT barcode, reads AS n FROM raw WHERE reads >= 2

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tagweave.catalog import Catalog
 from tagweave.catalog.views import ANALYZABLE, EVENT_READS, event_reads
 from tagweave.operators import molecules as mol
+from tagweave.streaming.molecules import stream_sessions
 
 CATALOG = Catalog()
 WINDOW = 86400 * 3
@@ -67,6 +68,25 @@ def molecule_sessions(spark, sf_dir):
     return mol.build_molecules(event_reads(spark, sf_dir), "10x", WINDOW, MIN_READS, MIN_MAPQ)
 
 
+@CATALOG.query(
+    "molecule_sessions_narrow",
+    f"""WITH {EVENT_READS}, {PERMISSIVE.replace(str(WINDOW), "900").replace(f"count(*) >= {MIN_READS}", "count(*) >= 2")}
+    SELECT * FROM molecules""",
+)
+def molecule_sessions_narrow(spark, sf_dir):
+    """Molecules under a narrow window, linked over bucket borders."""
+    return mol.build_molecules(event_reads(spark, sf_dir), "10x", 900, 2, MIN_MAPQ)
+
+
+@CATALOG.query(
+    "molecule_session_windows",
+    f"WITH {EVENT_READS}, {PERMISSIVE} SELECT rname, bx, StartPosition, EndPosition, Reads FROM molecules",
+)
+def molecule_session_windows(spark, sf_dir):
+    """The streaming form of molecule building, run on the whole table as a batch."""
+    return stream_sessions(event_reads(spark, sf_dir), WINDOW, MIN_MAPQ).where(F.col("Reads") >= MIN_READS)
+
+
 @CATALOG.query(
     "molecule_sessions_strict",
     f"""WITH RECURSIVE {EVENT_READS}, {STRICT}

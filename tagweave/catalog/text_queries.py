@@ -9,7 +9,8 @@ from tagweave.catalog.barcode_queries import SPACE, dna_sql
 from tagweave.catalog.variant_queries import _sql_view, order_variants
 from tagweave.catalog.views import table
 from tagweave.functions import dna
-from tagweave.sources import genomics, lines, reports, sequences
+from tagweave.sinks.tables import metric_table
+from tagweave.sources import genomics, reports, sequences
 
 CATALOG = Catalog()
 
@@ -135,6 +136,16 @@ def run_log_parse(spark, sf_dir):
     return reports.parse_run_log(spelled(table(spark, sf_dir, "customer"), "c_custkey", parts, path))
 
 
+@CATALOG.query(
+    "run_log_table",
+    """SELECT 'c' || CAST(c_custkey AS VARCHAR) || '.log' AS "Sample", CAST(c_custkey * 1234 AS DOUBLE) AS total_reads,
+      CAST(c_nationkey AS DOUBLE) AS unmapped_reads FROM customer""",
+)
+def run_log_table(spark, sf_dir):
+    """Run logs as one row per sample."""
+    return metric_table(run_log_parse(spark, sf_dir), ["total_reads", "unmapped_reads"])
+
+
 @CATALOG.query(
     "phasing_report_parse",
     """SELECT 's' || CAST(o_orderkey % 20 AS VARCHAR) AS path, 'chr' || CAST(o_orderkey AS VARCHAR) AS chrom, x.metric,

@@ -23,6 +23,11 @@ def count_barcodes(reads: DataFrame, barcode: str = "barcode") -> DataFrame:
     )
 
 
+def wanted_barcodes(reads: DataFrame, barcode: str = "barcode", shortest: int = 19, longest: int = 21) -> DataFrame:
+    """Extracted barcodes of acceptable length without unread bases."""
+    return reads.where(F.length(barcode).between(shortest, longest) & ~F.col(barcode).contains("N"))
+
+
 def hamming_neighbours(queries: DataFrame, targets: DataFrame, query: str, target: str) -> DataFrame:
     """(query, target) pairs at Hamming distance 1, for targets differing by a proper base.
 

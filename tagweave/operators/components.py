@@ -44,9 +44,9 @@ def connected_components(edges: DataFrame, left: str = "src", right: str = "dst"
     and Beyond", 2014). Minima are partially aggregated before the shuffle, so a node with very many
     neighbours costs one row per map task; the number of rounds grows with the logarithm of the size.
     """
-    named = edges.select(F.col(left).alias("a"), F.col(right).alias("b"))
+    named = checkpointed(edges.select(F.col(left).alias("a"), F.col(right).alias("b")).distinct())
     nodes = named.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    stars, seen = _settled(_star_round(named.where("a <> b").distinct()))
+    stars, seen = _settled(_star_round(named.where("a <> b")))
     while True:
         stars, now = _settled(_star_round(stars))
         if now == seen:

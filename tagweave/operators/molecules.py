@@ -33,6 +33,8 @@ NO_MOLECULE = -1
 
 # Positions per scan bucket; far above a molecule's extent, so most keys need one bucket.
 SCAN_WIDTH = 1 << 21
+# Windows at least this wide leave few enough sessions of a key to scan them together.
+WIDE_WINDOW = 2048
 
 
 def analyzable(min_mapq: int = 0, barcode: str = "bx") -> Column:
@@ -86,12 +88,16 @@ def _opens(prior: Column, window: int | None) -> Column:
 def _joined_sessions(local: DataFrame, keys: list[str], window: int | None) -> DataFrame:
     """Bucket-local sessions with the ``mol_start`` they belong to.
 
-    Sessions of a key are more than ``window`` apart but for bucket borders, so this window sees at
-    most range / window + range / bucket width rows, whatever the number of reads.
+    Sessions of a key are more than ``window`` apart but for bucket borders, so with a wide window
+    they are at most range / window + range / bucket width, whatever the number of reads, and one
+    window runs over them. With a narrow one only bucket summaries are scanned: nothing reaches over
+    a bucket's begin, so just its first session can continue what came before.
     """
     partial = local.groupBy(*keys, BUCKET, F.col("local_start").alias("start")).agg(
         F.max("end").alias("end"), F.sum("reads").alias("reads"), F.sum("covered").alias("covered")
     )
+    if window is not None and window < WIDE_WINDOW:
+        return _linked_sessions(partial, keys, window)
     across = Window.partitionBy(*keys).orderBy("start")
     prior = F.max("end").over(across.rowsBetween(Window.unboundedPreceding, -1))
     return partial.withColumn("_prior", prior).withColumn(
@@ -99,6 +105,25 @@ def _joined_sessions(local: DataFrame, keys: list[str], window: int | None) -> D
     )
 
 
+def _linked_sessions(partial: DataFrame, keys: list[str], window: int) -> DataFrame:
+    across = Window.partitionBy(*keys).orderBy(BUCKET)
+    before = across.rowsBetween(Window.unboundedPreceding, -1)
+    buckets = partial.groupBy(*keys, BUCKET).agg(
+        F.min("start").alias("start"), F.max("start").alias("_last"), F.max("end").alias("end")
+    )
+    opens = _opens(F.col("_prior"), window)
+    # Start of the molecule a bucket ends with, where it is known without looking further back.
+    ending = F.when(F.col("_last") > F.col("start"), F.col("_last")).when(opens, F.col("start"))
+    links = (
+        buckets.withColumn("_prior", F.max("end").over(before))
+        .withColumn("_ending", ending)
+        .withColumn("_mol", F.max("_ending").over(before))
+        .where(~opens)
+        .select(*keys, BUCKET, "start", "_mol")
+    )
+    return partial.join(links, [*keys, BUCKET, "start"], "left").withColumn("mol_start", F.coalesce("_mol", "start"))
+
+
 def permissive_sessions(reads: DataFrame, keys: Sequence[str], window: int | None) -> DataFrame:
     """Session pieces (``end, reads, covered, mol_start``) when every overlap is acceptable."""
     return _joined_sessions(_local_sessions(reads, list(keys), window), list(keys), window)

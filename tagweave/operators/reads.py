@@ -93,6 +93,23 @@ def drop_phasing_tags(reads: DataFrame) -> DataFrame:
     return reads.drop("ps", "hp", "pc")
 
 
+def coordinate_sorted(reads: DataFrame, contigs: DataFrame | None = None) -> DataFrame:
+    """Reads by contig (in index order when ``name, length`` rows with ``nr`` are given) and position.
+
+    The sort is range partitioned on the whole key, so a deep position spreads over tasks.
+    """
+    if contigs is None:
+        return reads.orderBy(F.col("rname").asc_nulls_last(), "start", "end", "qname", "flag")
+    ranked = lookup(reads, contigs.select(F.col("name").alias("rname"), F.col("nr").alias("_nr")), "rname")
+    return ranked.orderBy(F.col("_nr").asc_nulls_last(), "start", "end", "qname", "flag").drop("_nr")
+
+
+def unique_program_id(name: str, taken: list[str]) -> str:
+    """Identifier of a processing step for a header that already lists ``taken`` ones."""
+    candidates = [name, *(f"{name}.{n}" for n in range(1, len(taken) + 1))]
+    return next(c for c in candidates if c not in taken)
+
+
 def tag_or_default(column: str, default=None) -> Column:
     """A tag's value, or the default where it is absent."""
     return F.coalesce(F.col(column), F.lit(default))

@@ -38,6 +38,11 @@ def write_clusters(clusters: DataFrame, path: str) -> None:
     write_tsv(ordered.select("canonical", "size", F.concat_ws(",", "components")), path, header=False)
 
 
+def metric_table(rows: DataFrame, metrics: list[str], sample: str = "path", metric: str = "parameter", value: str = "value") -> DataFrame:
+    """Long (sample, metric, value) rows as one row per sample with the named metric columns."""
+    return rows.groupBy(F.col(sample).alias("Sample")).pivot(metric, metrics).agg(F.max(value))
+
+
 def stats_lines(df: DataFrame, section: str) -> DataFrame:
     """Rows of a statistics table as ``SECTION<TAB>value...`` text lines."""
     return df.select(F.concat_ws("\t", F.lit(section), *[F.col(c).cast("string") for c in df.columns]).alias("line"))

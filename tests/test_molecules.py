@@ -48,9 +48,10 @@ def test_strict_equals_walk_over_partitions(spark, seed, reach, names):
     assert got == expected
 
 
-@pytest.mark.parametrize("seed,reach", [(4, 3000), (5, 80000)])
-def test_permissive_equals_walk(spark, monkeypatch, seed, reach):
+@pytest.mark.parametrize("seed,reach,wide", [(4, 3000, 0), (5, 80000, 0), (4, 3000, 10**6), (5, 80000, 10**6), (6, 9000, 10**6)])
+def test_permissive_equals_walk(spark, monkeypatch, seed, reach, wide):
     monkeypatch.setattr(mol, "SCAN_WIDTH", 64)
+    monkeypatch.setattr(mol, "WIDE_WINDOW", wide)
     rows = sample(seed, reach, 10**6)
     df = spark.createDataFrame([(*r, 0, 60, None) for r in rows], SCHEMA)
     expected = walk(rows, 100, None)

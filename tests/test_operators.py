@@ -171,6 +171,7 @@ def test_names_to_tags(spark):
     assert reads.detect_mode(df) == "trailing"
     rows = reads.tags_from_names(df, "trailing", 3).collect()
     assert [(r.qname, r.bx) for r in rows] == [("r:1", f"{bc20}-3"), ("plain:1", None)]
+    assert reads.unique_program_id("tagbam", ["tagbam", "tagbam.1"]) == "tagbam.2"
     assert reads.detect_mode(column(spark, ["a", "b"], "qname").withColumn("bx", F.lit(None).cast("string"))) == "none"
 
 

@@ -74,7 +74,7 @@ def seed_positions(pairs: DataFrame, quantile: float = 0.99, minimum: int = 6, b
     """(position, barcode) rows of duplicate positions below the coverage threshold."""
     positions = checkpointed(duplicate_positions(pairs, barcode))
     limits = coverage_threshold(positions, quantile, minimum)
-    kept = positions.join(limits, "rname").where("barcodes < threshold").select(*POSITION)
+    kept = checkpointed(positions.join(limits, "rname").where("barcodes < threshold").select(*POSITION))
     rows = pairs.where(F.col(barcode).isNotNull()).select(*POSITION, F.col(barcode).alias("bx")).distinct()
     found = lookup(rows, kept.withColumn("_kept", F.lit(True)), POSITION)
     return found.where(F.col("_kept")).drop("_kept")
@@ -86,6 +86,7 @@ def shared_pairs(seeds: DataFrame) -> DataFrame:
     Barcodes seen at a single position of a chromosome cannot form an edge and are dropped first;
     the coverage threshold bounds what is left of a position.
     """
+    seeds = checkpointed(seeds)
     repeated = seeds.groupBy("rname", "bx").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     members = (
         seeds.join(repeated, ["rname", "bx"], "left_semi")

@@ -148,5 +148,5 @@ def mark_duplicates(reads: DataFrame, keys: Sequence[str], quality: str, name: s
     """
     keys = list(keys)
     best = F.min(F.struct((-F.col(quality)).alias("q"), F.col(name).alias("name")))
-    keep = reads.groupBy(*keys).agg(best.alias("_best")).select(*keys, F.col("_best.name").alias("_keep"))
+    keep = checkpointed(reads.groupBy(*keys).agg(best.alias("_best")).select(*keys, F.col("_best.name").alias("_keep")))
     return lookup(reads, keep, keys).withColumn("is_duplicate", F.col(name) != F.col("_keep")).drop("_keep")

@@ -294,7 +294,7 @@ def place_reads(
     band = TOLERATED_OVERLAP[library_type]
     if band is None:
         on = [*keys, "start"]
-        return lookup(reads, permissive_placements(reads, keys, window), on)
+        return lookup(reads, checkpointed(permissive_placements(reads, keys, window)), on)
     on = [*keys, "start", "end", "qname"]
     return lookup(reads, strict_placements(reads, keys, window, band).select(*on, "mol_start"), on)
 

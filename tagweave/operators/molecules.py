@@ -138,34 +138,39 @@ def permissive_placements(reads: DataFrame, keys: Sequence[str], window: int | N
     return starts.join(joined, [*keys, BUCKET, "local_start"]).select(*keys, "start", "mol_start")
 
 
-def _fold(rows: pd.DataFrame, keys: list[str], window: int | None, band, state: dict | None) -> dict:
-    """Walk sorted rows once; fills ``mol_start`` (None when refused) and ``covered``."""
+def _make_fold(keys: list[str], window: int | None, band: tuple[int, int]):
+    """The walk over sorted rows, as a closure: executors need no copy of this package."""
     low, high = band
-    starts, ends = rows["start"].to_numpy().tolist(), rows["end"].to_numpy().tolist()
-    names, prior = rows["qname"].tolist(), rows["prior"].to_numpy().tolist()
-    idents = list(zip(*[rows[k].tolist() for k in keys]))
-    state = state or {"key": None, "mol": None, "stop": None, "names": set(), "entry": None}
-    placed, covered = [], []
-    for ident, start, end, name, seen_before in zip(idents, starts, ends, names, prior):
-        inside = ident == state["key"] and (window is None or state["stop"] + window >= start)
-        if not inside:
-            state = {"key": ident, "mol": start, "stop": end, "names": {name}, "entry": None}
-            placed.append(start)
-            covered.append(end - start)
-            continue
-        stop = state["stop"]
-        sibling = name in state["names"] or (seen_before and state["mol"] == state["entry"])
-        if sibling or stop < start or low <= stop - start <= high:
-            covered.append(max(end - max(start, stop), 0))
-            state["stop"] = max(stop, end)
-            state["names"].add(name)
-            placed.append(state["mol"])
-        else:
-            placed.append(None)
-            covered.append(0)
-    rows["mol_start"] = pd.array(placed, dtype="Int64")
-    rows["covered"] = covered
-    return state
+
+    def fold(rows: pd.DataFrame, state: dict | None) -> dict:
+        """Walk the rows once; fills ``mol_start`` (None when refused) and ``covered``."""
+        starts, ends = rows["start"].to_numpy().tolist(), rows["end"].to_numpy().tolist()
+        names, prior = rows["qname"].tolist(), rows["prior"].to_numpy().tolist()
+        idents = list(zip(*[rows[k].tolist() for k in keys]))
+        state = state or {"key": None, "mol": None, "stop": None, "names": set(), "entry": None}
+        placed, covered = [], []
+        for ident, start, end, name, seen_before in zip(idents, starts, ends, names, prior):
+            inside = ident == state["key"] and (window is None or state["stop"] + window >= start)
+            if not inside:
+                state = {"key": ident, "mol": start, "stop": end, "names": {name}, "entry": None}
+                placed.append(start)
+                covered.append(end - start)
+                continue
+            stop = state["stop"]
+            sibling = name in state["names"] or (seen_before and state["mol"] == state["entry"])
+            if sibling or stop < start or low <= stop - start <= high:
+                covered.append(max(end - max(start, stop), 0))
+                state["stop"] = max(stop, end)
+                state["names"].add(name)
+                placed.append(state["mol"])
+            else:
+                placed.append(None)
+                covered.append(0)
+        rows["mol_start"] = pd.array(placed, dtype="Int64")
+        rows["covered"] = covered
+        return state
+
+    return fold
 
 
 def strict_placements(
@@ -198,11 +203,12 @@ def strict_placements(
     columns = [*order, "reads", "chunk"]
     schema = ", ".join(f"`{c}` {fields[c]}" for c in columns) + ", mol_start bigint, covered bigint"
     out_columns = [*columns, "mol_start", "covered"]
+    fold = _make_fold(keys, window, band)
 
     def fold_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         state = None
         for rows in batches:
-            state = _fold(rows, keys, window, band, state)
+            state = fold(rows, state)
             yield rows[out_columns]
 
     first_pass = checkpointed(chunks.mapInPandas(fold_partition, schema))
@@ -277,7 +283,7 @@ def strict_placements(
                 ident = tuple(rows[k].tolist()[0] for k in keys)
                 mol, stop = int(rows["entry_mol"].iloc[0]), int(rows["entry_stop"].iloc[0])
                 state = {"key": ident, "mol": mol, "stop": stop, "names": set(), "entry": mol}
-            _fold(rows, keys, window, band, state)
+            fold(rows, state)
             return rows[out_columns]
 
         refolded = checkpointed(rows.groupBy("chunk").applyInPandas(fold_lead, schema))

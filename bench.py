@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -48,6 +49,8 @@ def main() -> None:
         **{
             "spark.sql.shuffle.partitions": cpus,
             "spark.ui.enabled": "false",
+            "spark.checkpoint.dir": os.environ.get("BENCH_CHECKPOINTS") or tempfile.mkdtemp(prefix="bench-"),
+            "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "16g"),
         },
     )

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings that may be changed on a running session. Skewed lookup joins are split at run time
@@ -42,12 +40,18 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> None:
         return
     shared = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="tagweave-checkpoint-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     context.setCheckpointDir(shared)
 
 
+def use_checkpoint_dir(spark: SparkSession, folder: str) -> None:
+    """Name the shared folder of a session that was configured without one."""
+    context = spark.sparkContext
+    configured = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if context.getCheckpointDir() is None and configured is None:
+        context.setCheckpointDir(folder)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder and cut its lineage."""
     _ensure_checkpoint_dir(df.sparkSession)

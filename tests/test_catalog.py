@@ -10,8 +10,10 @@ import numpy as np
 import pytest
 
 import __spark_entry__ as entry_points
+from tagweave.catalog import load_catalog
 
 SF_DIR = "/root/testdata/sf0.001"
+CATALOG = load_catalog()
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="needs the test tables")
 
 
@@ -35,10 +37,12 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(CATALOG.queries) == set(CATALOG.sql)
+    assert set(CATALOG.queries) <= set(entry_points.queries())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(CATALOG.queries))
 def test_query_matches_sql(spark, duck, name):
     frame = entry_points.queries()[name](spark, SF_DIR)
     columns = sorted(frame.columns)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagweave.catalog import Catalog
-from tagweave.llm import contamination, rules, simhash
+from tagweave.llm import contamination, mixing, rules, secrets, simhash
 
 CATALOG = Catalog()
 
@@ -26,12 +26,30 @@ def digest(joined):
     return F.sha2(joined, 256)
 
 
+@CATALOG.query("op1_source_mixing")
+def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.taken_words(mixing.mix(docs))
+
+
 @CATALOG.query("op5_simhash_near_dedup")
 def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-copy group of every document."""
     return simhash.near_duplicates(texts(spark, sf_dir))
 
 
+@CATALOG.query("op6_secret_scan")
+def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document."""
+    return secrets.scan(texts(spark, sf_dir)).select(
+        "doc_id",
+        *[secrets.count_of(kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+        digest(secrets.listed("base")).alias("base_sha256"),
+        secrets.listed("secrets").alias("spans"),
+    )
+
+
 @CATALOG.query("op7_benchmark_decontamination")
 def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie in benchmark windows."""

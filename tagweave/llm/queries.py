@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagweave.catalog import Catalog
-from tagweave.llm import contamination, mixing, rules, secrets, simhash
+from tagweave.llm import contamination, mixing, repeats, rules, secrets, simhash
 
 CATALOG = Catalog()
 
@@ -70,3 +70,10 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(texts(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+@CATALOG.query("op10_suffix_array_dedup")
+def suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that lie in repeated strings of 400 bytes."""
+    found = repeats.remove_repeats(texts(spark, sf_dir))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"), "kept_sha256")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagweave.catalog import Catalog
-from tagweave.llm import contamination, mixing, repeats, rules, secrets, simhash
+from tagweave.llm import contamination, language, mixing, repeats, rules, secrets, simhash
 
 CATALOG = Catalog()
 
@@ -33,6 +33,14 @@ def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(mixing.mix(docs))
 
 
+@CATALOG.query("op2_language_id")
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.train(docs.where(~language.held_out()))
+    return language.identify(texts(spark, sf_dir), model).select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
 @CATALOG.query("op5_simhash_near_dedup")
 def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-copy group of every document."""

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagweave.catalog import Catalog
-from tagweave.llm import contamination, language, mixing, repeats, rules, secrets, simhash
+from tagweave.llm import contamination, language, mixing, quality, repeats, rules, secrets, simhash
 
 CATALOG = Catalog()
 
@@ -41,6 +41,14 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(texts(spark, sf_dir), model).select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
 
 
+@CATALOG.query("op3_quality_classifier")
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from the labels that are not held out."""
+    docs, labels = texts(spark, sf_dir), table(spark, sf_dir, "labels").select("doc_id", "quality")
+    model = quality.train(docs, labels.where(~language.held_out()))
+    return quality.classify(docs, model).select("doc_id", language.held_out().alias("held_out"), "score", "predicted")
+
+
 @CATALOG.query("op5_simhash_near_dedup")
 def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-copy group of every document."""

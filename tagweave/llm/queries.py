@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagweave.catalog import Catalog
-from tagweave.llm import contamination, language, mixing, quality, repeats, rules, secrets, simhash
+from tagweave.llm import contamination, language, mixing, pii, quality, repeats, rules, secrets, simhash
 
 CATALOG = Catalog()
 
@@ -49,6 +49,19 @@ def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs, model).select("doc_id", language.held_out().alias("held_out"), "score", "predicted")
 
 
+@CATALOG.query("op4_pii")
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    docs = texts(spark, sf_dir)
+    found = pii.find(docs, pii.train(docs))
+    return found.select(
+        "doc_id",
+        *[pii.count_of(kind).alias(f"n_{kind}") for kind in pii.KINDS],
+        digest(pii.listed("base")).alias("base_sha256"),
+        pii.listed("found").alias("spans"),
+    )
+
+
 @CATALOG.query("op5_simhash_near_dedup")
 def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-copy group of every document."""

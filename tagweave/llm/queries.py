@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagweave.catalog import Catalog
-from tagweave.llm import contamination, language, mixing, pii, quality, repeats, rules, secrets, simhash
+from tagweave.llm import contamination, language, licenses, mixing, pii, quality, repeats, rules, secrets, simhash, sql
 
 CATALOG = Catalog()
 
@@ -79,7 +79,7 @@ def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@CATALOG.query("op7_benchmark_decontamination")
+@CATALOG.query("op7_benchmark_decontamination", sql.DECONTAMINATION)
 def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie in benchmark windows."""
     found = contamination.contaminated(texts(spark, sf_dir), table(spark, sf_dir, "benchmark").select("item_id", "text"))
@@ -93,7 +93,19 @@ def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@CATALOG.query("op9_quality_rules")
+@CATALOG.query("op8_license_scan", sql.LICENSES)
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in every document."""
+    found = licenses.scan(texts(spark, sf_dir))
+    return found.select(
+        "doc_id",
+        F.size("licenses").cast("long").alias("n_licenses"),
+        F.array_join("licenses.license", ",").alias("licenses"),
+        F.array_max("licenses.dice").alias("best_dice"),
+    )
+
+
+@CATALOG.query("op9_quality_rules", sql.QUALITY_RULES)
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of line-first cleaning for every document."""
     return rules.judge(texts(spark, sf_dir)).select(
@@ -101,7 +113,7 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@CATALOG.query("op10_suffix_array_dedup")
+@CATALOG.query("op10_suffix_array_dedup", sql.REPEATS)
 def suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that lie in repeated strings of 400 bytes."""
     found = repeats.remove_repeats(texts(spark, sf_dir))

@@ -8,6 +8,7 @@ from tagweave.catalog import Catalog
 from tagweave.catalog.views import EVENT_READS, event_reads, table
 from tagweave.operators import components as cc
 from tagweave.operators import duplicates as dup
+from tagweave.plans.linked_reads import read_pairs
 
 CATALOG = Catalog()
 WINDOW = 1
@@ -65,6 +66,55 @@ def pair_mates(spark, sf_dir):
     return pairs.select("bx", "read_event_id", "mate_event_id")
 
 
+RECORDS = """recs AS (SELECT l_orderkey % 97 AS name, l_returnflag || l_linestatus AS rname, l_partkey AS start, l_suppkey % 61 AS mapq,
+    l_partkey + 50 + l_linenumber AS "end", l_quantity,
+    CASE WHEN l_linenumber % 2 = 0 THEN 67 ELSE 147 END + CASE WHEN l_orderkey % 11 = 0 THEN 1024 ELSE 0 END
+      + CASE WHEN l_suppkey % 13 = 0 THEN 256 ELSE 0 END + CASE WHEN l_suppkey % 7 = 0 THEN 512 ELSE 0 END AS flag,
+    lpad(CAST(l_suppkey AS VARCHAR), 8, '0') AS bx FROM lineitem),
+one AS (SELECT name, rname, start, flag, max(mapq) AS mapq, max("end") AS "end", max(bx) AS bx FROM recs
+        GROUP BY name, rname, start, flag)"""
+
+
+def line_records(spark, sf_dir):
+    """Line items as alignments whose names recur on every chromosome; one record per name, place and flag."""
+    extra = sum(
+        (F.when(F.col(c) % n == 0, bit).otherwise(0) for c, n, bit in (("l_orderkey", 11, 1024), ("l_suppkey", 13, 256), ("l_suppkey", 7, 512))),
+        F.lit(0),
+    )
+    return (
+        table(spark, sf_dir, "lineitem")
+        .groupBy(
+            (F.col("l_orderkey") % 97).cast("string").alias("qname"),
+            F.concat("l_returnflag", "l_linestatus").alias("rname"),
+            F.col("l_partkey").alias("start"),
+            (F.when(F.col("l_linenumber") % 2 == 0, 67).otherwise(147) + extra).alias("flag"),
+        )
+        .agg(
+            F.max(F.col("l_suppkey") % 61).alias("mapq"),
+            F.max(F.col("l_partkey") + 50 + F.col("l_linenumber")).alias("end"),
+            F.max(F.lpad(F.col("l_suppkey").cast("string"), 8, "0")).alias("bx"),
+        )
+    )
+
+
+@CATALOG.query(
+    "proper_pairs",
+    f"""WITH RECURSIVE {RECORDS},
+    o AS (SELECT *, flag & 4 = 0 AND flag & 8 = 0 AND flag & 2 <> 0 AND mapq >= 5 AS q,
+            row_number() OVER (PARTITION BY name ORDER BY rname, start, flag % 4096) AS rn FROM one),
+    w AS (SELECT name, rn, q AS waits, CAST(NULL AS BIGINT) AS mate FROM o WHERE rn = 1
+          UNION ALL
+          SELECT o.name, o.rn, NOT w.waits AND o.q, CASE WHEN w.waits THEN w.rn END
+          FROM w JOIN o ON o.name = w.name AND o.rn = w.rn + 1)
+    SELECT r.rname, m.start, r."end", CASE WHEN m.flag & 64 <> 0 AND r.flag & 128 <> 0 THEN 'F' ELSE 'R' END AS orientation, r.bx
+    FROM w JOIN o r ON r.name = w.name AND r.rn = w.rn JOIN o m ON m.name = w.name AND m.rn = w.mate
+    WHERE m.flag & 16 = 0 AND r.flag & 16 <> 0 AND r.rname = m.rname""",
+)
+def proper_pairs(spark, sf_dir):
+    """Forward / reverse pairs of names that are met on several chromosomes."""
+    return read_pairs(line_records(spark, sf_dir), 5)
+
+
 @CATALOG.query("dup_positions", f'WITH {PAIRS} SELECT * FROM positions')
 def dup_positions(spark, sf_dir):
     """Positions met with more than one barcode."""
@@ -97,8 +147,8 @@ def barcode_edges_any_overlap(spark, sf_dir):
 @CATALOG.query("barcode_components", f"WITH RECURSIVE {PAIRS}, {EDGES}, {LABELS} SELECT * FROM labels")
 def barcode_components(spark, sf_dir):
     """Barcodes with the smallest barcode of their component."""
-    edges = dup.barcode_edges(dup.seed_positions(line_pairs(spark, sf_dir)), "dbs", WINDOW)
-    return cc.connected_components(edges)
+    links = dup.droplet_links(dup.seed_positions(line_pairs(spark, sf_dir)), "dbs", WINDOW)
+    return cc.connected_components(links)
 
 
 @CATALOG.query(
@@ -109,7 +159,7 @@ def barcode_components(spark, sf_dir):
 def barcode_retag(spark, sf_dir):
     """Reads per barcode after merging."""
     pairs = line_pairs(spark, sf_dir)
-    labels = cc.connected_components(dup.barcode_edges(dup.seed_positions(pairs), "dbs", WINDOW))
+    labels = cc.connected_components(dup.droplet_links(dup.seed_positions(pairs), "dbs", WINDOW))
     return cc.retag(pairs, labels).groupBy("bx").agg(F.count(F.lit(1)).alias("reads"))
 
 
@@ -117,7 +167,7 @@ def barcode_retag(spark, sf_dir):
     "components_merged_chunks",
     """WITH RECURSIVE edges AS (SELECT DISTINCT 's' || CAST(s_suppkey % 40 AS VARCHAR) AS src,
         's' || CAST((s_suppkey * 7 + 3) % 50 + 40 AS VARCHAR) AS dst FROM supplier
-      UNION SELECT DISTINCT 's' || CAST(p_size AS VARCHAR), 's' || CAST(p_size // 3 AS VARCHAR) FROM part WHERE p_size < 20),
+      UNION SELECT DISTINCT 's' || CAST(p_size AS VARCHAR), 's' || CAST(p_size // 3 AS VARCHAR) FROM part),
     both_ways AS (SELECT src, dst FROM edges UNION SELECT dst, src FROM edges),
     reach AS (SELECT src AS node, src AS seen FROM both_ways UNION
               SELECT r.node, e.dst FROM reach r JOIN both_ways e ON e.src = r.seen)
@@ -133,7 +183,7 @@ def components_merged_chunks(spark, sf_dir):
         named(F.col("s_suppkey") % 40).alias("src"), named((F.col("s_suppkey") * 7 + 3) % 50 + 40).alias("dst")
     )
     two = (
-        table(spark, sf_dir, "part").where("p_size < 20")
+        table(spark, sf_dir, "part")
         .select(named(F.col("p_size")).alias("src"), named(F.expr("p_size div 3")).alias("dst"))
     )
     return cc.merge_labels(cc.connected_components(one), cc.connected_components(two))

@@ -134,7 +134,7 @@ def _clusterdups_arguments(parser: argparse.ArgumentParser) -> None:
 def find_clusterdups(spark: SparkSession, args: argparse.Namespace) -> None:
     """Barcodes of one droplet, written as old,new pairs."""
     pairs = checkpointed(read_pairs(load_alignments(spark, args.input, args.barcode_tag), args.min_mapq))
-    edges = duplicates.barcode_edges(duplicates.seed_positions(pairs, args.quantile_threshold), args.library_type, args.window)
+    edges = duplicates.droplet_links(duplicates.seed_positions(pairs, args.quantile_threshold), args.library_type, args.window)
     sinks.write_merges(components.connected_components(edges), args.output_merges)
 
 

@@ -3,53 +3,28 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A lookup table is broadcast only after its row count was found to be within this bound.
-BROADCAST_ROWS = 200_000
-# A key is hot when it holds more than one part in this many of the rows; so at most that many are.
-HOT_PARTS = 1000
+from tagweave.session import checkpointed
 
 
 def lookup(rows: DataFrame, table: DataFrame, keys: Sequence[str] | str) -> DataFrame:
-    """Left join ``rows`` to ``table`` (one row per ``keys``), whatever the key distribution.
+    """Left join ``rows`` to ``table`` (one row per ``keys``): the columns of ``rows``, then the values of ``table``.
 
-    A small table, by count, is broadcast. Otherwise hot keys are found by a partial aggregate: their
-    at most ``HOT_PARTS`` table rows are broadcast, and in the shuffle join for the rest the rows of
-    hot keys carry a row hash in place of their first key, which spreads them over all tasks.
+    The table is written first, so the join has two plain inputs: Spark broadcasts the table where its size is known to allow
+    that, and otherwise splits the partition of a hot key, or of NULL keys, over several tasks at run time. Rows are not hashed
+    or compared beyond their keys, so they may hold maps.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    if table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        return rows.join(F.broadcast(table), keys, "left")
-    return split_lookup(rows, table, keys)
-
-
-def split_lookup(rows: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The shuffle form of :func:`lookup`: hot keys by broadcast, the others by key."""
-    keys = list(keys)
     values = [c for c in table.columns if c not in keys]
-    known = rows.where(F.col(keys[0]).isNotNull())
-    total = rows.agg(F.count(F.lit(1))).scalar()
-    hot_keys = (
-        known.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") * HOT_PARTS > total).drop("_n")
-    )
-    hot = hot_keys.join(table, keys, "left").select(
-        *keys, F.lit(True).alias("_hot"), *[F.col(v).alias(f"_hot_{v}") for v in values]
-    )
-    flagged = rows.join(F.broadcast(hot), keys, "left")
-    spread = F.when(F.col("_hot"), F.concat(F.lit("\u0000"), F.xxhash64(*rows.columns).cast("string"))).otherwise(
-        F.col(keys[0]).cast("string")
-    )
-    right = table.select(
-        F.col(keys[0]).cast("string").alias("_t_spread"), *[F.col(c).alias(f"_t_{c}") for c in [*keys[1:], *values]]
-    )
-    condition = F.col("_spread") == F.col("_t_spread")
-    for k in keys[1:]:
-        condition = condition & (F.col(k) == F.col(f"_t_{k}"))
-    joined = flagged.withColumn("_spread", spread).join(right, condition, "left")
-    return joined.select(
-        *rows.columns,
-        *[F.when(F.col("_hot"), F.col(f"_hot_{v}")).otherwise(F.col(f"_t_{v}")).alias(v) for v in values],
+    held = checkpointed(
+        table.select(
+            *[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)], *[F.col(v).alias(f"_value_{i}") for i, v in enumerate(values)]
+        )
     )
+    same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_key_{i}") for i, k in enumerate(keys)])
+    kept = [c for c in rows.columns if c not in values]
+    return rows.join(held, same, "left").select(*kept, *[F.col(f"_value_{i}").alias(v) for i, v in enumerate(values)])

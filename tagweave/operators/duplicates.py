@@ -141,6 +141,37 @@ def barcode_edges(seeds: DataFrame, library_type: str = "dbs", window: int = 300
     return near.unionByName(overlapping).distinct().select(F.col("a").alias("src"), F.col("b").alias("dst"))
 
 
+def droplet_links(seeds: DataFrame, library_type: str = "dbs", window: int = 30000) -> DataFrame:
+    """(src, dst) links with the components of :func:`barcode_edges`, linear in the rows that positions share.
+
+    Every barcode is looked up at pairs of positions that lie an acceptable distance apart; all barcodes of one such pair are linked to each
+    other, so it is enough to tie them to the smallest.
+    """
+    band = TOLERATED_OVERLAP[library_type]
+    if band is None:
+        return barcode_edges(seeds, library_type, window)
+    rows = checkpointed(seeds.select("rname", "bx", F.struct("start", "end", "orientation").alias("at")))
+    width = window + 1
+    later = rows.select("rname", "bx", F.col("at").alias("p"))
+    earlier = rows.select("rname", "bx", F.col("at").alias("q"))
+    near = (
+        later.withColumn("slot", F.explode(F.array(F.floor(F.col("p.start") / width), F.floor(F.col("p.start") / width) - 1)))
+        .join(earlier.withColumn("slot", F.floor(F.col("q.end") / width)), ["rname", "bx", "slot"])
+        .where((F.col("p.start") - F.col("q.end")).between(0, window))
+    )
+    low, high = band
+    overlapping = (
+        later.withColumn("stop", F.explode(F.sequence(F.col("p.start") + low, F.col("p.start") + high)))
+        .join(earlier.withColumn("stop", F.col("q.end")), ["rname", "bx", "stop"])
+        .where("q < p")
+    )
+    met = checkpointed(near.select("rname", "q", "p", "bx").unionByName(overlapping.select("rname", "q", "p", "bx")))
+    groups = met.groupBy("rname", "q", "p").agg(F.min("bx").alias("src"), F.max("bx").alias("_most")).where("src < _most")
+    on = ["rname", "q", "p"]
+    held = checkpointed(groups.drop("_most"))
+    return met.join(held, on).where("bx > src").select("src", F.col("bx").alias("dst")).distinct()
+
+
 def mark_duplicates(reads: DataFrame, keys: Sequence[str], quality: str, name: str) -> DataFrame:
     """Add ``is_duplicate``: all but the best read (quality, then smallest name) of each key.
 

@@ -102,17 +102,22 @@ def test_even_maximum_is_left_out_on_request(spark):
     assert sorted((r.Bin, r.Count) for r in hist.count_histogram(df, "n", 2).collect()) == [(0, 1), (2, 1), (4, 1)]
 
 
-def test_split_lookup_equals_join(spark, monkeypatch):
+def test_lookup_is_one_behaviour_at_every_size(spark):
     from tagweave.functions import skew
 
-    monkeypatch.setattr(skew, "HOT_PARTS", 5)
     rng = random.Random(8)
     rows = [("hot" if rng.random() < 0.4 else rng.choice(["a", "b", "c", None, "alone"]), rng.randrange(3), i) for i in range(400)]
     rows += [("absent", 1, 1000 + i) for i in range(200)]
-    df = spark.createDataFrame(rows, "k string, j int, v int")
+    df = spark.createDataFrame(rows, "k string, j int, v int").withColumn("tags", F.create_map(F.lit("x"), "v"))
     table = spark.createDataFrame([(k, j, f"{k}{j}") for k in ("hot", "a", "b", "c") for j in (0, 1)], "k string, j int, w string")
-    expected = {tuple(r) for r in df.join(table, ["k", "j"], "left").select("k", "j", "v", "w").collect()}
-    got = skew.split_lookup(df, table, ["k", "j"]).select("k", "j", "v", "w").collect()
-    assert len(got) == len(rows) and {tuple(r) for r in got} == expected
-    monkeypatch.setattr(skew, "BROADCAST_ROWS", 2)
-    assert {tuple(r) for r in skew.lookup(df, table, ["k", "j"]).select("k", "j", "v", "w").collect()} == expected
+    known = {(r.k, r.j): r.w for r in table.collect()}
+    expected = {(k, j, v, known.get((k, j))) for k, j, v in rows}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for bound in ("-1", before):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
+            got = skew.lookup(df, table, ["k", "j"])
+            assert got.columns == ["k", "j", "v", "tags", "w"]
+            assert {(r.k, r.j, r.v, r.w) for r in got.collect()} == expected and got.count() == len(rows)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tagweave.catalog import Catalog
 from tagweave.catalog.views import EVENT_READS, event_reads, table
 from tagweave.functions import dna
+from tagweave.functions.skew import lookup
 from tagweave.operators import barcodes as bc
 from tagweave.operators import reads as rd
 from tagweave.sinks import layouts
@@ -186,17 +187,47 @@ def barcode_reads_join(spark, sf_dir):
     "tagged_name_ema",
     f"""WITH {ORDER_READS}, {CORRECTED},
     map AS (SELECT UNNEST(components) AS raw_barcode, canonical FROM clusters WHERE size >= 2)
-    SELECT r.key || ':' || m.canonical || ' BX:Z:' || m.canonical AS header,
+    SELECT CASE WHEN m.canonical IS NULL THEN 'o' || CAST(o.o_orderkey AS VARCHAR) || ' 1:N:0'
+                ELSE r.key || ':' || m.canonical || ' BX:Z:' || m.canonical END AS header,
            '@' || r.key || ' 1:N:0' || chr(10) || r.raw_barcode || chr(10) || '+' || chr(10) || repeat('K', 10) AS record
-    FROM rawreads r JOIN map m ON m.raw_barcode = r.raw_barcode""",
+    FROM orders o LEFT JOIN rawreads r ON r.key = 'o' || CAST(o.o_orderkey AS VARCHAR)
+    LEFT JOIN map m ON m.raw_barcode = r.raw_barcode""",
 )
 def tagged_name_ema(spark, sf_dir):
-    """Barcoded headers in the form of a barcode-aware mapper, and a FASTQ record layout."""
-    reads = barcoded_orders(spark, sf_dir).where("barcode IS NOT NULL")
+    """Headers in the form of a barcode-aware mapper (unchanged without barcode), and a FASTQ record layout."""
+    reads = barcoded_orders(spark, sf_dir)
     record = layouts.fastq_record(F.col("name"), F.col("raw_barcode"), F.repeat(F.lit("K"), F.length("raw_barcode")))
     return reads.select(bc.tagged_name("ema").alias("header"), record.alias("record"))
 
 
+@CATALOG.query(
+    "mapper_layouts",
+    f"""WITH {ORDER_READS}, {CORRECTED},
+    map AS (SELECT UNNEST(components) AS raw_barcode, canonical FROM clusters WHERE size >= 2),
+    j AS (SELECT 'o' || CAST(o.o_orderkey AS VARCHAR) AS name, m.canonical AS bc, CAST(o.o_custkey AS VARCHAR) AS s1, o.o_orderstatus AS s2
+          FROM orders o LEFT JOIN rawreads r ON r.key = 'o' || CAST(o.o_orderkey AS VARCHAR)
+          LEFT JOIN map m ON m.raw_barcode = r.raw_barcode)
+    SELECT name, CASE WHEN bc IS NOT NULL THEN bc || ' @' || name || ' ' || s1 || ' F ' || s2 || ' G' END AS six_fields,
+           CASE WHEN bc IS NOT NULL THEN '@' || name || chr(10) || s1 || chr(10) || 'F' || chr(10) || s2 || chr(10) || 'G' || chr(10) || bc || '-4'
+             || chr(10) || repeat('K', length(bc)) || chr(10) || 'AAAAAA' || chr(10) || 'KKKKKK' END AS nine_lines
+    FROM j""",
+)
+def mapper_layouts(spark, sf_dir):
+    """Records of barcode-aware mappers: six fields on a line, and nine lines; none without barcode."""
+    pairs = barcoded_orders(spark, sf_dir).withColumn("name", F.substring_index("name", " ", 1))
+    orders = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("name"),
+        F.col("o_custkey").cast("string").alias("r1_seq"),
+        F.lit("F").alias("r1_qual"),
+        F.col("o_orderstatus").alias("r2_seq"),
+        F.lit("G").alias("r2_qual"),
+    )
+    known = F.col("barcode").isNotNull()
+    return pairs.join(orders, "name").select(
+        "name", F.when(known, layouts.bin_record()).alias("six_fields"), F.when(known, layouts.nine_line_record(4)).alias("nine_lines")
+    )
+
+
 @CATALOG.query(
     "barcode_generate",
     f"""WITH f AS (SELECT l_partkey AS idx, min(l_orderkey * 100000 + l_partkey) AS first FROM lineitem GROUP BY 1),
@@ -231,7 +262,7 @@ def indexed_names(spark, sf_dir):
     )
     parsed = bc.parse_indexed_names(rows)
     codes = bc.generated_barcodes(parsed, "index", "o_orderkey", 1 << 20)
-    return parsed.join(codes, "index", "left").select("read_name", "index", "barcode")
+    return lookup(parsed, codes, "index").select("read_name", "index", "barcode")
 
 
 @CATALOG.query(
@@ -272,16 +303,22 @@ def round_robin_bins(spark, sf_dir):
 
 @CATALOG.query(
     "header_tags",
-    f"""SELECT 'o' || CAST(o_orderkey AS VARCHAR) AS qname, {dna_sql('code')} || '-3' AS bx, {dna_sql('code')} AS rx
-    FROM (SELECT o_orderkey, {ORDER_CODE} AS code FROM orders WHERE o_orderkey % 11 <> 0)""",
+    f"""SELECT 'o' || CAST(o_orderkey AS VARCHAR) AS qname,
+      CASE WHEN o_orderkey % 11 <> 0 THEN {dna_sql('code')} || '-3' END AS bx,
+      CASE WHEN o_orderkey % 11 <> 0 THEN {dna_sql('code')} END AS rx,
+      CASE WHEN o_orderkey % 11 <> 0 AND o_orderkey % 5 = 0 THEN 'Z:' || reverse({dna_sql('code')}) END AS ux
+    FROM (SELECT o_orderkey, {ORDER_CODE} AS code FROM orders)""",
 )
 def header_tags(spark, sf_dir):
-    """Underline-separated tags moved from names to columns."""
-    raw = order_barcodes(spark, sf_dir)
-    name = F.concat(
-        F.substring_index("read_name", " ", 1), F.lit("_BX:Z:"), F.col("raw_barcode"), F.lit("-1_RX:Z:"), F.col("raw_barcode")
-    )
-    return rd.tags_from_names(raw.select(name.alias("qname")), "underline", sample_nr=3)
+    """Underline-separated tags moved from names to columns, a third one to the map of tags; some names have none."""
+    raised = F.when(F.col("o_orderkey") % 40 == 0, F.expr("CAST(pow(4, (o_orderkey div 40) % 10) AS BIGINT)")).otherwise(0)
+    code = dna.base4((F.col("o_custkey") * 104729 + raised) % SPACE, LENGTH)
+    third = F.when(F.col("o_orderkey") % 5 == 0, F.concat(F.lit("_UX:Z:"), F.reverse(code))).otherwise(F.lit(""))
+    tagged = F.concat(F.lit("_BX:Z:"), code, F.lit("-1_RX:Z:"), code, third)
+    name = F.concat(F.lit("o"), F.col("o_orderkey").cast("string"), F.when(F.col("o_orderkey") % 11 != 0, tagged).otherwise(F.lit("")))
+    reads = table(spark, sf_dir, "orders").select(name.alias("qname"), F.lit(None).cast("string").alias("bx"))
+    moved = rd.tags_from_names(reads, rd.detect_mode(reads), sample_nr=3)
+    return moved.select("qname", "bx", "rx", F.try_element_at("tags", F.lit("UX")).alias("ux"))
 
 
 @CATALOG.query(

@@ -38,6 +38,25 @@ def fastq_pairs(spark, sf_dir):
     return pairs.select("name", "r1_seq", "name2", "r2_qual")
 
 
+@CATALOG.query(
+    "fastq_parallel",
+    """SELECT CAST(o_orderkey % 3 AS INTEGER) AS file, o_orderkey // 3 AS record, 'o' || CAST(o_orderkey AS VARCHAR) || ' 1' AS name,
+      'o' || CAST(o_orderkey AS VARCHAR) || ' 2' AS name2, CAST(o_custkey AS VARCHAR) AS r1_seq, CAST(o_custkey + 1 AS VARCHAR) AS r2_seq
+    FROM orders""",
+)
+def fastq_parallel(spark, sf_dir):
+    """Two parallel sets of three FASTQ files, records numbered anew in each, to read pairs."""
+
+    def side(folder: str, suffix: str, sequence):
+        parts = [F.concat(F.lit("@o"), F.col("o_orderkey").cast("string"), F.lit(suffix)), sequence.cast("string"), F.lit("+"), F.lit("F")]
+        rows = table(spark, sf_dir, "orders").withColumn("_row", F.expr("o_orderkey div 3"))
+        path = F.concat(F.lit(folder), (F.col("o_orderkey") % 3).cast("string"))
+        return sequences.parse_fastq(spelled(rows, "_row", parts, path))
+
+    pairs = sequences.parallel_pairs(side("one/", " 1", F.col("o_custkey")), side("two/", " 2", F.col("o_custkey") + 1))
+    return pairs.select("file", "record", "name", "name2", "r1_seq", "r2_seq")
+
+
 @CATALOG.query(
     "sam_parse",
     """SELECT 'e' || CAST(event_id AS VARCHAR) AS qname, CAST(event_id % 2048 AS INTEGER) AS flag,

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagweave import config
+from tagweave.functions.skew import lookup
 from tagweave.operators import barcodes as bc
 from tagweave.operators import components, duplicates, molecules
 from tagweave.operators import reads as rd
@@ -23,6 +24,8 @@ from tagweave.session import build_session, checkpointed
 from tagweave.sinks import layouts, tables as sinks
 from tagweave.sources import genomics, sequences, tables
 
+# Mappers whose input forms are known.
+MAPPERS = ("ema", "lariat", "bwa", "bowtie2", "minimap2")
 KNOWN_TAGS = {"BX", "RX", "MI", "HP", "PS", "PC"}
 COMMANDS: dict[str, tuple[Callable, Callable]] = {}
 
@@ -37,12 +40,28 @@ def command(name: str, arguments: Callable[[argparse.ArgumentParser], None]):
     return register
 
 
+def exchange_tag(reads: DataFrame, column: str, put: str, take: str) -> DataFrame:
+    """Store ``column`` as tag ``put`` and load it with tag ``take``."""
+    if take in KNOWN_TAGS and put in KNOWN_TAGS:
+        return reads.withColumns({c.lower(): F.col(o.lower()).cast(reads.schema[c.lower()].dataType) for c, o in ((put, take), (take, put))})
+    kind = "i" if column == "mi" else "Z"
+    own = F.when(F.col(column).isNotNull(), F.create_map(F.lit(put), F.concat(F.lit(f"{kind}:"), F.col(column).cast("string"))))
+    held = F.try_element_at("tags", F.lit(take))
+    kept = F.map_filter("tags", lambda k, _: ~k.isin(take, put))
+    return reads.withColumns(
+        {
+            column: F.substring(held, F.lit(3), F.length(held)).cast(reads.schema[column].dataType),
+            "tags": F.map_concat(kept, F.coalesce(own, F.create_map().cast("map<string,string>"))),
+        }
+    )
+
+
 def load_alignments(spark: SparkSession, path: str, barcode_tag: str = "BX", molecule_tag: str = "MI") -> DataFrame:
-    """Alignments with the named tags in columns ``bx`` and ``mi``."""
+    """Alignments with the named tags in columns ``bx`` and ``mi``; the tags of these names wait in ``tags``."""
     reads = spark.read.parquet(path) if path.endswith(".parquet") else genomics.read_sam(spark, path)
     for tag, column in ((barcode_tag, "bx"), (molecule_tag, "mi")):
-        if tag.upper() != column.upper():
-            reads = reads.withColumn(column, tag_column(tag).cast(reads.schema[column].dataType))
+        if tag != column.upper():
+            reads = exchange_tag(reads, column, column.upper(), tag)
     return reads
 
 
@@ -53,8 +72,11 @@ def tag_column(tag: str):
     return F.expr(f"substring(tags['{tag}'], 3)")
 
 
-def save_alignments(reads: DataFrame, path: str) -> None:
-    """Parquet when the path says so, else SAM text."""
+def save_alignments(reads: DataFrame, path: str, barcode_tag: str = "BX", molecule_tag: str = "MI") -> None:
+    """Parquet when the path says so, else SAM text; ``bx`` and ``mi`` are stored under the named tags."""
+    for tag, column in ((barcode_tag, "bx"), (molecule_tag, "mi")):
+        if tag != column.upper():
+            reads = exchange_tag(reads, column, tag, column.upper())
     if path.endswith(".parquet"):
         reads.write.mode("overwrite").parquet(path)
     else:
@@ -97,7 +119,7 @@ def buildmolecules(spark: SparkSession, args: argparse.Namespace) -> None:
     options = (args.library_type, args.window, args.threshold, args.min_mapq)
     table = checkpointed(molecules.molecule_table(molecules.build_molecules(reads, *options)))
     tagged = molecules.number_reads(reads, table, *options)
-    save_alignments(tagged, args.output)
+    save_alignments(tagged, args.output, args.barcode_tag, args.molecule_tag)
     _save_molecules(table, args.stats_tsv, args.bed)
     molecules.molecule_summary(table).show(truncate=False)
 
@@ -147,7 +169,7 @@ def _merge_arguments(parser: argparse.ArgumentParser) -> None:
 def merge_clusterdups(spark: SparkSession, args: argparse.Namespace) -> None:
     """Replace barcodes by the ones they merge into."""
     reads = load_alignments(spark, args.input, args.barcode_tag)
-    save_alignments(components.retag(reads, tables.read_merges(spark, args.input_merges)), args.output)
+    save_alignments(components.retag(reads, tables.read_merges(spark, args.input_merges)), args.output, args.barcode_tag)
 
 
 def _filter_arguments(parser: argparse.ArgumentParser) -> None:
@@ -161,7 +183,7 @@ def filterclusters(spark: SparkSession, args: argparse.Namespace) -> None:
     """Strip listed barcodes from reads."""
     reads = load_alignments(spark, args.input, args.barcode_tag, args.molecule_tag)
     listed = tables.read_words(spark, args.barcodes)
-    save_alignments(rd.strip_barcodes(reads, listed), args.output)
+    save_alignments(rd.strip_barcodes(reads, listed), args.output, args.barcode_tag, args.molecule_tag)
     rd.stripped_tag_counts(reads, listed).show(truncate=False)
 
 
@@ -202,7 +224,8 @@ def _tagbam_arguments(parser: argparse.ArgumentParser) -> None:
 def tagbam(spark: SparkSession, args: argparse.Namespace) -> None:
     """Move barcode information from names to tags."""
     reads = load_alignments(spark, args.input, args.barcode_tag)
-    save_alignments(rd.tags_from_names(reads, rd.detect_mode(reads), args.sample_nr), args.output)
+    moved = rd.tags_from_names(reads, rd.detect_mode(reads), args.sample_nr, name_tag=args.barcode_tag)
+    save_alignments(moved, args.output, args.barcode_tag)
 
 
 def _fastq_arguments(parser: argparse.ArgumentParser) -> None:
@@ -210,14 +233,14 @@ def _fastq_arguments(parser: argparse.ArgumentParser) -> None:
     parser.add_argument("input2", nargs="?")
     parser.add_argument("-o", "--output", required=True)
     parser.add_argument("--nr-bins", type=int, default=100)
-    parser.add_argument("-m", "--mapper", default="bowtie2", choices=["ema", "lariat", "bwa", "bowtie2", "minimap2"])
+    parser.add_argument("-m", "--mapper", default="bowtie2", choices=MAPPERS)
     parser.add_argument("--sample-nr", type=int, default=1)
 
 
-def _save_tagged(tagged: tagging.TaggedPairs, args: argparse.Namespace) -> None:
+def _save_tagged(tagged: tagging.TaggedPairs, args: argparse.Namespace, plain_bins: bool = False) -> None:
     if args.mapper in bc.SORTED_MAPPERS:
         record = layouts.nine_line_record(args.sample_nr) if args.mapper == "lariat" else layouts.interleaved_record()
-        layouts.write_bins(tagged.barcoded, f"{args.output}/bins", record)
+        layouts.write_bins(tagged.barcoded, f"{args.output}/bins", layouts.bin_record() if plain_bins else record)
         layouts.write_fastq_pairs(tagged.other, f"{args.output}/non_barcoded")
     else:
         layouts.write_fastq_pairs(tagged.barcoded, args.output)
@@ -250,22 +273,22 @@ def process_stlfr(spark: SparkSession, args: argparse.Namespace) -> None:
     """Give three-part indices generated barcodes and write them into read pairs."""
     pairs = sequences.read_fastq_pairs(spark, args.input1, args.input2)
     parsed = checkpointed(bc.parse_indexed_names(pairs))
-    codes = checkpointed(bc.generated_barcodes(parsed, "index", "record", 1 << 20))
-    joined = parsed.join(codes, "index", "left").withColumn("name", F.col("read_name"))
-    bare = F.col("barcode").isNotNull()
+    codes = checkpointed(bc.generated_barcodes(parsed, "index", "place", 1 << 40))
+    joined = lookup(parsed, codes, "index").withColumn("name", F.col("read_name"))
+    if args.mapper not in bc.SORTED_MAPPERS:
+        named = F.when(F.col("barcode").isNotNull(), F.concat("name", F.lit("_BX:Z:"), "barcode")).otherwise(F.col("name"))
+        joined = joined.withColumn("name", named)
+    joined = joined.withColumn("name2", F.col("name"))
     if args.mapper == "ema":
-        name = F.concat("name", F.lit(":"), "barcode", F.lit(" BX:Z:"), "barcode")
+        # Bins of the six-field form are dealt in turn.
+        ranks = bc.round_robin_bins(parsed.where("index IS NOT NULL"), "index", "place", args.nr_bins, 1 << 40)
+        binned = lookup(joined, ranks, "index").where("barcode IS NOT NULL").withColumn("heap", F.col("barcode"))
+        _save_tagged(tagging.TaggedPairs(binned, joined.where("barcode IS NULL")), args, plain_bins=True)
     elif args.mapper == "lariat":
-        name = F.col("name")
-    else:
-        name = F.concat("name", F.lit("_BX:Z:"), "barcode")
-    named = joined.withColumn("name", F.when(bare, name).otherwise(F.col("name"))).withColumn("name2", F.col("name"))
-    if args.mapper in bc.SORTED_MAPPERS:
-        ranks = bc.round_robin_bins(parsed.where("index IS NOT NULL"), "index", "record", args.nr_bins, 1 << 20)
-        binned = named.join(ranks, "index").withColumn("heap", F.col("barcode"))
-        _save_tagged(tagging.TaggedPairs(binned, named.where(~bare)), args)
+        binned = tagging.packed(checkpointed(joined), bc.heap_order(codes.withColumnRenamed("barcode", "canonical")), args.nr_bins)
+        _save_tagged(binned, args)
     else:
-        _save_tagged(tagging.TaggedPairs(named, named.limit(0)), args)
+        _save_tagged(tagging.TaggedPairs(joined, joined.limit(0)), args)
     if args.output_translations:
         codes.write.mode("overwrite").csv(args.output_translations)
 

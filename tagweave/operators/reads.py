@@ -10,47 +10,72 @@ from pyspark.sql import functions as F
 from tagweave.functions.dna import is_dna
 from tagweave.functions.skew import lookup
 
+# How names carry tags.
 UNDERLINED = r"_[A-Z]{2}:[AifZHB]:.*(_|$)"
 TRAILING_BARCODE = r":[ATGC]{17,}$"
-SAMPLE_ROWS = 1000
+# Tags that alignments hold in columns of their own.
+TAG_COLUMNS = ("rx", "mi", "hp", "ps", "pc")
 
 
 def detect_mode(reads: DataFrame, barcode_tag: str = "bx") -> str:
-    """How names carry tags, from the first rows: ``underline``, ``trailing`` or ``none``."""
-    seen = (
-        reads.select("qname", barcode_tag)
-        .limit(SAMPLE_ROWS)
-        .select(
-            F.when(F.col("qname").rlike(UNDERLINED), "underline")
-            .when(F.col("qname").rlike(TRAILING_BARCODE) & F.col(barcode_tag).isNotNull(), "trailing")
-            .alias("mode")
-        )
-        .where("mode IS NOT NULL")
-        .head()
-    )
-    return seen["mode"] if seen else "none"
+    """How names carry tags: ``underline`` if any name has underlined ones, else ``trailing`` if any ends in its barcode, else ``none``.
 
+    Decided by one aggregate over all reads.
+    """
+    seen = reads.agg(
+        F.bool_or(F.col("qname").rlike(UNDERLINED)).alias("underline"),
+        F.bool_or(F.col("qname").rlike(TRAILING_BARCODE) & F.col(barcode_tag).isNotNull()).alias("trailing"),
+    ).first()
+    return "underline" if seen["underline"] else "trailing" if seen["trailing"] else "none"
+
+
+def _name_tags(name: Column) -> Column:
+    """(key, kind, value) of the ``_TAG:TYPE:VALUE`` parts of a name, without a ``-n`` suffix; of a tag met twice the last."""
+
+    def parsed(part: Column) -> Column:
+        value = F.substring_index(F.substring(part, F.lit(6), F.length(part)), "-", 1)
+        wrong = F.raise_error(F.concat(F.lit("tag is not a sequence: "), name))
+        return F.struct(
+            F.substring(part, 1, 2).alias("key"),
+            F.substring(part, 4, 1).alias("kind"),
+            F.when(is_dna(value), value).otherwise(wrong).alias("value"),
+        )
 
-def name_tag(name: Column, tag: str) -> Column:
-    """Value of ``_TAG:TYPE:VALUE`` in an underline-separated name, without a ``-n`` suffix."""
-    value = F.substring_index(F.regexp_extract(name, rf"_{tag}:[AifZHB]:([^_]*)", 1), "-", 1)
-    return F.when(name.rlike(rf"_{tag}:[AifZHB]:"), F.when(is_dna(value), value).otherwise(
-        F.raise_error(F.concat(F.lit("tag is not a sequence: "), name))))
+    parts = F.split(name, "_")
+    tagged = F.filter(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), lambda p: p.rlike("^[A-Z]{2}:[AifZHB]:"))
+    found = F.transform(tagged, parsed)
+    later = lambda t, i: F.exists(F.slice(found, i + 2, F.size(found)), lambda u: u["key"] == t["key"])
+    return F.filter(found, lambda t, i: ~later(t, i))
 
 
 def tags_from_names(
-    reads: DataFrame, mode: str, sample_nr: int = 1, barcode_tag: str = "bx", tags: Sequence[str] = ("bx", "rx")
+    reads: DataFrame, mode: str, sample_nr: int = 1, barcode_tag: str = "bx", name_tag: str = "BX"
 ) -> DataFrame:
-    """Move tags from read names to columns; the barcode gets the sample number as suffix."""
+    """Move tags from read names to columns; the barcode gets the sample number as suffix.
+
+    Underlined tags: ``name_tag`` goes to ``barcode_tag``, tags with a column to it (``rx`` is added if missing), all others to the map ``tags``
+    (tag -> TYPE:value), over those that are there.
+    """
     name = F.col("qname")
     if mode == "underline":
-        changed = {}
-        for tag in tags:
-            value = name_tag(name, tag.upper())
-            if tag == barcode_tag:
-                value = F.concat(value, F.lit(f"-{sample_nr}"))
-            changed[tag] = F.coalesce(value, F.col(tag)) if tag in reads.columns else value
-        return reads.withColumns(changed).withColumn("qname", F.substring_index("qname", "_", 1))
+        columns = {c: c.upper() for c in TAG_COLUMNS if c == "rx" or c in reads.columns}
+        marked = reads.withColumn("_found", _name_tags(name))
+
+        def value_of(tag: str) -> Column:
+            return F.try_element_at(F.filter("_found", lambda t: t["key"] == tag), F.lit(1))["value"]
+
+        changed = {barcode_tag: F.concat(value_of(name_tag), F.lit(f"-{sample_nr}"))}
+        changed |= {c: value_of(tag) for c, tag in columns.items() if tag != name_tag}
+        kinds = dict(reads.dtypes)
+        changed = {
+            c: F.coalesce(value.cast(kinds[c]), F.col(c)) if c in kinds else value for c, value in changed.items()
+        }
+        rest = F.filter("_found", lambda t: ~t["key"].isin(name_tag, *columns.values()))
+        moved = F.map_from_entries(F.transform(rest, lambda t: F.struct(t["key"], F.concat_ws(":", t["kind"], t["value"]))))
+        if "tags" in reads.columns:
+            keys = F.map_keys(moved)
+            moved = F.map_concat(F.map_filter("tags", lambda k, _: ~F.array_contains(keys, k)), moved)
+        return marked.withColumns({**changed, "tags": moved, "qname": F.substring_index("qname", "_", 1)}).drop("_found")
     if mode == "trailing":
         last = F.substring_index(name, ":", -1)
         valid = is_dna(last) & last.startswith(F.substring(F.col(barcode_tag), 1, 16))

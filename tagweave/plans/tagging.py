@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagweave.functions.skew import lookup
 from tagweave.operators import barcodes as bc
 from tagweave.session import checkpointed
 
@@ -43,9 +44,12 @@ def tag_pairs(
     if mapper not in bc.SORTED_MAPPERS:
         return TaggedPairs(tagged, tagged.where("false"))
     heaps = bc.heap_order(kept) if mapper == "ema" else bc.heap_order(kept, prefix=64)
-    tagged = checkpointed(tagged)
-    counts = bc.count_barcodes(tagged).join(heaps.withColumnRenamed("canonical", "barcode"), "barcode")
-    counts = checkpointed(counts)
+    return packed(checkpointed(tagged), heaps, nr_bins)
+
+
+def packed(tagged: DataFrame, heaps: DataFrame, nr_bins: int) -> TaggedPairs:
+    """Barcoded pairs with their heap and bin, of (canonical, heap) rows; bins hold about equal numbers of pairs."""
+    counts = checkpointed(bc.count_barcodes(tagged.where("barcode IS NOT NULL")).join(heaps.withColumnRenamed("canonical", "barcode"), "barcode"))
     bins = bc.pack_bins(counts.select("heap", "n"), nr_bins)
-    lookup = counts.select("barcode", "heap").join(bins.select("heap", "bin"), "heap")
-    return TaggedPairs(tagged.join(lookup, "barcode"), tagged.where("barcode IS NULL"))
+    places = counts.select("barcode", "heap").join(bins.select("heap", "bin"), "heap")
+    return TaggedPairs(lookup(tagged.where("barcode IS NOT NULL"), places, "barcode"), tagged.where("barcode IS NULL"))

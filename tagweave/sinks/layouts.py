@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagweave.session import checkpointed
+
 
 def fastq_record(name: Column, sequence: Column, quality: Column) -> Column:
     """Four FASTQ lines."""
@@ -53,11 +55,17 @@ def bin_rows_to_fastq(style: str = "ema") -> Column:
 
 
 def write_fastq_pairs(pairs: DataFrame, path: str, compression: str | None = "gzip") -> None:
-    """Two folders, one per read of the pair, with rows in the same order."""
+    """Two folders, one per read of the pair, with rows in the same order: that of ``place`` where there is one, else of the names.
+
+    Both are written from one sorted table on disk, so the sides cannot go out of step.
+    """
     first = fastq_record(F.col("name"), F.col("r1_seq"), F.col("r1_qual"))
     second = fastq_record(F.coalesce("name2", "name"), F.col("r2_seq"), F.col("r2_qual"))
-    for folder, record in (("r1", first), ("r2", second)):
-        pairs.select(record.alias("value")).write.mode("overwrite").option("compression", compression or "none").text(f"{path}/{folder}")
+    order = ["place"] if "place" in pairs.columns else ["name", "r1", "r2"]
+    rows = pairs.select(*[c for c in ("place", "name") if c in pairs.columns], first.alias("r1"), second.alias("r2"))
+    held = checkpointed(rows.repartitionByRange(*order).sortWithinPartitions(*order))
+    for folder in ("r1", "r2"):
+        held.select(F.col(folder).alias("value")).write.mode("overwrite").option("compression", compression or "none").text(f"{path}/{folder}")
 
 
 def write_barcode_split(pairs: DataFrame, path: str, compression: str | None = "gzip") -> None:

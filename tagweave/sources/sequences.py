@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import re
-from pathlib import Path
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tagweave.functions.skew import lookup
 from tagweave.sources.lines import carried_section, grouped_lines, numbered_lines
 
 
@@ -22,14 +20,26 @@ def read_fastq(spark: SparkSession, path: str) -> DataFrame:
     return parse_fastq(numbered_lines(spark, path))
 
 
+def _numbered_files(reads: DataFrame) -> DataFrame:
+    """``reads`` with ``file``: the place of their path among all paths."""
+    # One row per file.
+    files = reads.select("path").distinct().withColumn("file", F.row_number().over(Window.orderBy("path")) - 1)
+    return lookup(reads, files, "path")
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    """``pairs`` with ``place``: a number that is unique and follows files, then records."""
+    return pairs.withColumn("place", F.shiftleft(F.col("file").cast("long"), 40) + F.col("record"))
+
+
 def interleaved_pairs(reads: DataFrame) -> DataFrame:
-    """Consecutive records as pairs (record, name, r1_seq, r1_qual, name2, r2_seq, r2_qual)."""
+    """Consecutive records of a file as pairs (file, record, place, name, r1_seq, r1_qual, name2, r2_seq, r2_qual)."""
     second = F.col("record") % 2 == 1
 
     def pick(side, column: str, name: str):
         return F.max(F.when(side, F.col(column))).alias(name)
 
-    return reads.groupBy("path", F.floor(F.col("record") / 2).alias("record")).agg(
+    pairs = reads.groupBy("path", F.floor(F.col("record") / 2).alias("record")).agg(
         pick(~second, "name", "name"),
         pick(~second, "sequence", "r1_seq"),
         pick(~second, "quality", "r1_qual"),
@@ -37,22 +47,27 @@ def interleaved_pairs(reads: DataFrame) -> DataFrame:
         pick(second, "sequence", "r2_seq"),
         pick(second, "quality", "r2_qual"),
     )
+    return _ordered(_numbered_files(pairs))
 
 
-def read_fastq_pairs(spark: SparkSession, first: str, second: str | None = None) -> DataFrame:
-    """Read pairs of two parallel files, or of one interleaved file."""
-    if second is None:
-        return interleaved_pairs(read_fastq(spark, first))
-    r1 = read_fastq(spark, first).select(
-        "record", "name", F.col("sequence").alias("r1_seq"), F.col("quality").alias("r1_qual")
-    )
-    r2 = read_fastq(spark, second).select(
+def parallel_pairs(first: DataFrame, second: DataFrame) -> DataFrame:
+    """Records of two parallel sets of files as pairs: the k-th path of one side goes with the k-th of the other."""
+    one = _numbered_files(first).select("file", "record", "name", F.col("sequence").alias("r1_seq"), F.col("quality").alias("r1_qual"))
+    two = _numbered_files(second).select(
+        "file",
         "record",
         F.col("name").alias("name2"),
         F.col("sequence").alias("r2_seq"),
         F.col("quality").alias("r2_qual"),
     )
-    return r1.join(r2, "record")
+    return _ordered(one.join(two, ["file", "record"]))
+
+
+def read_fastq_pairs(spark: SparkSession, first: str, second: str | None = None) -> DataFrame:
+    """Read pairs of two parallel files or folders, or of interleaved files."""
+    if second is None:
+        return interleaved_pairs(read_fastq(spark, first))
+    return parallel_pairs(read_fastq(spark, first), read_fastq(spark, second))
 
 
 def parse_fasta(lines: DataFrame) -> DataFrame:
@@ -76,12 +91,3 @@ def parse_fasta(lines: DataFrame) -> DataFrame:
 def barcode_reads(reads: DataFrame) -> DataFrame:
     """(read_name, raw_barcode): names end at their first space."""
     return reads.select(F.substring_index("name", " ", 1).alias("read_name"), F.col("sequence").alias("raw_barcode"))
-
-
-def guess_second_file(first: str) -> str | None:
-    """Path of read 2: the one existing file whose name differs by a lone 2 for a lone 1."""
-    path = Path(first)
-    spots = [m.start() for m in re.finditer(r"(?<![0-9])1(?![0-9])", path.name)]
-    found = [path.with_name(path.name[:i] + "2" + path.name[i + 1:]) for i in spots]
-    found = [p for p in found if p.exists()]
-    return str(found[0]) if len(found) == 1 else None

@@ -69,7 +69,19 @@ def test_indexed_reads(run, spark, tmp_path):
     assert names == {"@r1", "@r0_BX:Z:" + "A" * 15 + "T", "@r3_BX:Z:" + "A" * 15 + "T", "@r2_BX:Z:" + "A" * 15 + "C"}
     run("process_stlfr", tmp_path / "s.fastq", "-o", tmp_path / "bins", "-m", "ema", "--nr-bins", 2)
     rows = spark.read.text(str(tmp_path / "bins/bins")).collect()
-    assert len(rows) == 3 * 8 and {r.bin for r in rows} == {0, 1}
+    assert len(rows) == 3 and {r.bin for r in rows} == {0, 1}
+    assert sorted(r.value for r in rows)[0] == "A" * 15 + "C @r2 AC FF AC FF"
+    run("process_stlfr", tmp_path / "s.fastq", "-o", tmp_path / "nine", "-m", "lariat", "--nr-bins", 2)
+    rows = spark.read.text(str(tmp_path / "nine/bins")).collect()
+    assert len(rows) == 3 * 9 and {r.bin for r in rows} <= {0, 1}
+
+
+def test_other_barcode_tag(run, spark, tmp_path):
+    line = "r_BX:Z:AC_CB:Z:{}\t67\tchrA\t{}\t60\t50M\t=\t300\t200\tA\tF\tBX:Z:old\tCB:Z:GGG-1"
+    (tmp_path / "in.sam").write_text("\n".join(line.format(b, at) for b, at in (("TT", 100), ("GG", 400))) + "\n")
+    run("tagbam", tmp_path / "in.sam", "-o", tmp_path / "out", "-b", "CB", "-s", 2)
+    rows = genomics.read_sam(spark, str(tmp_path / "out")).orderBy("start").collect()
+    assert [(r.qname, r.bx, r.tags["CB"]) for r in rows] == [("r", "AC", "Z:TT-2"), ("r", "AC", "Z:GG-2")]
 
 
 def test_settings_tool(run, tmp_path, capsys):

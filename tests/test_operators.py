@@ -167,6 +167,12 @@ def test_names_to_tags(spark):
     assert reads.detect_mode(df) == "underline"
     row = reads.tags_from_names(df, "underline", 3).first()
     assert (row.qname, row.bx, row.rx) == ("r:1:2", f"{bc20}-3", bc20)
+    many = spark.createDataFrame([(f"r{i}", None) for i in range(3000)] + [(f"last_BX:Z:{bc20}_UX:Z:ACGT_MI:Z:AC_CB:Z:TT", None)], "qname string, bx string")
+    assert reads.detect_mode(many.coalesce(1)) == "underline"
+    kept = many.withColumn("tags", F.create_map(F.lit("UX"), F.lit("Z:old"), F.lit("NM"), F.lit("i:0")))
+    row = reads.tags_from_names(kept, "underline", name_tag="CB").where("qname = 'last'").first()
+    assert (row.bx, row.rx) == ("TT-1", None)
+    assert row.tags == {"NM": "i:0", "UX": "Z:ACGT", "BX": f"Z:{bc20}", "MI": "Z:AC"}
     df = spark.createDataFrame([(f"r:1:{bc20}", f"{bc20[:16]}-1"), ("plain:1", None)], "qname string, bx string")
     assert reads.detect_mode(df) == "trailing"
     rows = reads.tags_from_names(df, "trailing", 3).collect()

@@ -41,8 +41,7 @@ def test_fastq_files(spark, tmp_path):
             for i in range(20):
                 f.write(f"@r{i} {side}:N\nACG{'T' * i}\n+\n@@@{'F' * i}\n")
     first = str(tmp_path / "reads.1.fastq.gz")
-    second = sequences.guess_second_file(first)
-    assert second == str(tmp_path / "reads.2.fastq.gz")
+    second = str(tmp_path / "reads.2.fastq.gz")
     pairs = sequences.read_fastq_pairs(spark, first, second)
     rows = {r.name: r for r in pairs.collect()}
     assert len(rows) == 20 and rows["r3 1:N"].name2 == "r3 2:N" and rows["r3 1:N"].r2_qual == "@@@FFF"
@@ -54,6 +53,23 @@ def test_fastq_files(spark, tmp_path):
     assert sequences.read_fastq(spark, str(tmp_path / "pairs/r2")).count() == 20
 
 
+def test_fastq_folders(spark, tmp_path):
+    """Two folders of two files whose records are numbered anew: files pair by their order, and sides stay in step when written."""
+    for side in (1, 2):
+        (tmp_path / f"in{side}").mkdir()
+        for part in "ab":
+            text = "".join(f"@{part}{i} {side}\n{'ACGT'[i % 4] * (side + i % 3)}\n+\n{'F' * (side + i % 3)}\n" for i in range(50))
+            (tmp_path / f"in{side}" / f"{part}.fastq").write_text(text)
+    pairs = sequences.read_fastq_pairs(spark, str(tmp_path / "in1"), str(tmp_path / "in2"))
+    rows = pairs.collect()
+    assert len(rows) == 100 and all(r.name.split()[0] == r.name2.split()[0] for r in rows)
+    assert len({r.place for r in rows}) == 100
+    layouts.write_fastq_pairs(pairs, str(tmp_path / "out"), None)
+    sides = [[p.read_text().splitlines()[::4] for p in sorted((tmp_path / "out" / s).glob("part-*"))] for s in ("r1", "r2")]
+    assert [[n.split()[0] for n in part] for part in sides[0]] == [[n.split()[0] for n in part] for part in sides[1]]
+    assert sum(map(len, sides[0])) == 100
+
+
 def test_fasta(spark):
     got = sequences.parse_fasta(numbered(spark, ">a first one\nACG\nTT\n>b\nGG")).collect()
     assert {(r.name, r.comment, r.sequence) for r in got} == {("a", "first one", "ACGTT"), ("b", None, "GG")}

@@ -186,7 +186,8 @@ def strict_placements(
     partitioned on the full sort key, which balances them whatever the key distribution, and every
     partition is folded at once from an empty state. A partition that begins inside a key is then
     folded again from the state its predecessor ended in (and told which of its names the running
-    molecule already holds) until no such state changes, which gives the sequential result exactly.
+    molecule already holds) until no such state changes, which gives the sequential result exactly. States of all partitions are
+    composed before a round, so the number of rounds follows how far a running end reaches, not how many partitions a key has.
     """
     keys = list(keys)
     order = [*keys, "start", "end", "qname"]
@@ -213,15 +214,15 @@ def strict_placements(
 
     first_pass = checkpointed(chunks.mapInPandas(fold_partition, schema))
 
-    # One row per partition: its first and last key.
-    edges = {
-        r["chunk"]: (tuple(r["lo"]), tuple(r["hi"]))
-        for r in first_pass.groupBy("chunk").agg(F.min(F.struct(*keys)).alias("lo"), F.max(F.struct(*keys)).alias("hi")).collect()
-    }
+    # One row per partition: its first key and start, and its last key.
+    borders = first_pass.groupBy("chunk").agg(F.min(F.struct(*keys, "start")).alias("lo"), F.max(F.struct(*keys)).alias("hi")).collect()
+    edges = {r["chunk"]: (tuple(r["lo"])[:-1], tuple(r["hi"])) for r in borders}
+    opening = {r["chunk"]: r["lo"]["start"] for r in borders}
     present = sorted(edges)
     continued = [c for before, c in zip(present, present[1:]) if edges[before][1] == edges[c][0]]
     if not continued:
         return first_pass.drop("chunk")
+    lasting = set(continued)
 
     key_fields = ", ".join(f"`{k}` {fields[k]}" for k in keys)
     lead = spark.createDataFrame([(c, *edges[c][0]) for c in continued], f"chunk int, {key_fields}")
@@ -229,8 +230,29 @@ def strict_placements(
     lead_rows = chunks.drop("prior").join(F.broadcast(lead), ["chunk", *keys], "left_semi")
     settled = first_pass.join(F.broadcast(lead), ["chunk", *keys], "left_anti")
     refolded = first_pass.join(F.broadcast(lead), ["chunk", *keys], "left_semi")
+    # The states that ``refolded`` was folded from; none in the first pass.
     entries: dict[int, tuple] = {}
     signature = None
+
+    def composed(exits: dict[int, tuple]) -> dict[int, tuple]:
+        """States to enter the continued partitions with, all of them in one walk over one row per partition.
+
+        A partition of one key that is still in the molecule it entered hands that molecule on, whatever its start is.
+        """
+        found: dict[int, tuple] = {}
+        for before, c in zip(present, present[1:]):
+            left, entered = exits.get(before), found.get(before)
+            if entered and edges[before][0] == edges[before][1]:
+                joins = window is None or entered[1] + window >= opening[before]
+                carried = entries[before][0] if before in entries else opening[before] if joins else None
+                if left is None:
+                    left = entered
+                elif left[0] == carried:
+                    left = (entered[0], max(left[1], entered[1]))
+            if c in lasting and left:
+                found[c] = left
+        return found
+
     while True:
         current = settled.unionByName(refolded)
         ends = (
@@ -246,15 +268,7 @@ def strict_placements(
             refolded.groupBy("chunk").agg(F.sum(F.xxhash64("start", "end", "qname", "mol_start").cast("decimal(38,0)")).alias("h")).collect()
         )
         exits = {r["chunk"]: (r["last"]["mol_start"], r["last"]["stop"]) for r in ends}
-        for before, c in zip(present, present[1:]):
-            # A one-key partition may add nothing to (or only extend) the molecule it entered with.
-            entered, left = entries.get(before), exits.get(before)
-            if entered and edges[before][0] == edges[before][1]:
-                if left is None:
-                    exits[before] = entered
-                elif left[0] == entered[0]:
-                    exits[before] = (left[0], max(left[1], entered[1]))
-        entries = {c: exits[b] for b, c in zip(present, present[1:]) if c in continued and b in exits}
+        entries = composed(exits)
         now = (sorted(entries.items()), sorted((r["chunk"], r["h"]) for r in marks))
         if now == signature:
             return current.drop("chunk")

@@ -86,3 +86,21 @@ def test_no_limit_means_no_crowded_barcodes(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",)], "bx string")
     assert mol.crowded_barcodes(df, 0).count() == 0
     assert [r.bx for r in mol.crowded_barcodes(df, 1).collect()] == ["a"]
+
+
+def test_strict_rounds_do_not_grow_with_partitions(spark, monkeypatch):
+    """One key over 16 partitions: states are handed on in one walk, so a few rounds are enough."""
+    rng = random.Random(12)
+    starts = sorted(rng.randrange(400_000) for _ in range(4000))
+    rows = [("c", "b", s, s + rng.choice([30, 50, 120]), f"n{rng.randrange(3000)}") for s in starts]
+    reads = spark.createDataFrame(rows, "rname string, bx string, start long, end long, qname string")
+    written = []
+    real = mol.checkpointed
+    monkeypatch.setattr(mol, "checkpointed", lambda df: written.append(1) or real(df))
+    got = {}
+    for partitions in (1, 16):
+        written.clear()
+        placed = mol.strict_placements(reads, ["rname", "bx"], 30000, (8, 10), partitions)
+        got[partitions] = sorted(map(str, placed.select("start", "end", "qname", "mol_start").collect()))
+    assert got[1] == got[16]
+    assert len(written) <= 8

@@ -11,7 +11,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagweave.functions.scans import ordered_scan, running_sum, total_sum
+from tagweave.functions.scans import BUCKET, ordered_scan, running_sum, total_sum
+
+# Buckets of values that are cut by rank.
+RANK_PARTS = 256
 
 
 def ranked_totals(
@@ -20,11 +23,20 @@ def ranked_totals(
     weight: Column,
     keys: Sequence[str] = (),
     descending: bool = True,
-    width: float = 1 << 16,
+    width: float | None = 1 << 16,
 ) -> DataFrame:
-    """One row per (keys, value): its ``weight`` sum, the running ``upto`` and the key ``total``."""
+    """One row per (keys, value): its ``weight`` sum, the running ``upto`` and the key ``total``.
+
+    Without a ``width`` (for fractional values, which may be arbitrarily dense) buckets are cut by rank: at approximate quantiles of the
+    distinct values, so that each holds about one part in :data:`RANK_PARTS` of them.
+    """
     totals = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.sum(weight).alias("weight"))
     ordered = totals.withColumn("_order", -F.col(value) if descending else F.col(value))
+    if width is None:
+        marks = [i / RANK_PARTS for i in range(1, RANK_PARTS)]
+        cuts = ordered.agg(F.percentile_approx("_order", marks, 4 * RANK_PARTS)).scalar()
+        below = F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col("_order"))), F.lit(0))
+        ordered, width = ordered.withColumn("_cuts", cuts).withColumn(BUCKET, below.cast("long")).drop("_cuts"), 1
     return ordered_scan(
         ordered,
         keys,
@@ -50,7 +62,7 @@ def nx(
     keys: Sequence[str] = (),
     weight: str | None = None,
     total: Column | None = None,
-    width: float = 1 << 16,
+    width: float | None = 1 << 16,
 ) -> DataFrame:
     """Strict Nx: first span, longest first, whose running weight *exceeds* x % of the total.
 
@@ -68,7 +80,7 @@ def nx_curve(
     keys: Sequence[str] = (),
     weight: str | None = None,
     total: Column | None = None,
-    width: float = 1 << 16,
+    width: float | None = 1 << 16,
 ) -> DataFrame:
     """Nx for x = 0..100; thresholds that are never exceeded give 0.
 

@@ -41,6 +41,11 @@ def total_sum(expr: Column) -> Scan:
     return Scan("total_sum", expr)
 
 
+def total_min(expr: Column) -> Scan:
+    """Minimum over all rows of the key."""
+    return Scan("total_min", expr)
+
+
 def running_max(expr: Column) -> Scan:
     """Maximum over the rows up to and including this one."""
     return Scan("running_max", expr)
@@ -66,6 +71,8 @@ def _summary_columns(name: str, scan: Scan, order: Column) -> list[Column]:
         return [F.count(F.lit(1)).alias(f"_s_{name}")]
     if scan.kind in ("running_sum", "total_sum"):
         return [F.sum(scan.expr).alias(f"_s_{name}")]
+    if scan.kind == "total_min":
+        return [F.min(scan.expr).alias(f"_s_{name}")]
     if scan.kind in ("running_max", "prior_max"):
         return [F.max(scan.expr).alias(f"_s_{name}")]
     if scan.kind == "previous":
@@ -82,6 +89,8 @@ def _carry_column(name: str, scan: Scan, across: Window) -> Column:
         column = F.coalesce(F.sum(value).over(before), F.lit(0))
     elif scan.kind == "total_sum":
         column = F.sum(value).over(across.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    elif scan.kind == "total_min":
+        column = F.min(value).over(across.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     elif scan.kind in ("running_max", "prior_max"):
         column = F.max(value).over(before)
     elif scan.kind == "previous":
@@ -99,7 +108,7 @@ def _local_column(name: str, scan: Scan, within: Window) -> Column:
         return F.row_number().over(within) + carried
     if scan.kind == "running_sum":
         return F.sum(scan.expr).over(upto) + carried
-    if scan.kind == "total_sum":
+    if scan.kind in ("total_sum", "total_min"):
         return carried
     if scan.kind == "running_max":
         return F.greatest(F.max(scan.expr).over(upto), carried)

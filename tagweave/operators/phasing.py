@@ -24,6 +24,7 @@ from tagweave.functions.scans import (
     prior_max,
     row_index,
     running_max,
+    total_min,
     total_sum,
 )
 from tagweave.functions.skew import lookup
@@ -61,37 +62,31 @@ def _opening_parity(common: DataFrame) -> DataFrame:
     Counted from the first comparable variant over neighbours in the assembled block, up to the
     first variant that is unknown in the truth or does not flip.
     """
-    rows = checkpointed(
-        ordered_scan(
-            common,
-            PAIR,
-            "idx",
-            WIDTH,
-            at=row_index(),
-            before=previous(F.struct("ord", "x0", "x1")),
-            size=total_sum(F.lit(1)),
-        )
+    rows = ordered_scan(
+        common,
+        PAIR,
+        "idx",
+        WIDTH,
+        at=row_index(),
+        before=previous(F.struct("ord", "x0", "x1")),
+        size=total_sum(F.lit(1)),
+        first_idx=total_min(F.when(F.col("usable"), F.col("idx"))),
     )
-    firsts = rows.where("usable").groupBy(*PAIR).agg(F.min("at").alias("first"), F.max("size").alias("size"))
     gap = F.col("ord") - F.col("before.ord") > 1
-    stops = rows.where(F.col("before").isNotNull()).select(
-        *PAIR,
-        "at",
-        (gap | (F.col("x0") == F.col("before.x0"))).alias("stop0"),
-        (gap | (F.col("x1") == F.col("before.x1"))).alias("stop1"),
-    )
-    first_stop = (
-        stops.where("stop0 OR stop1")
-        .join(firsts.select(*PAIR, "first"), PAIR)
-        .where(F.col("at") > F.col("first"))
-        .groupBy(*PAIR)
-        .agg(F.min(F.when(F.col("stop0"), F.col("at"))).alias("end0"), F.min(F.when(F.col("stop1"), F.col("at"))).alias("end1"))
+    later = F.col("before").isNotNull() & (F.col("idx") > F.col("first_idx"))
+
+    def end(side: str) -> Column:
+        stop = gap | (F.col(side) == F.col(f"before.{side}"))
+        return F.min(F.when(later & stop, F.col("at")))
+
+    found = rows.where(F.col("first_idx").isNotNull()).groupBy(*PAIR).agg(
+        F.min(F.when(F.col("usable"), F.col("at"))).alias("first"), F.max("size").alias("size"), end("x0").alias("end0"), end("x1").alias("end1")
     )
 
-    def odd(end: str) -> Column:
-        return (F.coalesce(F.col(end), F.col("size") + 1) - F.col("first") - 1) % 2 == 1
+    def odd(name: str) -> Column:
+        return (F.coalesce(F.col(name), F.col("size") + 1) - F.col("first") - 1) % 2 == 1
 
-    return firsts.join(first_stop, PAIR, "left").select(*PAIR, odd("end0").alias("odd0"), odd("end1").alias("odd1"))
+    return found.select(*PAIR, odd("end0").alias("odd0"), odd("end1").alias("odd1"))
 
 
 def _error_kind(odd: str) -> Column:
@@ -135,7 +130,7 @@ def compare_phasings(asm: DataFrame, ref: DataFrame) -> tuple[DataFrame, DataFra
         next_flip=following(F.col("flip")),
         before2=previous(F.col("before")),
     )
-    runs = lookup(scanned, checkpointed(parity), PAIR)
+    runs = lookup(scanned, parity, PAIR)
     judged = checkpointed(runs.withColumn("kind0", _error_kind("odd0")).withColumn("kind1", _error_kind("odd1")))
 
     def errors(kind: str, which: str) -> Column:
@@ -258,10 +253,14 @@ def _goal() -> Column:
     return F.when(F.col("goal") == OWN_TOTAL, F.col("total")).otherwise(F.col("goal"))
 
 
-def haplotype_report(asm: DataFrame, ref: DataFrame, lengths: DataFrame | None = None) -> DataFrame:
-    """All haplotype metrics per chromosome and for All, one row each."""
-    asm, ref = checkpointed(asm), checkpointed(ref)
-    pairs, segments = compare_phasings(asm, ref)
+def haplotype_report(
+    asm: DataFrame, ref: DataFrame, lengths: DataFrame | None = None, compared: tuple[DataFrame, DataFrame] | None = None
+) -> DataFrame:
+    """All haplotype metrics per chromosome and for All, one row each; ``compared`` is a comparison made before."""
+    if compared is None:
+        asm, ref = checkpointed(asm), checkpointed(ref)
+        compared = compare_phasings(asm, ref)
+    pairs, segments = compared
     blocks = checkpointed(block_spans(asm))
     chroms = blocks.select("chrom").distinct()
     report = _by_chromosome_and_all(chroms).distinct()
@@ -291,7 +290,7 @@ def haplotype_report(asm: DataFrame, ref: DataFrame, lengths: DataFrame | None =
             )
         )
     halves = nx(
-        reduce(DataFrame.unionByName, ranked), "value", keys=["chrom", "stat", "goal"], weight="weight", total=_goal()
+        reduce(DataFrame.unionByName, ranked), "value", keys=["chrom", "stat", "goal"], weight="weight", total=_goal(), width=None
     )
     names = {f"{p}{n}": kind for p in ("", "q") for n, kind in (("n50", "long"), ("ng50", "long"), ("an50", "double"))}
     wide = halves.groupBy("chrom").agg(
@@ -322,4 +321,4 @@ def contiguity_curves(blocks: DataFrame, segments: DataFrame, genome: int | None
         if genome is not None:
             curves.append(_ranked(rows, against, "span", "span", F.lit(genome)))
     joined = reduce(DataFrame.unionByName, curves)
-    return nx_curve(joined, "value", ["stat", "goal"], weight="weight", total=_goal()).select("stat", "x", "y")
+    return nx_curve(joined, "value", ["stat", "goal"], weight="weight", total=_goal(), width=None).select("stat", "x", "y")

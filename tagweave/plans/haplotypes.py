@@ -44,8 +44,9 @@ def compare_vcfs(
         lengths = genomics.parse_fai(_lines(spark, reference_lengths)).withColumnRenamed("name", "chrom")
     else:
         lengths = genomics.vcf_contig_lengths(_lines(spark, phased))
-    report = phasing.haplotype_report(asm, ref, lengths)
+    pairs, segments = phasing.compare_phasings(asm, ref)
+    segments = checkpointed(segments)
+    report = phasing.haplotype_report(asm, ref, lengths, (pairs, segments))
     total = phasing.genome_lengths(asm.select("chrom"), lengths).where("chrom = 'All'").first()
     genome = total["genome"] if total else None
-    _, segments = phasing.compare_phasings(asm, ref)
     return report, phasing.contiguity_curves(variants.block_spans(asm), segments, genome)

@@ -38,7 +38,7 @@ class Catalog:
 def load_catalog() -> Catalog:
     """Collect every query module."""
     from tagweave.catalog import barcode_queries, duplicate_queries, molecule_queries, statistic_queries
-    from tagweave.catalog import interval_queries, text_queries, variant_queries
+    from tagweave.catalog import interval_queries, run_queries, text_queries, variant_queries
 
     merged = Catalog()
     for module in (
@@ -49,6 +49,7 @@ def load_catalog() -> Catalog:
         variant_queries,
         interval_queries,
         text_queries,
+        run_queries,
     ):
         merged.queries.update(module.CATALOG.queries)
         merged.sql.update(module.CATALOG.sql)

@@ -218,6 +218,7 @@ def _aun_sql(source: str, total: str) -> str:
       (SELECT count(*) FROM truth s WHERE g.chrom = 'All' OR s.chrom = g.chrom) AS phased_count_ref,
       (SELECT CAST(sum(m) AS BIGINT) FROM (SELECT chrom, max(variants) AS m FROM blocks GROUP BY chrom) s
        WHERE g.chrom = 'All' OR s.chrom = g.chrom) AS num_snps_max_blk,
+      (SELECT CAST(quantile_cont(CAST(span AS DOUBLE), 0.5) AS DOUBLE) FROM blocks s WHERE g.chrom = 'All' OR s.chrom = g.chrom) AS median_block_length,
       round(mp / (SELECT count(*) FROM asm s WHERE g.chrom = 'All' OR s.chrom = g.chrom), 9) AS phased_rate_asm,
       round(mp / (SELECT count(*) FROM truth s WHERE g.chrom = 'All' OR s.chrom = g.chrom), 9) AS phased_rate_ref
     FROM g""",
@@ -229,6 +230,7 @@ def haplotype_report(spark, sf_dir):
     six = ["an50", "qan50", "aun", "auqn", "aung", "auqng"]
     nine = ["phased_rate_asm", "phased_rate_ref"]
     plain = ["chrom", "switch_count", "n50", "qn50", "ng50", "qng50", "phased_count", "phased_count_ref", "num_snps_max_blk"]
+    plain.append("median_block_length")
     return report.select(*plain, *[F.round(c, 6).alias(c) for c in six], *[F.round(c, 9).alias(c) for c in nine])
 
 
@@ -272,11 +274,17 @@ def soft_filters(spark, sf_dir):
     SELECT v.chrom, v.pos, g0, g1 FROM v JOIN orders o ON o.o_orderkey = v.pos
     WHERE g0 = 0 AND g1 IN (1, 2) AND o_orderkey % 50 <> 0 AND o_custkey % 200 >= 50
       AND NOT coalesce(o_orderkey % 3 = 0 AND o_orderkey % 80 / 10.0 > 6.0, FALSE)
-      AND NOT (o_orderkey % 100 < 15 OR o_orderkey % 100 > 95)""",
+      AND NOT (o_orderkey % 100 < 15 OR o_orderkey % 100 > 95)
+      AND EXISTS (SELECT 1 FROM nation WHERE v.chrom <> '5-LOW' AND v.pos >= n_nationkey * 600 AND v.pos < n_nationkey * 600 + 400)""",
 )
 def phase_input(spark, sf_dir):
-    """Passing heterozygous variants ready for phasing."""
-    rows = va.phase_input(va.apply_soft_filters(order_variants(spark, sf_dir), va.parse_soft_filters(SOFT)))
+    """Passing heterozygous variants ready for phasing, inside the regions of all chromosomes but one."""
+    start = F.col("n_nationkey") * 600
+    chroms = F.array(*[F.lit(c) for c in ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED")])
+    regions = table(spark, sf_dir, "nation").select(
+        F.explode(chroms).alias("chrom"), start.cast("long").alias("start"), (start + 400).cast("long").alias("end")
+    )
+    rows = va.phase_input(va.apply_soft_filters(order_variants(spark, sf_dir), va.parse_soft_filters(SOFT)), regions)
     return rows.select("chrom", "pos", F.element_at("gt", 1).alias("g0"), F.element_at("gt", 2).alias("g1"))
 
 

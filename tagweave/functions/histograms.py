@@ -8,6 +8,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagweave.session import checkpointed
+
 # Size classes of structural variants and their upper bounds in bp.
 SIZE_CLASSES = [
     ("0-1k", 1_000),
@@ -78,12 +80,14 @@ def count_histogram(df: DataFrame, value: str, width: int = 2, drop_even_maximum
 
 
 def bin_sums(df: DataFrame, value: str, width: int = 2000, normalize: bool = False) -> DataFrame:
-    """Sum of values per left-closed bin, empty bins up to the maximum included."""
-    sums = df.groupBy(left_closed_bin(F.col(value), width).alias("Bin")).agg(F.sum(value).alias("_sum"))
-    edges = sums.agg(F.max("Bin").alias("_top"), F.sum("_sum").alias("_total"))
-    spine = edges.select(F.explode(F.sequence(F.lit(0).cast("long"), "_top", F.lit(width).cast("long"))).alias("Bin"), "_total")
+    """Sum of values per left-closed bin, empty bins from the lowest (0 at most) to the highest included."""
+    sums = checkpointed(df.groupBy(left_closed_bin(F.col(value), width).alias("Bin")).agg(F.sum(value).alias("_sum")))
+    edges = sums.agg(F.min("Bin").alias("low"), F.max("Bin").alias("top"), F.sum("_sum").alias("total")).first()
+    if edges["top"] is None:
+        return sums.select("Bin", F.col("_sum").alias("Weight"))
+    spine = df.sparkSession.range(min(0, edges["low"]), edges["top"] + 1, width).select(F.col("id").alias("Bin"))
     full = spine.join(sums, "Bin", "left").withColumn("_sum", F.coalesce("_sum", F.lit(0)))
-    weight = F.try_divide(F.col("_sum"), F.col("_total")) if normalize else F.col("_sum")
+    weight = F.try_divide(F.col("_sum"), F.lit(edges["total"])) if normalize else F.col("_sum")
     return full.select("Bin", weight.alias("Weight"))
 
 

@@ -8,6 +8,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagweave.functions.skew import lookup
+
 Contig = tuple[str, int]
 
 
@@ -66,6 +68,5 @@ def chunk_table(spark: SparkSession, chunks: list[list[Contig]]) -> DataFrame:
 
 
 def assign_chunks(reads: DataFrame, table: DataFrame) -> DataFrame:
-    """Reads with the chunk of their contig; chunks are whole contigs, so this is a lookup."""
-    lookup = table.select(F.col("contig").alias("rname"), "chunk")
-    return reads.join(lookup, "rname")
+    """Reads with the chunk of their contig (NULL for unmapped reads and unlisted contigs); chunks are whole contigs, so this is a lookup."""
+    return lookup(reads, table.select(F.col("contig").alias("rname"), "chunk"), "rname")

@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagweave.functions.orderstats import area_under_nx, nx, nx_curve
+from tagweave.functions.orderstats import area_under_nx, exact_quantiles, nx, nx_curve
 from tagweave.functions.scans import (
     following,
     ordered_scan,
@@ -303,7 +303,8 @@ def haplotype_report(
         F.sum("phased_count_ref").alias("phased_count_ref"),
         F.sum("largest").alias("num_snps_max_blk"),
     ).withColumn("chrom", F.coalesce("chrom", F.lit("All")))
-    for part in [sums, wide, *areas]:
+    medians = exact_quantiles(_by_chromosome_and_all(blocks.select("chrom", "span")), "span", {"median_block_length": 0.5}, ["chrom"])
+    for part in [sums, wide, medians, *areas]:
         report = report.join(F.broadcast(part), "chrom", "left")
     return report.withColumns({
         "phased_rate_asm": F.when(F.col("phased_count_ref") > 0, F.try_divide(F.col("flat_positions"), F.col("phased_count"))),

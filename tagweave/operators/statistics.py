@@ -96,7 +96,7 @@ def percent_of_total(df: DataFrame, value: str, name: str, keys: Sequence[str] =
     """Add 100 * value / total of the keys."""
     keys = list(keys)
     if keys:
-        joined = df.join(df.groupBy(*keys).agg(F.sum(value).alias("_total")), keys)
+        joined = lookup(df, df.groupBy(*keys).agg(F.sum(value).alias("_total")), keys)
     else:
         joined = df.withColumn("_total", df.agg(F.sum(value)).scalar())
     return joined.withColumn(name, F.try_divide(F.lit(100.0) * F.col(value), F.col("_total"))).drop("_total")

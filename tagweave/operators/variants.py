@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tagweave.functions.orderstats import exact_quantiles
 from tagweave.functions.scans import ordered_scan, running_sum
 from tagweave.functions.skew import lookup
+from tagweave.operators.intervals import overlap_join
 from tagweave.session import checkpointed
 
 INDEX_WIDTH = 1 << 20
@@ -86,10 +87,16 @@ def passes() -> Column:
     return F.col("filter") == F.array(F.lit("PASS"))
 
 
-def phase_input(variants: DataFrame) -> DataFrame:
-    """Variants that can be phased: passing, called 0/1 or 0/2."""
+def phase_input(variants: DataFrame, regions: DataFrame | None = None) -> DataFrame:
+    """Variants that can be phased: passing, called 0/1 or 0/2 and, where (chrom, start, end) regions are given, inside one."""
     g0, g1 = F.element_at("gt", 1), F.element_at("gt", 2)
-    return variants.where(passes() & (F.size("gt") == 2) & (g0 == 0) & g1.isin(1, 2))
+    kept = variants.where(passes() & (F.size("gt") == 2) & (g0 == 0) & g1.isin(1, 2))
+    if regions is None:
+        return kept
+    places = kept.select("chrom", F.col("pos").alias("start"), (F.col("pos") + 1).alias("end")).distinct()
+    wanted = regions.select("chrom", F.col("start").alias("r_start"), F.col("end").alias("r_end"))
+    inside = overlap_join(places, wanted, 1 << 14).select("chrom", F.col("start").alias("pos")).distinct().withColumn("_in", F.lit(True))
+    return lookup(kept, inside, ["chrom", "pos"]).where(F.col("_in")).drop("_in")
 
 
 def large_insertions(calls: DataFrame) -> DataFrame:

@@ -52,6 +52,12 @@ def use_checkpoint_dir(spark: SparkSession, folder: str) -> None:
         context.setCheckpointDir(folder)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A folder that the driver and all executors share."""
+    _ensure_checkpoint_dir(spark)
+    return spark.sparkContext.getCheckpointDir()
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder and cut its lineage."""
     _ensure_checkpoint_dir(df.sparkSession)

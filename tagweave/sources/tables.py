@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagweave.functions.skew import lookup
+
 MOLECULE_COLUMNS = ["MoleculeID", "Barcode", "Reads", "Length", "BpCovered"]
 
 
@@ -22,32 +25,33 @@ def read_merges(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("node string, label string").csv(path)
 
 
+def _place_of(path: Column, paths: Sequence[str]) -> Column:
+    """The place in ``paths`` of the file or folder that a file belongs to."""
+    return F.coalesce(*[F.when(path.rlike(f"(^|[/:]){re.escape(str(p).strip('/'))}(/[^/]*)?$"), F.lit(nr)) for nr, p in enumerate(paths)])
+
+
 def read_molecules(spark: SparkSession, paths: Sequence[str], number: str = "FileNr") -> DataFrame:
-    """Molecule tables of several files, numbered by place in ``paths``.
+    """Molecule tables of several files or folders in one read, numbered by place in ``paths``.
 
-    Empty files and files without the molecule columns are left out. Only headers are looked at on
-    the driver; the files of a genome's chunks are few.
+    A file's first line names its columns; files without the molecule columns, and empty ones, are left out.
     """
-    kept = []
-    for nr, path in enumerate(paths):
-        table = spark.read.option("sep", "\t").option("header", True).csv(path)
-        if set(MOLECULE_COLUMNS) <= set(table.columns):
-            kept.append((nr, path))
-    if not kept:
-        raise ValueError("no molecule tables among the inputs")
-    frames = [
-        spark.read.option("sep", "\t").option("header", True).csv(path).select(
-            F.col("MoleculeID").cast("long").alias("MoleculeID"),
-            "Barcode",
-            *[F.col(c).cast("long").alias(c) for c in MOLECULE_COLUMNS[2:]],
-            F.lit(nr).alias(number),
-        )
-        for nr, path in kept
-    ]
-    joined = frames[0]
-    for frame in frames[1:]:
-        joined = joined.unionByName(frame)
-    return joined
+    fields = spark.read.text([str(p) for p in paths]).select(
+        F.col("_metadata.file_path").alias("_path"), F.split("value", "\t").alias("_f")
+    )
+    wanted = F.array(*[F.lit(c) for c in MOLECULE_COLUMNS])
+    is_head = F.size(F.array_intersect("_f", wanted)) == len(MOLECULE_COLUMNS)
+    heads = fields.where(is_head).groupBy("_path").agg(F.min("_f").alias("_head"))
+    rows = lookup(fields.where(~is_head), heads, "_path").where(F.col("_head").isNotNull())
+
+    def value(name: str) -> Column:
+        return F.try_element_at("_f", F.array_position("_head", F.lit(name)).cast("int"))
+
+    return rows.select(
+        value("MoleculeID").cast("long").alias("MoleculeID"),
+        value("Barcode").alias("Barcode"),
+        *[value(c).cast("long").alias(c) for c in MOLECULE_COLUMNS[2:]],
+        _place_of(F.col("_path"), paths).alias(number),
+    )
 
 
 def read_words(spark: SparkSession, path: str, name: str = "bx") -> DataFrame:

@@ -272,3 +272,13 @@ def test_count_stream_shape(spark):
     rows = make_reads(spark, 2)
     assert sum(r.n for r in stream.stream_barcode_counts(rows).collect()) == 300
     assert bc.count_barcodes(rows, "bx").count() == 4
+
+
+def test_merged_variants_are_in_contig_order(spark):
+    from tagweave.operators import merging
+
+    rows = [("chr2", 5), ("chr10", 1), ("chr2", 3), ("odd", 2), ("chr10", 9)]
+    df = spark.createDataFrame(rows, "chrom string, pos long")
+    contigs = spark.createDataFrame([("chr2", 0), ("chr10", 1)], "name string, nr int")
+    got = merging.ordered_variants([df.where("pos < 4"), df.where("pos >= 4")], contigs).collect()
+    assert [tuple(r) for r in got] == [("chr2", 3), ("chr2", 5), ("chr10", 1), ("chr10", 9), ("odd", 2)]

@@ -38,7 +38,7 @@ from tagweave.session import checkpointed
 
 LENGTH = 400
 PIECE = 64
-GROUP_LIMIT = 4096
+GROUP_LIMIT = 1024
 # Strings sorted in one collection.
 COLLECTION = 2048
 

@@ -171,7 +171,8 @@ def _grouped(prints: DataFrame, id_column: str, name: str) -> DataFrame:
     classes = checkpointed(prints.groupBy(F.col(name).alias("fp")).agg(F.min(id_column).alias("first")))
     labels = connected_components(links(classes), "a", "b").withColumnRenamed("node", "fp")
     rooted = checkpointed(classes.join(labels, "fp", "left").withColumn("root", F.coalesce("label", "fp")))
-    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    # Written, so that the rows of one very large group are split in the next join.
+    smallest = checkpointed(rooted.groupBy("root").agg(F.min("first").alias("component_id")))
     table = checkpointed(rooted.select("fp", "root").join(smallest, "root").select("fp", "root", "component_id"))
     # Both sides are written tables, so a fingerprint shared by very many rows is split at run time.
     return prints.join(table, prints[name] == table["fp"]).select(*prints.columns, "root", "component_id")

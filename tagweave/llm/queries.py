@@ -68,7 +68,7 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(texts(spark, sf_dir))
 
 
-@CATALOG.query("op6_secret_scan")
+@CATALOG.query("op6_secret_scan", sql.SECRETS)
 def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document."""
     return secrets.scan(texts(spark, sf_dir)).select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tagweave.llm import secrets
 from tagweave.llm.licenses import MIN_DICE, TEMPLATES
 from tagweave.llm.rules import BOILERPLATE, BOILERPLATE_WORDS, MAX_LOST, MAX_MARKED, MIN_SEPARATORS
 
@@ -126,3 +127,55 @@ SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed
        CASE WHEN n_removed IS NULL THEN sha256(b) ELSE sha256(unhex(coalesce(digits, ''))) END AS kept_sha256
 FROM sized LEFT JOIN gone USING (doc_id) LEFT JOIN rest USING (doc_id)
 """
+
+
+def _quoted(pattern: str) -> str:
+    return pattern.replace("'", "''")
+
+
+def _matches(kind: int, pattern: str, kept: str = "true") -> str:
+    """Matches with their places: what stands before the i-th one are i pieces and i - 1 matches."""
+    p = _quoted(pattern)
+    return f"""SELECT doc_id, {kind} AS kind, shown, start, start + length(shown) AS stop FROM (
+      SELECT doc_id, m[i] AS shown, CAST(list_sum(list_transform(g[1 : i], lambda x: length(x)))
+             + coalesce(list_sum(list_transform(m[1 : i - 1], lambda x: length(x))), 0) AS BIGINT) AS start
+      FROM (SELECT doc_id, m, g, unnest(range(1, len(m) + 1)) AS i
+            FROM (SELECT doc_id, regexp_extract_all(t, '{p}') AS m, string_split_regex(t, '{p}') AS g FROM d WHERE regexp_matches(t, '{p}'))))
+    WHERE {kept}"""
+
+
+_RUN = "[A-Za-z0-9+/_=-]{%d,}" % secrets.WINDOW
+_ALLOWED = " OR ".join(f"regexp_matches(shown, '{_quoted(p)}')" for p in secrets.ALLOWED)
+_NAMES = "[" + ", ".join(f"'{k}'" for k in secrets.KINDS) + "][kind + 1]"
+_LIST = f"string_agg({_NAMES} || ':' || start || ':' || stop, ',' ORDER BY start, kind, stop)"
+
+# A candidate is a whole run of its letters here, without the look-around of the Spark form; windows are counted anew.
+SECRETS = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+base AS (
+  {_matches(0, secrets.ASSIGN, f"length(regexp_extract(shown, '{_quoted(secrets.ASSIGN)}', 2)) >= {secrets.ASSIGNED}")}
+  UNION ALL {_matches(1, secrets.ACCESS)}
+  UNION ALL {_matches(2, secrets.HEX)}),
+runs AS ({_matches(3, _RUN, f"regexp_matches(shown, '[0-9]') AND regexp_matches(shown, '[A-Za-z]') AND NOT ({_ALLOWED})")}),
+free AS (
+  SELECT * FROM runs r WHERE NOT EXISTS (
+    SELECT 1 FROM base b WHERE b.doc_id = r.doc_id AND b.start < r.stop AND r.start < b.stop)),
+windows AS (
+  SELECT doc_id, kind, start, shown, i, substr(shown, i + 1, {secrets.WINDOW}) AS w
+  FROM (SELECT *, unnest(range(0, length(shown) - {secrets.WINDOW - 1})) AS i FROM free)),
+rated AS (
+  SELECT *, log2({secrets.WINDOW}) - list_sum(list_transform(map_values(list_histogram(string_split(w, ''))), lambda n: n * log2(n)))
+            / {secrets.WINDOW} AS bits FROM windows),
+high AS (
+  SELECT doc_id, kind, start + min(i) AS start, start + max(i) + {secrets.WINDOW} AS stop FROM rated
+  WHERE bits >= CASE WHEN regexp_full_match(shown, '[0-9a-fA-F]+') THEN {secrets.HEX_BITS} ELSE {secrets.MIXED_BITS} END
+  GROUP BY doc_id, kind, start, shown),
+every AS (SELECT doc_id, kind, start, stop FROM base UNION ALL SELECT * FROM high),
+listed AS (SELECT doc_id, {_LIST} AS spans FROM every GROUP BY doc_id),
+based AS (
+  SELECT doc_id, {_LIST} AS spans, count(*) FILTER (kind = 0) AS a, count(*) FILTER (kind = 1) AS k, count(*) FILTER (kind = 2) AS h
+  FROM base GROUP BY doc_id)
+SELECT d.doc_id, coalesce(a, 0) AS n_assign, coalesce(k, 0) AS n_access, coalesce(h, 0) AS n_hex,
+       sha256(coalesce(based.spans, '')) AS base_sha256, coalesce(listed.spans, '') AS spans
+FROM d LEFT JOIN based USING (doc_id) LEFT JOIN listed USING (doc_id)
+"""

@@ -235,8 +235,13 @@ def heap_order(clusters: DataFrame, prefix: int = 16, buckets: int = 3) -> DataF
     slot = ["_layer", "_rest", "_slot"]
     placed = layered.withColumn("_rest", -F.col("_size")).withColumn("_slot", F.substring("_spot", 1, buckets))
     sizes = placed.groupBy(*slot).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy(*slot).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*slot, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    # One row per layer, then the slots of a layer: a window never holds all of them.
+    earlier = Window.rowsBetween(Window.unboundedPreceding, -1)
+    layers = sizes.groupBy("_layer").agg(F.sum("_n").alias("_n")).select(
+        "_layer", F.coalesce(F.sum("_n").over(earlier.orderBy("_layer")), F.lit(0)).alias("_base")
+    )
+    inside = F.coalesce(F.sum("_n").over(earlier.partitionBy("_layer").orderBy("_rest", "_slot")), F.lit(0))
+    offsets = sizes.withColumn("_inside", inside).join(layers, "_layer").select(*slot, (F.col("_base") + F.col("_inside")).alias("_offset"))
     within = Window.partitionBy(*slot).orderBy("_spot")
     return placed.join(offsets, slot).select(
         "canonical", (F.col("_offset") + F.row_number().over(within) - 1).alias("heap")

@@ -238,3 +238,37 @@ def test_size_labels(spark):
 def test_chromosome_order(spark):
     df = column(spark, ["chrUn", "chr10", "chrX", "chr2", "chrM", "chrY"])
     assert [r.v for r in df.orderBy(statistics.chromosome_rank(F.col("v"))).collect()] == ["chr2", "chr10", "chrX", "chrY", "chrM", "chrUn"]
+
+
+def test_lookups_of_alignments_do_not_depend_on_size(spark):
+    """SAM reads hold a map; every tool that looks something up gives the same rows and columns, broadcast or not."""
+    from tagweave.operators import molecules
+    from tagweave.sources import genomics
+
+    lines = [
+        f"r{i % 30}\t{67 if i % 2 else 147}\tchr{i % 2}\t{100 + 37 * i}\t60\t50M\t=\t9\t1\tA\tF\tBX:Z:B{i % 5}\tMI:i:{i % 7}\tNM:i:{i}" for i in range(60)
+    ]
+    sam = genomics.parse_sam(column(spark, lines, "line"))
+    labels = spark.createDataFrame([("B1", "B0"), ("B2", "B2")], "node string, label string")
+    tools = {
+        "strip": lambda: reads.strip_barcodes(sam, column(spark, ["B1", "B3"], "bx")),
+        "retag": lambda: components.retag(sam, labels),
+        "place dbs": lambda: molecules.place_reads(sam, "dbs"),
+        "place 10x": lambda: molecules.place_reads(sam, "10x"),
+        "tag": lambda: molecules.tag_reads(sam, "10x", min_reads=2),
+        "values": lambda: statistics.rows_with_values(sam, "bx", column(spark, ["B4"], "value")),
+        "duplicates": lambda: duplicates.mark_duplicates(sam, ["rname", "bx"], "mapq", "qname"),
+        "sorted": lambda: reads.coordinate_sorted(sam, spark.createDataFrame([("chr1", 0), ("chr0", 1)], "name string, nr int")),
+    }
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    seen = {}
+    try:
+        for bound in ("-1", before):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
+            for name, tool in tools.items():
+                made = tool()
+                found = (made.columns, sorted(map(str, made.collect())))
+                assert seen.setdefault(name, found) == found, name
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(seen["strip"][1]) == 60 and seen["retag"][0] == sam.columns

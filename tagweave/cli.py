@@ -9,7 +9,7 @@ import argparse
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagweave import config
@@ -83,6 +83,13 @@ def save_alignments(reads: DataFrame, path: str, barcode_tag: str = "BX", molecu
         reads.select(genomics.sam_line().alias("value")).write.mode("overwrite").text(path)
 
 
+def _show_counts(rows: DataFrame, **counters: Column) -> None:
+    """Print counters of a tool's rows, one aggregate for all of them."""
+    found = rows.agg(*[counter.alias(name) for name, counter in counters.items()]).first()
+    for name in counters:
+        print(f"{name.replace('_', ' ').capitalize():<40} {found[name] or 0:>15,}")
+
+
 def _alignment_arguments(parser: argparse.ArgumentParser, output: bool = True) -> None:
     parser.add_argument("input")
     if output:
@@ -157,7 +164,10 @@ def find_clusterdups(spark: SparkSession, args: argparse.Namespace) -> None:
     """Barcodes of one droplet, written as old,new pairs."""
     pairs = checkpointed(read_pairs(load_alignments(spark, args.input, args.barcode_tag), args.min_mapq))
     edges = duplicates.droplet_links(duplicates.seed_positions(pairs, args.quantile_threshold), args.library_type, args.window)
-    sinks.write_merges(components.connected_components(edges), args.output_merges)
+    labels = checkpointed(components.connected_components(edges))
+    sinks.write_merges(labels, args.output_merges)
+    _show_counts(pairs, proper_pairs=F.count(F.lit(1)), barcodes=F.count_distinct("bx"))
+    _show_counts(labels, merged_barcodes=F.count_if(F.col("node") != F.col("label")))
 
 
 def _merge_arguments(parser: argparse.ArgumentParser) -> None:
@@ -212,7 +222,10 @@ def _correct_arguments(parser: argparse.ArgumentParser) -> None:
 def correctbc(spark: SparkSession, args: argparse.Namespace) -> None:
     """Cluster table from raw barcode reads."""
     counts = checkpointed(bc.count_barcodes(sequences.read_fastq(spark, args.uncorrected_barcodes), "sequence"))
-    sinks.write_clusters(bc.correct_singles(counts), args.output)
+    clusters = checkpointed(bc.correct_singles(counts))
+    sinks.write_clusters(clusters, args.output)
+    _show_counts(counts, barcode_reads=F.sum("n"), raw_barcodes=F.count(F.lit(1)))
+    _show_counts(clusters, clusters=F.count(F.lit(1)))
 
 
 def _tagbam_arguments(parser: argparse.ArgumentParser) -> None:
@@ -226,6 +239,7 @@ def tagbam(spark: SparkSession, args: argparse.Namespace) -> None:
     reads = load_alignments(spark, args.input, args.barcode_tag)
     moved = rd.tags_from_names(reads, rd.detect_mode(reads), args.sample_nr, name_tag=args.barcode_tag)
     save_alignments(moved, args.output, args.barcode_tag)
+    _show_counts(moved, total_reads=F.count(F.lit(1)), reads_with_barcode=F.count("bx"), reads_with_raw_barcode=F.count("rx"))
 
 
 def _fastq_arguments(parser: argparse.ArgumentParser) -> None:
@@ -235,6 +249,7 @@ def _fastq_arguments(parser: argparse.ArgumentParser) -> None:
     parser.add_argument("--nr-bins", type=int, default=100)
     parser.add_argument("-m", "--mapper", default="bowtie2", choices=MAPPERS)
     parser.add_argument("--sample-nr", type=int, default=1)
+    parser.add_argument("-b", "--barcode-tag", default="BX")
 
 
 def _save_tagged(tagged: tagging.TaggedPairs, args: argparse.Namespace, plain_bins: bool = False) -> None:
@@ -252,6 +267,7 @@ def _tagfastq_arguments(parser: argparse.ArgumentParser) -> None:
     _fastq_arguments(parser)
     parser.add_argument("--min-count", type=int, default=0)
     parser.add_argument("-p", "--pattern-match")
+    parser.add_argument("-s", "--sequence-tag", default="RX")
 
 
 @command("tagfastq", _tagfastq_arguments)
@@ -260,7 +276,13 @@ def tagfastq(spark: SparkSession, args: argparse.Namespace) -> None:
     raw = sequences.barcode_reads(sequences.read_fastq(spark, args.uncorrected_barcodes))
     pairs = sequences.read_fastq_pairs(spark, args.input1, args.input2)
     clusters = tables.read_clusters(spark, args.corrected_barcodes)
-    _save_tagged(tagging.tag_pairs(pairs, raw, clusters, args.mapper, args.min_count, args.pattern_match, args.nr_bins), args)
+    options = (args.mapper, args.min_count, args.pattern_match, args.nr_bins, args.barcode_tag, args.sequence_tag)
+    tagged = tagging.tag_pairs(pairs, raw, clusters, *options)
+    _save_tagged(tagged, args)
+    _show_counts(
+        tagged.barcoded.select("barcode").unionByName(tagged.other.select("barcode")),
+        read_pairs=F.count(F.lit(1)), read_pairs_missing_barcode=F.count_if(F.col("barcode").isNull()),
+    )
 
 
 def _stlfr_arguments(parser: argparse.ArgumentParser) -> None:
@@ -276,7 +298,7 @@ def process_stlfr(spark: SparkSession, args: argparse.Namespace) -> None:
     codes = checkpointed(bc.generated_barcodes(parsed, "index", "place", 1 << 40))
     joined = lookup(parsed, codes, "index").withColumn("name", F.col("read_name"))
     if args.mapper not in bc.SORTED_MAPPERS:
-        named = F.when(F.col("barcode").isNotNull(), F.concat("name", F.lit("_BX:Z:"), "barcode")).otherwise(F.col("name"))
+        named = F.when(F.col("barcode").isNotNull(), F.concat("name", F.lit(f"_{args.barcode_tag}:Z:"), "barcode")).otherwise(F.col("name"))
         joined = joined.withColumn("name", named)
     joined = joined.withColumn("name2", F.col("name"))
     if args.mapper == "ema":
@@ -289,6 +311,9 @@ def process_stlfr(spark: SparkSession, args: argparse.Namespace) -> None:
         _save_tagged(binned, args)
     else:
         _save_tagged(tagging.TaggedPairs(joined, joined.limit(0)), args)
+    _show_counts(
+        parsed, read_pairs=F.count(F.lit(1)), read_pairs_missing_barcode=F.count_if(F.col("index").isNull()), barcodes=F.count_distinct("index")
+    )
     if args.output_translations:
         codes.write.mode("overwrite").csv(args.output_translations)
 

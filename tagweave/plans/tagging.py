@@ -28,6 +28,8 @@ def tag_pairs(
     min_count: int = 0,
     template: str | None = None,
     nr_bins: int = 100,
+    barcode_tag: str = "BX",
+    sequence_tag: str = "RX",
 ) -> TaggedPairs:
     """Correct, name and (for barcode-sorting mappers) order and bin read pairs.
 
@@ -35,12 +37,13 @@ def tag_pairs(
     """
     kept = checkpointed(bc.passing_clusters(clusters, min_count, template))
     joined = bc.attach_barcodes(pairs, raw_barcodes, kept)
-    second = bc.tagged_name(mapper) if mapper == "ema" else F.col("name2")
+    name = bc.tagged_name(mapper, barcode_tag, sequence_tag)
+    second = name if mapper == "ema" else F.col("name2")
     if mapper not in (*bc.SORTED_MAPPERS,):
         rest = F.regexp_extract("name2", r"^\S+\s+(.*)$", 1)
-        head = F.regexp_extract(bc.tagged_name(mapper), r"^(\S+)", 1)
+        head = F.regexp_extract(name, r"^(\S+)", 1)
         second = F.when(F.col("barcode").isNotNull(), F.concat(head, F.lit(" "), rest)).otherwise(F.col("name2"))
-    tagged = joined.withColumns({"name2": second, "name": bc.tagged_name(mapper)})
+    tagged = joined.withColumns({"name2": second, "name": name})
     if mapper not in bc.SORTED_MAPPERS:
         return TaggedPairs(tagged, tagged.where("false"))
     heaps = bc.heap_order(kept) if mapper == "ema" else bc.heap_order(kept, prefix=64)

@@ -47,7 +47,7 @@ def test_alignment_tools(run, spark, sam, tmp_path):
     assert spark.read.parquet(str(tmp_path / "got.parquet")).count() == 6
 
 
-def test_barcode_tools(run, spark, tmp_path):
+def test_barcode_tools(run, spark, tmp_path, capsys):
     seqs = ["AAAA", "AAAA", "AAAT", "GGGG", "GGGG", "CTCT"]
     (tmp_path / "bc.fastq").write_text("".join(f"@r{i} x\n{s}\n+\nFFFF\n" for i, s in enumerate(seqs)))
     (tmp_path / "r.fastq").write_text("".join(f"@r{i} {k}:N\nAC\n+\nFF\n" for i in range(6) for k in (1, 2)))
@@ -56,6 +56,10 @@ def test_barcode_tools(run, spark, tmp_path):
     run("tagfastq", tmp_path / "bc.fastq", tmp_path / "clusters", tmp_path / "r.fastq", "-o", tmp_path / "plain", "--min-count", 2)
     names = {r.value for r in spark.read.text(str(tmp_path / "plain/r1")).collect() if r.value.startswith("@")}
     assert "@r2_RX:Z:AAAT_BX:Z:AAAA 1:N" in names and "@r5 1:N" in names and len(names) == 6
+    shown = {line[:40].strip(): line[40:].strip() for line in capsys.readouterr().out.splitlines()}
+    assert shown["Read pairs"] == "6" and shown["Read pairs missing barcode"] == "1" and shown["Clusters"] == "3"
+    run("tagfastq", tmp_path / "bc.fastq", tmp_path / "clusters", tmp_path / "r.fastq", "-o", tmp_path / "other", "-b", "CB", "-s", "CR")
+    assert "@r2_CR:Z:AAAT_CB:Z:AAAA 1:N" in {r.value for r in spark.read.text(str(tmp_path / "other/r1")).collect()}
     run("tagfastq", tmp_path / "bc.fastq", tmp_path / "clusters", tmp_path / "r.fastq", "-o", tmp_path / "binned", "-m", "lariat", "--nr-bins", 2)
     binned = spark.read.text(str(tmp_path / "binned/bins")).collect()
     assert len(binned) == 6 * 9 and {r.bin for r in binned} <= {0, 1}

@@ -10,7 +10,7 @@ from tagweave.catalog import Catalog
 from tagweave.catalog.interval_queries import CATALOG as INTERVALS
 from tagweave.catalog.variant_queries import order_variants
 from tagweave.catalog.views import EVENT_READS, event_reads, table
-from tagweave.operators import merging, structural
+from tagweave.operators import merging, statistics, structural
 from tagweave.operators.reads import drop_phasing_tags
 from tagweave.session import shared_folder
 from tagweave.sinks import layouts
@@ -271,3 +271,56 @@ def report_text(spark, sf_dir):
     lines = sinks.stats_lines(nations.select("n_nationkey", "n_name"), "NK")
     counters = nations.select(F.col("n_name").alias("parameter"), (F.col("n_nationkey") * 1234).alias("value"))
     return lines.unionByName(sinks.summary_lines(counters))
+
+
+def spelled_reads(spark, sf_dir):
+    """Events as alignment text, parsed."""
+    e = F.col("event_id")
+    bases = F.concat(F.repeat(F.lit("G"), (e % 7).cast("int")), F.repeat(F.lit("a"), (e % 5).cast("int")), F.lit("N"))
+    line = F.concat_ws(
+        "\t", F.concat(F.lit("e"), e.cast("string")), F.when(e % 3 == 0, "1027").otherwise("67"), F.col("event_type"), (e + 1).cast("string"),
+        F.lit("60"), F.lit("4M"), F.lit("="), F.lit("7"), (e % 40 - 5).cast("string"), bases, F.lit("F"),
+    )
+    return genomics.parse_sam(table(spark, sf_dir, "events").select(line.alias("line")))
+
+
+@CATALOG.query(
+    "insert_sizes",
+    "SELECT event_id % 40 - 5 AS insert_size, count(*) AS n FROM events WHERE event_id % 3 <> 0 AND event_id % 40 > 5 GROUP BY 1",
+)
+def insert_sizes(spark, sf_dir):
+    """Insert sizes of proper pairs that are no duplicates."""
+    return statistics.insert_sizes(spelled_reads(spark, sf_dir))
+
+
+@CATALOG.query(
+    "gc_content",
+    """SELECT CAST(floor(100 * (event_id % 7) / (event_id % 7 + event_id % 5)) AS BIGINT) AS gc, count(*) AS n FROM events
+    WHERE event_id % 7 + event_id % 5 > 0 GROUP BY 1""",
+)
+def gc_content(spark, sf_dir):
+    """Reads by share of G and C."""
+    return statistics.gc_content(spelled_reads(spark, sf_dir))
+
+
+@CATALOG.query("longest_per_sample", "SELECT event_type AS path, max(user_id) AS longest FROM events GROUP BY 1")
+def longest_per_sample(spark, sf_dir):
+    """The largest value of each sample."""
+    return statistics.longest(table(spark, sf_dir, "events").select(F.col("event_type").alias("path"), "user_id"), "user_id")
+
+
+@CATALOG.query(
+    "phasing_stats_file",
+    """SELECT o_orderstatus AS sample, o_orderpriority AS chromosome, count(*) AS heterozygous_snvs,
+      count(*) FILTER (o_custkey % 5 <> 0) AS phased_snvs FROM orders GROUP BY ALL""",
+)
+def phasing_stats_file(spark, sf_dir):
+    """Phasing statistics written as a table and read again."""
+    stats = (
+        table(spark, sf_dir, "orders")
+        .groupBy(F.col("o_orderstatus").alias("#sample"), F.col("o_orderpriority").alias("chromosome"))
+        .agg(F.count(F.lit(1)).alias("heterozygous_snvs"), F.count_if(F.col("o_custkey") % 5 != 0).alias("phased_snvs"))
+    )
+    folder = new_folder(spark)
+    sinks.write_tsv(stats, folder)
+    return reports.read_phasing_stats(spark, folder)

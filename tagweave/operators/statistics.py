@@ -158,3 +158,23 @@ def chromosome_rank(name: Column) -> Column:
         F.coalesce(number, F.lit(0)).alias("number"),
         F.when(number.isNull(), bare).otherwise(F.lit("")).alias("name"),
     )
+
+
+def insert_sizes(reads: DataFrame) -> DataFrame:
+    """(insert_size, n) of proper pairs, counted at the read with the positive template length; duplicates and secondary records are left out."""
+    flag = F.col("flag")
+    usable = (flag.bitwiseAND(2) != 0) & (flag.bitwiseAND(1024 + 256 + 2048) == 0) & (F.col("template_length") > 0)
+    return reads.where(usable).groupBy(F.col("template_length").cast("long").alias("insert_size")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def gc_content(reads: DataFrame, sequence: str = "sequence") -> DataFrame:
+    """(gc, n): reads by whole percent of G and C among their known bases; reads without any are left out."""
+    strong = F.length(F.regexp_replace(sequence, "[^GCgc]", ""))
+    known = F.length(F.regexp_replace(sequence, "[^ACGTacgt]", ""))
+    percent = F.when(known > 0, F.floor(100 * strong / known).cast("long"))
+    return reads.select(percent.alias("gc")).where("gc IS NOT NULL").groupBy("gc").agg(F.count(F.lit(1)).alias("n"))
+
+
+def longest(rows: DataFrame, value: str, sample: str = "path") -> DataFrame:
+    """(sample, longest): the largest value of each sample."""
+    return rows.groupBy(sample).agg(F.max(value).alias("longest"))

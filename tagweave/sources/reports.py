@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagweave.functions.orderstats import ranked_totals
@@ -127,6 +127,15 @@ def parse_haplotag_log(lines: DataFrame) -> DataFrame:
     return values.unionByName(share.select("path", F.lit("% tagged").alias("parameter"), "value"))
 
 
+PHASING_COUNTS = ("variants", "phased", "heterozygous_variants", "heterozygous_snvs", "phased_snvs")
+
+
+def read_phasing_stats(spark: SparkSession, path: str) -> DataFrame:
+    """(sample, chromosome, counts...) of a tab-separated table of phasing statistics; its header begins with ``#sample``."""
+    rows = spark.read.option("sep", "\t").option("header", True).csv(path).withColumnRenamed("#sample", "sample")
+    return rows.select("sample", "chromosome", *[F.col(c).cast("long").alias(c) for c in PHASING_COUNTS if c in rows.columns])
+
+
 def phased_snv_share(stats: DataFrame, chromosomes: Sequence[str] | None = None) -> DataFrame:
     """(sample, chromosome, percent_snvs_phased) of per-chromosome phasing statistics, ALL left out."""
     rows = stats.where("chromosome <> 'ALL'")

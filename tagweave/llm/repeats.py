@@ -133,7 +133,8 @@ def _runs(texts: DataFrame, length: int, piece: int) -> DataFrame:
             names=["anchor", "run", "told", "n_bytes", "first", "last", "place"],
         )
 
-    return texts.mapInArrow(map_slices(work), _RUNS)
+    # A byte of text needs about 80 bytes here, so slices are smaller than elsewhere.
+    return texts.mapInArrow(map_slices(work, limit=1_000_000), _RUNS)
 
 
 def _cut(texts: DataFrame, edges: DataFrame, length: int) -> DataFrame:

@@ -129,6 +129,16 @@ class SpanHashes:
         return mixed((self._sums[width:] - self._sums[:n]) * self._down[:n])
 
 
+def repeated(keys: np.ndarray) -> np.ndarray:
+    """Whether an equal key exists elsewhere: values are sorted, and only those met twice are looked up."""
+    ordered = np.sort(keys)
+    twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+    if not len(twice):
+        return np.zeros(len(keys), dtype=bool)
+    at = np.minimum(np.searchsorted(twice, keys), len(twice) - 1)
+    return twice[at] == keys
+
+
 def signed(values: np.ndarray) -> np.ndarray:
     """Unsigned 64-bit values as the longs Spark holds."""
     return values.view(np.int64)

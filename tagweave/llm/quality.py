@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tagweave.llm.crf import Ascent, Chain, layout, marginals
-from tagweave.llm.octets import NOT_SPACE, SpanHashes, byte_table, map_slices, spans, text_bytes
+from tagweave.llm.octets import NOT_SPACE, SpanHashes, byte_table, map_slices, repeated, spans, text_bytes
 
 TRAIN_ROWS = 2000
 TRAIN_CHARS = 20_000
@@ -60,16 +60,6 @@ class Model:
     prior: float
 
 
-def _repeated(keys: np.ndarray) -> np.ndarray:
-    """Whether an equal key exists elsewhere."""
-    order = np.argsort(keys, kind="stable")
-    same = keys[order][1:] == keys[order][:-1]
-    out = np.zeros(len(keys), dtype=bool)
-    out[order[1:]] |= same
-    out[order[:-1]] |= same
-    return out
-
-
 def read_lines(octets: np.ndarray, offsets: np.ndarray) -> Lines:
     """The lines of a slice that have a word, with their numbers."""
     starts, ends, _ = spans(octets, offsets, NOT_SPACE)
@@ -105,7 +95,7 @@ def read_lines(octets: np.ndarray, offsets: np.ndarray) -> Lines:
     inner = np.zeros(len(words), dtype=bool)
     inner[:-1] = row[line_of_word[1:]] == row[line_of_word[:-1]]
     again = np.zeros(len(words), dtype=bool)
-    again[inner] = _repeated((pair + document)[inner])
+    again[inner] = repeated((pair + document)[inner])
     last = octets[ends - 1]
     letters = share(_UPPER) + share(_LOWER) + share(_WIDE)
     numbers = np.column_stack(
@@ -121,10 +111,10 @@ def read_lines(octets: np.ndarray, offsets: np.ndarray) -> Lines:
             word_share(last == ord("!")),
             _STOP[octets[ends[first + count - 1] - 1]],
             _UPPER[octets[starts[first]]] | _WIDE[octets[starts[first]]],
-            word_share(_repeated(in_line)),
+            word_share(repeated(in_line)),
             word_share(before),
             word_share(again),
-            _repeated(hashes.of(line_starts, line_ends) + row.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)),
+            repeated(hashes.of(line_starts, line_ends) + row.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)),
         ]
     ).astype(np.float64)
     return Lines(row, count, numbers)

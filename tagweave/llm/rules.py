@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tagweave.llm.octets import NOT_SPACE, SpanHashes, byte_table, map_slices, spans, text_bytes
+from tagweave.llm.octets import NOT_SPACE, SpanHashes, byte_table, map_slices, repeated, spans, text_bytes
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -54,10 +54,13 @@ _BOILERPLATE = re.compile("|".join(BOILERPLATE).encode())
 BOILERPLATE_WORDS = 12
 
 _SYMBOLS = byte_table(*[(ord(c), ord(c)) for c in "#*$%&|<>"])
-_SEPARATORS = (b"|", b">", b"\xc2\xbb", b"\xe2\x80\xba", b"/")
+_SEPARATORS = frozenset((b"|", b">", b"\xc2\xbb", b"\xe2\x80\xba", b"/"))
+_ANY_SEPARATOR = re.compile(rb"[|>/]|\xc2\xbb|\xe2\x80\xba")
+# Bytes that every mark or separator has one of; 0xBA and 0xBB end the two that are not ASCII.
+_MARK_BYTES = byte_table(*[(ord(c), ord(c)) for c in "#*$%&|<>!/"], (0xBA, 0xBB))
 _LETTER = byte_table((0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF))
 _NOT_NEWLINE = ~byte_table((0x0A, 0x0A))
-_MARKED = (re.compile(rb"[#*$%&|<>]{2}"), re.compile(rb"!!"))
+_MARKED = re.compile(rb"[#*$%&|<>]{2}|!!")
 
 _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_bad_lines", "n_lost_words")
 FIELDS = T.StructType([T.StructField(name, T.LongType()) for name in _COUNTS])
@@ -70,11 +73,14 @@ def line_fails(line: bytes) -> bool:
         return len(words) > 1
     if len(words) <= BOILERPLATE_WORDS and _BOILERPLATE.search(line.lower()):
         return True
-    separators = sum(word in _SEPARATORS for word in words)
-    if separators >= MIN_SEPARATORS and 5 * separators >= 2 * (len(words) - separators):
-        return True
-    marked = sum(any(mark.search(word) for mark in _MARKED) for word in words)
-    return len(words) > 2 and marked > MAX_MARKED * len(words)
+    # Most lines have neither separators nor marks; words are looked at one by one only where there are some.
+    if _ANY_SEPARATOR.search(line):
+        separators = sum(word in _SEPARATORS for word in words)
+        if separators >= MIN_SEPARATORS and 5 * separators >= 2 * (len(words) - separators):
+            return True
+    if len(words) < 3 or not _MARKED.search(line):
+        return False
+    return sum(bool(_MARKED.search(word)) for word in words) > MAX_MARKED * len(words)
 
 
 def _per_row(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -84,12 +90,11 @@ def _per_row(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 def _earlier(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each key: whether an equal one stands before it, and whether there is an equal one at all."""
-    order = np.argsort(keys, kind="stable")
-    same = keys[order][1:] == keys[order][:-1]
-    before, any_ = np.zeros(len(keys), dtype=bool), np.zeros(len(keys), dtype=bool)
-    before[order[1:]] = same
-    any_[order[1:]] = same
-    any_[order[:-1]] |= same
+    any_ = repeated(keys)
+    places = np.flatnonzero(any_)
+    order = places[np.argsort(keys[places], kind="stable")]
+    before = np.zeros(len(keys), dtype=bool)
+    before[order[1:]] = keys[order][1:] == keys[order][:-1]
     return before, any_
 
 
@@ -115,8 +120,7 @@ def measure(octets: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
         inside = np.flatnonzero(row_of[2:] == row_of[:-2])
         keys = words[inside] * np.uint64(0xA0761D6478BD642F) + words[inside + 1]
         keys = (keys ^ (keys >> np.uint64(29))) * np.uint64(0xE7037ED1A0B428DB) + words[inside + 2] + salt[row_of[inside]]
-        _, repeated = _earlier(keys)
-        hit = inside[repeated]
+        hit = inside[repeated(keys)]
         np.add.at(covered, hit, 1)
         np.add.at(covered, hit + 3, -1)
     out["n_repeat_words"] = _per_row(np.cumsum(covered)[: len(starts)] > 0, bounds)
@@ -130,12 +134,15 @@ def measure(octets: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     keys = hashes.of(line_starts, line_ends) + salt[line_row]
     duplicate = np.zeros(len(line_starts), dtype=bool)
     duplicate[worded] = _earlier(keys[worded])[0]
-    data = octets.tobytes()
-    bad = np.fromiter(
-        (w and line_fails(data[s:e]) for s, e, w in zip(line_starts.tolist(), line_ends.tolist(), worded.tolist(), strict=True)),
-        dtype=bool,
-        count=len(line_starts),
-    )
+
+    def holds(table: np.ndarray) -> np.ndarray:
+        sums = np.concatenate(([0], np.cumsum(table[octets])))
+        return sums[line_ends] > sums[line_starts]
+
+    # No rule can fail a longer line that has a letter and no byte of a mark or separator.
+    open_ = np.flatnonzero(worded & ((count <= BOILERPLATE_WORDS) | holds(_MARK_BYTES) | ~holds(_LETTER)))
+    data, bad = octets.tobytes(), np.zeros(len(line_starts), dtype=bool)
+    bad[open_] = [line_fails(data[s:e]) for s, e in zip(line_starts[open_].tolist(), line_ends[open_].tolist(), strict=True)]
     out["n_dup_lines"] = _per_row(duplicate, line_bounds)
     out["n_bad_lines"] = _per_row(bad, line_bounds)
     out["n_lost_words"] = _per_row(np.where(bad | duplicate, count, 0), line_bounds)

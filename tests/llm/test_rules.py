@@ -24,6 +24,8 @@ TEXTS = [
     "\n".join(" ".join(f"w{i}{j}###" for j in range(10)) for i in range(10)),
     "word" * 50_000,
     " ".join(f"w{i % 1000}" for i in range(60_000)),
+    *["\n".join(" ".join(f"w{k}{i}{j}{mark}" for j in range(14)) for i in range(5)) for k, mark in enumerate(["!!", "%%", " »", " ›", " /", "!", "#", ""])],
+    "\n".join(" ".join(str(i * j + 1000) for j in range(14)) for i in range(9)),
 ]
 
 

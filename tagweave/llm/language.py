@@ -5,8 +5,8 @@ language in the training texts); learned transitions say how likely the language
 each word's language probabilities, also in text that switches languages. Chains run along lines. A text's language is the one with
 the largest mean probability over its words, which is its score.
 
-The field is fitted on at most ``TRAIN_ROWS`` texts (about as many for each language), chosen by a hash of the id, each of at most
-``TRAIN_CHARS`` characters. Pieces of lines of different texts are strung together for that, so that transitions between languages are seen. At most
+The field is fitted on at most ``TRAIN_ROWS`` texts (the same number of each language, or all it has), the first by a hash of id and text within
+their language, each of at most ``TRAIN_CHARS`` characters. Pieces of lines of different texts are strung together for that, so that transitions between languages are seen. At most
 ``MAX_LANGUAGES`` languages, the most frequent ones, are learned. Prediction reads whole texts.
 
 Defined cases: a null text, and one without any letter, is ``und`` with score 1; no training rows: every text is ``und`` with score 0; repeated rows are
@@ -19,7 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -208,18 +208,28 @@ def has_letter(text: str | Column) -> Column:
 def training_rows(
     docs: DataFrame, text: str, lang: str, id_column: str, rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS
 ) -> list[tuple[str, str]]:
-    """(lower-cased text, language) of a bounded sample, about as many for each language."""
+    """(lower-cased text, language) of a bounded sample, the same number of each language or all it has."""
     usable = docs.where(F.col(lang).isNotNull() & has_letter(text) & (F.length(text) <= chars))
     counts = usable.groupBy(lang).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), lang).limit(MAX_LANGUAGES).collect()
     if not counts:
         return []
     each = max(rows // len(counts), 1)
     luck = F.pmod(F.xxhash64(F.lit("train"), id_column, text), F.lit(1 << 30))
+    # Rows that may be among the first of their language: so many more than needed that too few are hardly ever drawn.
+    enough = each + 6 * each**0.5 + 12
     wanted = F.lit(False)
     for r in counts:
-        # A quarter more than needed, as the number drawn varies.
-        wanted = wanted | ((F.col(lang) == r[0]) & (luck < F.lit(int((1 << 30) * min(1.0, 1.25 * each / r["n"])))))
-    drawn = usable.where(wanted).orderBy(luck).limit(rows).select(F.lower(text), lang).collect()
+        wanted = wanted | ((F.col(lang) == r[0]) & (luck < F.lit(int((1 << 30) * min(1.0, enough / r["n"])))))
+    place = F.row_number().over(Window.partitionBy("_lang").orderBy("_luck", "_id"))
+    drawn = (
+        usable.where(wanted)
+        .select(F.lower(text).alias("_text"), F.col(lang).alias("_lang"), luck.alias("_luck"), F.col(id_column).alias("_id"))
+        .withColumn("_place", place)
+        .where(F.col("_place") <= each)
+        .orderBy("_luck", "_id")
+        .select("_text", "_lang")
+        .collect()
+    )
     return [(r[0], r[1]) for r in drawn]
 
 

@@ -52,3 +52,13 @@ def test_nothing_to_learn(spark):
     assert model is None
     assert [tuple(r)[-2:] for r in language.identify(docs, model).collect()] == [("und", 0.0)]
     assert language.identify(docs.limit(0), model).count() == 0
+
+
+def test_sample_keeps_rare_languages(spark):
+    sizes = {f"l{k:02}": 3000 for k in range(8)} | {"r1": 60, "r2": 41, "r3": 5, "r4": 1}
+    rows = [(i, f"word{i} {name}", name) for i, name in enumerate(n for n, size in sizes.items() for _ in range(size))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    drawn = [name for _, name in language.training_rows(docs, "text", "lang", "doc_id", rows=480)]
+    assert {n: drawn.count(n) for n in sizes} == {n: min(40, size) for n, size in sizes.items()}
+    repeated = docs.where("lang = 'r1'").crossJoin(spark.range(20)).unionByName(docs.selectExpr("*", "0L as id"))
+    assert len(language.training_rows(repeated, "text", "lang", "doc_id", rows=480)) <= 480

@@ -9,6 +9,7 @@ The pattern tables go to the executors in parts of at most ``PART_BYTES`` of ite
 its findings to the same row: no part's size grows with the benchmark, and no document is shuffled.
 
 Defined cases: a null or empty text has no words and no hits; an item without words has no window; items with equal windows are all found;
+items with a null id are searched too, and all of them are one null entry of ``item_ids``;
 repeated rows stay; extra columns of the input stay, and result columns win over input columns of the same name; empty tables give empty
 results or no hits.
 """
@@ -192,7 +193,7 @@ def _pass(docs: DataFrame, part: DataFrame, window: int, text: str) -> DataFrame
             [{"begin": b, "end": e} for b, e in merged([*new, *[(x["begin"], x["end"]) for x in old]])]
             for new, old in zip(ranges, before[0], strict=True)
         ]
-        found = [sorted(new.union(old)) for new, old in zip(items, before[1], strict=True)]
+        found = [sorted(new.union(old), key=lambda i: (i is None, i or "")) for new, old in zip(items, before[1], strict=True)]
         columns = list(batch.columns)
         columns[at["n_words"]] = pa.array(n_words, type=pa.int64())
         columns[at["hits"]] = pa.array(hits, type=columns[at["hits"]].type)
@@ -212,9 +213,9 @@ def contaminated(
     min_percent: int = MIN_PERCENT,
     part_bytes: int = PART_BYTES,
 ) -> DataFrame:
-    """``docs`` with ``n_words``, ``hits`` (ranges of words), ``item_ids`` (sorted strings), ``n_hit`` and ``contaminated``."""
+    """``docs`` with ``n_words``, ``hits`` (ranges of words), ``item_ids`` (sorted strings, a null last), ``n_hit`` and ``contaminated``."""
     added = ["n_words", "hits", "item_ids", "n_hit", "contaminated"]
-    items = benchmark.select(F.col(item_id).cast("string").alias("id"), F.col(item_text).alias("text")).where("id IS NOT NULL")
+    items = benchmark.select(F.col(item_id).cast("string").alias("id"), F.col(item_text).alias("text"))
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     # Parts are dealt by hash; a part is expected to hold half the bound.
     parts = 1 if size <= part_bytes else 2 * size // part_bytes + 1

@@ -70,3 +70,31 @@ def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, "some words")], "doc_id long, text string")
     assert contamination.contaminated(docs, none).first().n_hit == 0
     assert contamination.contaminated(docs.limit(0), none).count() == 0
+
+
+@pytest.mark.parametrize("part_bytes", [10**9, 30])
+def test_null_item_ids(spark, part_bytes):
+    passages = [f"passage {k} " + " ".join(f"w{k}x{i}" for i in range(14)) for k in range(3)]
+    bench = spark.createDataFrame([(None, passages[0]), (None, passages[1]), (7, passages[2])], "item_id long, text string")
+    texts = [passages[0], f"{passages[1]} and {passages[0]}", f"{passages[2]} {passages[0]}", "nothing of them"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.n_hit, r.item_ids, r.contaminated) for r in contamination.contaminated(docs, bench, part_bytes=part_bytes).collect()}
+    assert got == {0: (16, [None], True), 1: (32, [None], True), 2: (32, ["7", None], True), 3: (0, [], False)}
+
+
+def test_sql_counts_null_item_ids(spark, tmp_path):
+    import duckdb
+
+    from tagweave.llm.queries import CATALOG
+
+    name = "op7_benchmark_decontamination"
+    bench = [(None, "some words that nobody else has"), (None, "and other words too"), (3, "a third item")]
+    texts = ["here are some words that nobody else has", "and other words too, a third item", None, "some words"]
+    for table, rows, schema in (("documents", list(enumerate(texts)), "doc_id long, text string"), ("benchmark", bench, "item_id long, text string")):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/{table}.parquet")
+    connection = duckdb.connect()
+    for table in ("documents", "benchmark"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{tmp_path}/{table}.parquet/*.parquet'")
+    relation = connection.execute(CATALOG.sql[name])
+    columns = [d[0] for d in relation.description]
+    assert sorted(map(tuple, CATALOG.queries[name](spark, str(tmp_path)).select(*columns).collect())) == sorted(relation.fetchall())

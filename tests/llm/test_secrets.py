@@ -120,3 +120,21 @@ def test_digest_and_empty(spark):
     row = secrets.scan(docs).select(F.sha2(secrets.listed("base"), 256)).first()
     assert row[0] == hashlib.sha256(b"").hexdigest()
     assert secrets.scan(docs.limit(0)).count() == 0
+
+
+def test_random_keys_of_each_class_are_masked(spark):
+    rng = random.Random(8)
+    lower, upper = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    classes = {"lower": lower + "0123456789", "upper": upper + "234567", "mixed": lower + upper + "0123456789"}
+    classes["base64"] = classes["mixed"] + "+/"
+    rows = []
+    for name, alphabet in classes.items():
+        for size in (20, 24, 32, 40):
+            keys = ["".join(rng.choice(alphabet) for _ in range(size)) for _ in range(100)]
+            rows += [(f"{name}{size}", f"the key {k} here") for k in keys if re.search("[0-9]", k) and re.search("[A-Za-z]", k)]
+    docs = spark.createDataFrame(rows, "name string, text string")
+    seen, found = {}, {}
+    for r in secrets.masked(docs).collect():
+        seen[r.name] = seen.get(r.name, 0) + 1
+        found[r.name] = found.get(r.name, 0) + (secrets.MASK in r.text)
+    assert all(seen[k] > 80 and found[k] >= 0.95 * seen[k] for k in seen), (found, seen)

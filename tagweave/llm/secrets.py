@@ -5,7 +5,8 @@ digits and ``+/_=-`` that hold a digit and a letter) are judged by the Shannon e
 of characters, and the sum of c*log2(c) over them, are kept up as one character enters and one leaves, so a step does not recount the
 window. Thresholds differ by character class: hexadecimal strings have at most 4 bits a character, others up to 6. The span
 reaches from the first window above its threshold to the last. Candidates that an allow-list knows as harmless (identifiers in a fixed layout,
-paths and slugs of plain words, placeholders) and those that touch a fixed pattern's span add nothing; :func:`masked` has thresholds for more classes (``by_class``).
+paths and slugs of plain words, placeholders) and those that touch a fixed pattern's span add nothing; :func:`masked` has thresholds for more classes
+and judges what placeholders and fixed patterns leave of a candidate (``by_class``).
 
 Places are code points; a match's place is the total length of the pieces and matches before it.
 
@@ -38,6 +39,8 @@ ALLOWED = (
 )
 # By class: what 99 of 100 strings of WINDOW random characters reach (32, 36, 62 and 64 characters to choose from).
 CLASS_BITS = {"upper": 3.34, "lower": 3.4, "mixed": 3.64, "base64": 3.64}
+# The part between separators that holds a placeholder's word.
+PLACEHOLDER = "(?i)(?<![A-Za-z0-9])[A-Za-z0-9]*?(?:example|sample|placeholder|changeme|xxxx|0123456789|abcdef)[A-Za-z0-9]*"
 MASK = "[SECRET]"
 
 
@@ -121,8 +124,27 @@ def _entropy_spans(text: Column, base: Column) -> Column:
     return F.filter(F.transform(F.filter(_found(text, CANDIDATE), wanted), judged), lambda s: s["start"].isNotNull())
 
 
+def _free_parts(c: Column, taken: Column) -> Column:
+    """What sorted spans leave of a candidate: (start, end, match) of its parts of at least ``WINDOW`` characters."""
+    ends = F.array(F.struct(c["end"].alias("start"), c["end"].alias("end")))
+    touching = F.filter(taken, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
+    nothing = F.array().cast("array<struct<start:int,end:int,match:string>>")
+
+    def step(state: Column, b: Column) -> Column:
+        part = F.substring(c["match"], state["at"] - c["start"] + 1, b["start"] - state["at"])
+        item = F.struct(state["at"].alias("start"), b["start"].alias("end"), part.alias("match"))
+        long = b["start"] - state["at"] >= WINDOW
+        return F.struct(
+            F.greatest(state["at"], b["end"]).alias("at"),
+            F.when(long, F.array_append(state["out"], item)).otherwise(state["out"]).alias("out"),
+        )
+
+    begin = F.struct(c["start"].alias("at"), nothing.alias("out"))
+    return F.aggregate(F.concat(touching, ends), begin, step, lambda state: state["out"])
+
+
 def _class_spans(text: Column, base: Column) -> Column:
-    """Entropy spans with a threshold for each character class, of candidates that touch no base span.
+    """Entropy spans with a threshold for each character class, of the parts of candidates outside base spans and placeholders.
 
     A run of letters and digits is judged by its class; a part with separators as a whole, as base64 if it has both cases.
     """
@@ -133,8 +155,11 @@ def _class_spans(text: Column, base: Column) -> Column:
         )
 
     def outside(c: Column) -> Column:
-        touches = F.exists(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
-        return F.filter(F.array(c), lambda p: ~p["match"].rlike(ALLOWED[1]) & ~touches)
+        held = F.transform(base, lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end")))
+        words = F.transform(
+            moved(_found(c["match"], PLACEHOLDER), c["start"]), lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"))
+        )
+        return _free_parts(c, F.array_sort(F.concat(held, words)))
 
     def pieces(part: Column) -> Column:
         runs = moved(_found(part["match"], "[A-Za-z0-9]{%d,}" % WINDOW), part["start"])
@@ -170,7 +195,7 @@ def _class_spans(text: Column, base: Column) -> Column:
 def scan(docs: DataFrame, text: str = "text", by_class: bool = False) -> DataFrame:
     """``docs`` with ``base`` and ``secrets``: sorted arrays of (start, kind, end); kinds are numbered as in :data:`KINDS`.
 
-    ``by_class`` has a threshold for each character class.
+    ``by_class`` has a threshold for each character class and judges what base spans and placeholders leave of a candidate.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
 

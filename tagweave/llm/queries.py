@@ -1,4 +1,4 @@
-"""The ten operators over the given tables, with production parameters; SQL where SQL can state the result."""
+"""The operators over the given tables, with production parameters; SQL where SQL can state the result."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagweave.catalog import Catalog
-from tagweave.llm import contamination, language, licenses, mixing, pii, quality, repeats, rules, secrets, simhash, sql
+from tagweave.llm import contamination, language, licenses, mixing, phrases, pii, quality, repeats, rules, secrets, simhash, sql
 
 CATALOG = Catalog()
 
@@ -118,3 +118,9 @@ def suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that lie in repeated strings of 400 bytes."""
     found = repeats.remove_repeats(texts(spark, sf_dir))
     return found.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"), "kept_sha256")
+
+
+@CATALOG.query("op11_phrase_collocations", sql.COLLOCATIONS)
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of every language."""
+    return phrases.collocations(table(spark, sf_dir, "documents").select("lang", "text"))

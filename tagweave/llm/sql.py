@@ -179,3 +179,34 @@ SELECT d.doc_id, coalesce(a, 0) AS n_assign, coalesce(k, 0) AS n_access, coalesc
        sha256(coalesce(based.spans, '')) AS base_sha256, coalesce(listed.spans, '') AS spans
 FROM d LEFT JOIN based USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
+
+COLLOCATIONS = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+places AS (
+  SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS k
+  FROM words, (VALUES (1), (2), (3)) AS sizes(size) WHERE len(w) >= size),
+grams AS (
+  SELECT lang, size, w[k : k + size - 1] AS w, count(*) AS f FROM places GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM grams WHERE size = 1 GROUP BY lang),
+candidates AS (SELECT * FROM grams WHERE size > 1 AND f >= 10),
+parts AS (
+  SELECT lang, w[k : k + 1] AS w, max(f) AS longer
+  FROM (SELECT lang, w, f, unnest([1, 2]) AS k FROM candidates WHERE size = 3) GROUP BY ALL),
+kept AS (
+  SELECT c.* FROM candidates c LEFT JOIN parts p ON c.lang = p.lang AND c.w = p.w
+  WHERE longer IS NULL OR 100 * longer < 50 * f),
+cuts AS (
+  SELECT c.lang, c.w, c.f AS a, k, x.f AS l, y.f AS r,
+         CAST(CAST(1000000 AS HUGEINT) * c.f * c.f // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM kept) c
+  JOIN grams x ON x.lang = c.lang AND x.w = c.w[1 : k] JOIN grams y ON y.lang = c.lang AND y.w = c.w[k + 1 : c.size]),
+best AS (SELECT *, row_number() OVER (PARTITION BY lang, w ORDER BY score, k) AS place FROM cuts),
+ranked AS (
+  SELECT lang, array_to_string(w, ' ') AS phrase, a, l, r, score,
+         row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(w, ' ')) AS rank
+  FROM best WHERE place = 1)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""

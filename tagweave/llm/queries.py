@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagweave.catalog import Catalog
-from tagweave.llm import contamination, language, licenses, mixing, phrases, pii, quality, repeats, rules, secrets, simhash, sql
+from tagweave.llm import alignment, contamination, language, licenses, mixing, phrases, pii, quality, repeats, rules, secrets, simhash, sql
 
 CATALOG = Catalog()
 
@@ -124,3 +124,11 @@ def suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best phrases of every language."""
     return phrases.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+@CATALOG.query("op12_tokenizer_alignment")
+def tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of two vocabularies lie over each other in every document."""
+    found = alignment.align(texts(spark, sf_dir))
+    groups = F.when(F.col("groups") == "", "").otherwise(digest("groups")).alias("groups_sha256")
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", groups)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagweave.catalog import Catalog
-from tagweave.llm import alignment, contamination, language, licenses, mixing, phrases, pii, quality, repeats, rules, secrets, simhash, sql
+from tagweave.llm import alignment, contamination, language, licenses, mixing, phrases, pii, quality, repeats, rules, secrets, simhash, sql, warc
 
 CATALOG = Catalog()
 
@@ -132,3 +132,14 @@ def tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = alignment.align(texts(spark, sf_dir))
     groups = F.when(F.col("groups") == "", "").otherwise(digest("groups")).alias("groups_sha256")
     return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", groups)
+
+
+@CATALOG.query("op13_warc_archive", sql.ARCHIVE)
+def warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page archived once by its payload, and read back."""
+    pages, folder = table(spark, sf_dir, "pages").select("page_id", "url", "html"), warc.new_folder(spark)
+    warc.write_archive(pages, folder)
+    kind = pages.schema["page_id"].dataType
+    return warc.read_archive(spark, folder).select(
+        F.col("key").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to")
+    )

@@ -23,10 +23,11 @@ COLUMNS = {
     "op9_quality_rules": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"],
     "op10_suffix_array_dedup": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
     "op12_tokenizer_alignment": ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
+    "op13_warc_archive": ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"],
     "op11_phrase_collocations": ["lang", "rank", "phrase", "a", "l", "r", "n", "score"],
 }
 # The table of which a query returns one row each; others return what SQL or their own tests say.
-ROWS_OF = {"op11_phrase_collocations": None}
+ROWS_OF = {"op11_phrase_collocations": None, "op13_warc_archive": ("pages", "page_id")}
 
 
 @pytest.fixture(scope="module")

@@ -36,9 +36,9 @@ MAX_WORDS = 3
 LEAST = 10
 TOP = 2000
 COVERED = 50
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 # Text whose suffixes one route gathers, before equal suffixes of a slice are joined.
-ROUTE_BYTES = 6_000_000
+ROUTE_BYTES = 2_500_000
 # Suffixes held by a task at once; beyond, equal ones are joined (and what is left is held).
 HELD_ROWS = 2_000_000
 # A pair is routed by three words from this many suffixes in a slice on, or from CROWD times the slice's share of a route.
@@ -67,31 +67,31 @@ def multikey_sort(symbols: np.ndarray, weights: np.ndarray | None = None, least:
     Equal partitions of ``known`` symbols that weigh less than ``least`` are not sorted further.
     """
     depth, n = symbols.shape
-    order = np.arange(n)
+    order = np.arange(n, dtype=np.int32)
     if not n:
         return Sorted(order, np.zeros(0, dtype=np.int8), np.zeros(0, dtype=bool))
     common = np.full(n, depth, dtype=np.int8)
     common[:1] = 0
     left = np.zeros(n, dtype=bool)
-    starts, sizes = np.zeros(1, dtype=np.int64), np.full(1, n, dtype=np.int64)
+    starts, sizes = np.zeros(1, dtype=np.int32), np.full(1, n, dtype=np.int32)
     for d in range(depth):
         done_starts, done_sizes = [starts[sizes < 2]], [sizes[sizes < 2]]
         starts, sizes = starts[sizes > 1], sizes[sizes > 1]
         while len(starts):
-            ends = np.cumsum(sizes)
+            ends = np.cumsum(sizes, dtype=np.int32)
             base = ends - sizes
-            places = np.arange(ends[-1]) + np.repeat(starts - base, sizes)
+            places = np.arange(ends[-1], dtype=np.int32) + np.repeat(starts - base, sizes)
             held = order[places]
             values = symbols[d][held]
             first, middle, last = values[base], values[base + sizes // 2], values[ends - 1]
             pivots = np.maximum(np.minimum(first, middle), np.minimum(np.maximum(first, middle), last))
             pivot = np.repeat(pivots, sizes)
             parts = (values < pivot, values == pivot, values > pivot)
-            counts = np.stack([np.add.reduceat(part, base, dtype=np.int64) for part in parts])
-            shifts = np.cumsum(counts, axis=0) - counts
+            counts = np.stack([np.add.reduceat(part, base, dtype=np.int32) for part in parts])
+            shifts = np.cumsum(counts, axis=0, dtype=np.int32) - counts
             for part, count, shift in zip(parts, counts, shifts, strict=True):
-                own = np.cumsum(count) - count
-                order[np.arange(count.sum()) + np.repeat(starts + shift - own, count)] = held[part]
+                own = np.cumsum(count, dtype=np.int32) - count
+                order[np.arange(count.sum(), dtype=np.int32) + np.repeat(starts + shift - own, count)] = held[part]
             for k in (1, 2):
                 # A part that has something before it begins where the symbols differ.
                 begins = (starts + shifts[k])[(counts[k] > 0) & (shifts[k] > 0)]

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tagweave.catalog import Catalog
-from tagweave.catalog.views import ANALYZABLE, EVENT_READS, event_reads
+from tagweave.catalog.views import ANALYZABLE, EVENT_READS, event_reads, reads_of, table
 from tagweave.operators import molecules as mol
+from tagweave.streaming import strict
 from tagweave.streaming.molecules import stream_sessions
 
 CATALOG = Catalog()
@@ -87,18 +88,30 @@ def molecule_session_windows(spark, sf_dir):
     return stream_sessions(event_reads(spark, sf_dir), WINDOW, MIN_MAPQ).where(F.col("Reads") >= MIN_READS)
 
 
-@CATALOG.query(
-    "molecule_sessions_strict",
-    f"""WITH RECURSIVE {EVENT_READS}, {STRICT}
+STRICT_MOLECULES = f"""WITH RECURSIVE {EVENT_READS}, {STRICT}
     SELECT rname, bx, mol_start AS StartPosition, max("end") AS EndPosition, count(*) AS Reads,
            max("end") - mol_start AS Length, CAST(sum(gain) AS BIGINT) AS BpCovered
-    FROM placed GROUP BY rname, bx, mol_start HAVING count(*) >= 3""",
-)
+    FROM placed GROUP BY rname, bx, mol_start HAVING count(*) >= 3"""
+
+
+@CATALOG.query("molecule_sessions_strict", STRICT_MOLECULES)
 def molecule_sessions_strict(spark, sf_dir):
     """Molecules under the transposase overlap rule."""
     return mol.build_molecules(event_reads(spark, sf_dir), "dbs", WINDOW, 3, MIN_MAPQ)
 
 
+@CATALOG.query("molecule_stream_strict", STRICT_MOLECULES)
+def molecule_stream_strict(spark, sf_dir):
+    """The same molecules from a stream over the events, folded behind the watermark."""
+    folder = strict.new_folder(spark)
+    schema = table(spark, sf_dir, "events").schema
+    # A pattern, as a stream's path may only name one file that way.
+    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
+    reads = strict.with_end(reads_of(events), f"{folder}/end")
+    strict.run_available(strict.stream_molecules(reads, "dbs", WINDOW, 3, MIN_MAPQ), folder)
+    return spark.read.schema(strict.MOLECULES).parquet(f"{folder}/molecules")
+
+
 @CATALOG.query(
     "read_molecules",
     f"""WITH RECURSIVE {EVENT_READS},

@@ -18,8 +18,13 @@ def seconds(column: str):
 
 def event_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as alignments: user = barcode, type = chromosome, second = start, value = length."""
+    return reads_of(table(spark, sf_dir, "events"))
+
+
+def reads_of(events: DataFrame) -> DataFrame:
+    """A batch or stream of events as alignments."""
     start = seconds("ts")
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         "event_id",
         F.concat(F.lit("r"), (F.col("event_id") % 7).cast("string")).alias("qname"),
         F.concat(F.lit("p"), F.floor(F.col("event_id") / 2).cast("string")).alias("pair"),

@@ -37,7 +37,7 @@ class Catalog:
 
 def load_catalog() -> Catalog:
     """Collect every query module."""
-    from tagweave.catalog import barcode_queries, duplicate_queries, molecule_queries, statistic_queries
+    from tagweave.catalog import barcode_queries, duplicate_queries, haplotype_queries, molecule_queries, statistic_queries
     from tagweave.catalog import interval_queries, run_queries, text_queries, variant_queries
 
     merged = Catalog()
@@ -47,6 +47,7 @@ def load_catalog() -> Catalog:
         duplicate_queries,
         barcode_queries,
         variant_queries,
+        haplotype_queries,
         interval_queries,
         text_queries,
         run_queries,

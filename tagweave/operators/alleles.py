@@ -10,9 +10,11 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -86,33 +88,54 @@ class Projection:
         return np.where(found & (offset < self._length[k]), self._read[k] + offset, -1)
 
 
-def project(cigars: list, starts: np.ndarray, sequences: list, qualities: list, sites: list[list[dict]]) -> list[tuple[int, int, str, int]]:
-    """(row, place of the site in its list, bases shown, least base quality) of every site that a read covers.
+def _octets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of an ASCII column and the offsets of its rows; a null is empty."""
+    column = column.fill_null("") if column.null_count else column
+    offsets = np.frombuffer(column.buffers()[1], dtype=np.int32)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1)
+    data = column.buffers()[2] if len(column) else None
+    return np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, dtype=np.uint8), offsets.astype(np.int64)
+
+
+_UPPER = np.arange(256, dtype=np.uint8)
+_UPPER[0x61:0x7B] -= 32
+
+
+@dataclass
+class Sites:
+    """Sites of a batch of reads: how many each read has, and flat arrays of their places and spans.
+
+    ``single`` marks one base against one base, where what follows does not matter.
+    """
+
+    counts: np.ndarray
+    pos: np.ndarray
+    span: np.ndarray
+    single: np.ndarray
+
+
+def project(cigars: list, starts: np.ndarray, sequences: pa.Array, qualities: pa.Array, sites: Sites) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+    """Row, place among ``sites``, bases shown and least base quality for every site that a read covers.
 
     A site of one base shows the base aligned to it. Of others, both the first base and the one behind the last must be aligned; what lies between
     in the read is shown, so inserted bases are part of it.
     """
-    counts = np.fromiter(map(len, sites), dtype=np.int64, count=len(sites))
-    rows = np.repeat(np.arange(len(sites)), counts)
-    which = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    flat = [s for own in sites for s in own]
-    at = np.array([s["pos"] for s in flat], dtype=np.int64)
-    # One base against one base: what follows does not matter.
-    plain = np.array([s["span"] == 1 and len(s["first"]) == 1 and len(s["second"]) == 1 for s in flat], dtype=bool)
-    span = np.array([s["span"] for s in flat], dtype=np.int64)
+    rows = np.repeat(np.arange(len(sites.counts)), sites.counts)
     projection = Projection(cigars, starts)
-    begin = projection.places(rows, at)
-    end = np.where(plain, begin + 1, projection.places(rows, at + span))
-    out = []
-    for k in np.flatnonzero((begin >= 0) & (end > begin)).tolist():
-        row, b, e = int(rows[k]), int(begin[k]), int(end[k])
-        bases, quality = sequences[row], qualities[row]
-        if bases is None or e > len(bases):
-            continue
-        told = len(quality or "") == len(bases)
-        least = min(map(ord, quality[b:e])) - 33 if told else UNKNOWN_QUALITY
-        out.append((row, int(which[k]), bases[b:e].upper(), least))
-    return out
+    begin = projection.places(rows, sites.pos)
+    end = np.where(sites.single, begin + 1, projection.places(rows, sites.pos + sites.span))
+    (bases, base_at), (marks, mark_at) = _octets(sequences), _octets(qualities)
+    sizes = np.diff(base_at)
+    found = np.flatnonzero((begin >= 0) & (end > begin) & (end <= sizes[rows])) if len(rows) else np.zeros(0, dtype=np.int64)
+    rows, begin, length = rows[found], begin[found], (end - begin)[found]
+    offsets = np.concatenate(([0], np.cumsum(length)))
+    inner = np.arange(offsets[-1]) - np.repeat(offsets[:-1], length)
+    shown = _UPPER[bases[np.repeat(base_at[rows] + begin, length) + inner]]
+    told = (np.diff(mark_at) == sizes)[rows]
+    at = np.where(np.repeat(told, length), np.repeat(mark_at[rows] + begin, length) + inner, 0)
+    values = marks[np.minimum(at, max(len(marks) - 1, 0))].astype(np.int64) - 33 if len(marks) else np.zeros(len(at), dtype=np.int64)
+    least = np.minimum.reduceat(values, offsets[:-1]) if len(found) else values
+    seen = pa.StringArray.from_buffers(len(found), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(shown)))
+    return rows, found, seen, np.where(told, least, UNKNOWN_QUALITY)
 
 
 def observed_alleles(reads: DataFrame, sites: DataFrame, keep: Sequence[str] = ("qname", "rname", "start", "bx"), width: int = SITE_WIDTH) -> DataFrame:
@@ -143,21 +166,14 @@ def observed_alleles(reads: DataFrame, sites: DataFrame, keep: Sequence[str] = (
         for batch in batches:
             held = {name: batch.column(k) for k, name in enumerate(batch.schema.names)}
             starts = held["start"].to_numpy(zero_copy_only=False).astype(np.int64)
-            texts = [held[c].to_pylist() for c in ("cigar", "sequence", "quality")]
-            shown = project(texts[0], starts, texts[1], texts[2], held["_sites"].to_pylist())
-            rows = pa.array([s[0] for s in shown], pa.int64())
-            offsets = np.asarray(held["_sites"].offsets)[:-1] - int(held["_sites"].offsets[0].as_py() if len(starts) else 0)
             flat = held["_sites"].flatten()
-            picked = pa.array([int(offsets[row]) + k for row, k, _, _ in shown], pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *[held[c].take(rows) for c in keep],
-                    flat.take(picked),
-                    pa.array([s[2] for s in shown], pa.string()),
-                    pa.array([s[3] for s in shown], pa.int32()),
-                ],
-                names=schema.names,
-            )
+            pos, span = (flat.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("pos", "span"))
+            short = [pc.equal(pc.utf8_length(flat.field(c)), 1).to_numpy(zero_copy_only=False) for c in ("first", "second")]
+            counts = pc.list_value_length(held["_sites"]).to_numpy(zero_copy_only=False).astype(np.int64)
+            own = Sites(counts, pos, span, (span == 1) & short[0].astype(bool) & short[1].astype(bool))
+            rows, picked, seen, least = project(held["cigar"].to_pylist(), starts, held["sequence"], held["quality"], own)
+            took = [held[c].take(pa.array(rows)) for c in keep]
+            yield pa.RecordBatch.from_arrays([*took, flat.take(pa.array(picked)), seen, pa.array(least.astype(np.int32))], names=schema.names)
 
     seen = met.mapInArrow(work, schema)
     side = F.when(F.col("_seen") == F.col("_site.first"), 0).when(F.col("_seen") == F.col("_site.second"), 1)

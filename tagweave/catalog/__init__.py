@@ -38,7 +38,7 @@ class Catalog:
 def load_catalog() -> Catalog:
     """Collect every query module."""
     from tagweave.catalog import barcode_queries, duplicate_queries, haplotype_queries, molecule_queries, statistic_queries
-    from tagweave.catalog import interval_queries, run_queries, text_queries, variant_queries
+    from tagweave.catalog import interval_queries, run_queries, text_queries, trimming_queries, variant_queries
 
     merged = Catalog()
     for module in (
@@ -51,6 +51,7 @@ def load_catalog() -> Catalog:
         interval_queries,
         text_queries,
         run_queries,
+        trimming_queries,
     ):
         merged.queries.update(module.CATALOG.queries)
         merged.sql.update(module.CATALOG.sql)

@@ -9,6 +9,7 @@ from tagweave.catalog.views import EVENT_READS, event_reads, table
 from tagweave.functions import dna
 from tagweave.functions.skew import lookup
 from tagweave.operators import barcodes as bc
+from tagweave.operators.editlinks import cluster_members, parent_links
 from tagweave.operators import reads as rd
 from tagweave.sinks import layouts
 
@@ -105,6 +106,32 @@ def barcode_edit_clusters(spark, sf_dir):
     return clusters.withColumn("components", F.concat_ws(",", "components"))
 
 
+@CATALOG.query(
+    "barcode_edit_links",
+    f"""WITH {RAW}
+    SELECT a.barcode, arg_min(b.barcode, (levenshtein(a.barcode, b.barcode), -b.reads, b.barcode)) AS parent,
+           CAST(min(levenshtein(a.barcode, b.barcode)) AS INT) AS distance
+    FROM raw a JOIN raw b ON b.reads >= 3 * a.reads AND levenshtein(a.barcode, b.barcode) <= 2 GROUP BY a.barcode""",
+)
+def barcode_edit_links(spark, sf_dir):
+    """The nearest much more frequent barcode of every barcode, within two edits."""
+    return parent_links(line_counts(spark, sf_dir), max_dist=2, ratio=3)
+
+
+@CATALOG.query(
+    "barcode_cluster_members",
+    f"""WITH RECURSIVE {RAW},
+    parent AS (SELECT a.barcode AS a, arg_min(b.barcode, (levenshtein(a.barcode, b.barcode), -b.reads, b.barcode)) AS b
+               FROM raw a JOIN raw b ON b.reads >= 2 * a.reads AND levenshtein(a.barcode, b.barcode) <= 2 GROUP BY a.barcode),
+    climb AS (SELECT barcode, barcode AS node FROM raw UNION ALL SELECT c.barcode, p.b FROM climb c JOIN parent p ON p.a = c.node),
+    root AS (SELECT barcode, node AS canonical FROM climb WHERE node NOT IN (SELECT a FROM parent))
+    SELECT canonical, barcode, reads AS n, CAST(sum(reads) OVER (PARTITION BY canonical) AS BIGINT) AS size FROM root JOIN raw USING (barcode)""",
+)
+def barcode_cluster_members(spark, sf_dir):
+    """Every barcode with the root of its chain of parents, one row each."""
+    return cluster_members(line_counts(spark, sf_dir), max_dist=2, ratio=2)
+
+
 @CATALOG.query(
     "wanted_barcodes",
     f"""WITH {RAW}, c AS (SELECT substr(barcode, 1, CAST(reads % 6 + 5 AS INTEGER)) || CASE WHEN reads % 7 = 0 THEN 'N' ELSE '' END AS barcode FROM raw)

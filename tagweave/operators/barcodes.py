@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagweave.functions import dna
 from tagweave.functions.scans import ordered_scan, row_index, running_sum
 from tagweave.functions.skew import lookup
+from tagweave.operators.editlinks import cluster_members
 from tagweave.session import checkpointed
 
 # Read mappers and how they want barcodes: sorted by barcode, or only named in the header.
@@ -91,67 +90,14 @@ def match_whitelist(counts: DataFrame, whitelist: DataFrame, hamming: bool = Fal
     return exact.join(near, "barcode", "left").select("barcode", "n", F.coalesce("_hit", "_near").alias("corrected"))
 
 
-def edit_neighbours(barcodes: DataFrame, barcode: str, max_dist: int) -> DataFrame:
-    """(a, b) pairs, a <> b, within ``max_dist`` edits, found through shared deletion variants.
-
-    Two strings within d edits share a string got by deleting at most d characters from each, so
-    the candidates come from an equi-join on variants and are then checked exactly.
-    """
-    variants = barcodes.select(F.col(barcode).alias("b"), F.col(barcode).alias("v"))
-    levels = [variants]
-    for _ in range(max_dist):
-        drop = F.transform(
-            F.sequence(F.lit(1), F.length("v")),
-            lambda i: F.concat(F.substring(F.col("v"), F.lit(1), i - 1), F.substring(F.col("v"), i + 1, F.length("v"))),
-        )
-        nonempty = levels[-1].where(F.length("v") > 0)
-        levels.append(nonempty.select("b", F.explode(F.array_distinct(drop)).alias("v")).distinct())
-    keyed = reduce(DataFrame.unionByName, levels).distinct()
-    other = keyed.select(F.col("b").alias("a"), "v")
-    return (
-        other.join(keyed, "v")
-        .where("a <> b")
-        .select("a", "b")
-        .distinct()
-        .withColumn("distance", F.levenshtein("a", "b", max_dist))
-        .where("distance >= 0")
-    )
-
-
 def cluster_by_messages(counts: DataFrame, max_dist: int = 2, ratio: int = 5) -> DataFrame:
-    """Cluster table by message passing on edit distance.
+    """Cluster table by message passing on edit distance, the members of a cluster as one list, as cluster files have them.
 
-    A barcode hands its reads to the neighbour that is at least ``ratio`` times as frequent, nearest
-    first, then most frequent, then smallest; chains end at their root.
+    A barcode hands its reads to the neighbour that is at least ``ratio`` times as frequent, nearest first, then most frequent, then smallest;
+    chains end at their root. ``editlinks.cluster_members`` gives members by row.
     """
-    table = checkpointed(counts.select("barcode", "n"))
-    pairs = edit_neighbours(table, "barcode", max_dist)
-    small = table.select(F.col("barcode").alias("a"), F.col("n").alias("na"))
-    large = table.select(F.col("barcode").alias("b"), F.col("n").alias("nb"))
-    parents = (
-        pairs.join(small, "a")
-        .join(large, "b")
-        .where(F.col("nb") >= F.col("na") * ratio)
-        .groupBy("a")
-        .agg(F.min(F.struct("distance", (-F.col("nb")).alias("order"), "b")).alias("_p"))
-        .select("a", F.col("_p.b").alias("parent"))
-    )
-    # Pointer jumping: chains strictly grow in count by the ratio, so log2(depth) rounds end it.
-    links = checkpointed(parents)
-    while True:
-        up = links.select(F.col("a").alias("parent"), F.col("parent").alias("_up"))
-        moved = checkpointed(
-            links.join(up, "parent", "left").select("a", F.coalesce("_up", "parent").alias("parent"), F.col("_up").isNotNull().alias("_m"))
-        )
-        links = moved.drop("_m")
-        if moved.where("_m").isEmpty():
-            break
-    rooted = table.join(links.withColumnRenamed("a", "barcode"), "barcode", "left").select(
-        F.coalesce("parent", "barcode").alias("canonical"), "barcode", "n"
-    )
-    return rooted.groupBy("canonical").agg(
-        F.sum("n").alias("size"), F.sort_array(F.collect_list("barcode")).alias("components")
-    )
+    members = cluster_members(counts, max_dist, ratio)
+    return members.groupBy("canonical").agg(F.max("size").alias("size"), F.sort_array(F.collect_list("barcode")).alias("components"))
 
 
 def passing_clusters(clusters: DataFrame, min_count: int = 0, template: str | None = None) -> DataFrame:

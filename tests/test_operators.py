@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tagweave.functions import dna
 from tagweave.operators import barcodes as bc
+from tagweave.operators import editlinks
 from tagweave.operators import components, contigs, duplicates, gaps, intervals, reads, statistics, structural
 
 
@@ -52,7 +53,7 @@ def test_single_correction_brute_force(spark, seed):
     assert got == expected
 
 
-def test_edit_neighbours_brute_force(spark):
+def test_edit_links_brute_force(spark):
     rng = random.Random(5)
     words = sorted({"".join(rng.choice("ACG") for _ in range(rng.randrange(4, 7))) for _ in range(60)})
 
@@ -64,9 +65,33 @@ def test_edit_neighbours_brute_force(spark):
                 before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
         return row[-1]
 
-    expected = {(a, b): distance(a, b) for a, b in itertools.permutations(words, 2) if distance(a, b) <= 2}
-    found = bc.edit_neighbours(column(spark, words), "v", 2).collect()
-    assert {(r.a, r.b): r.distance for r in found} == expected
+    # Crowded segments: half of the words share most of their letters.
+    words += ["AAAAAAAA" + w for w in words[:30]] + ["A", "", "AC"]
+    counts = {w: rng.choice([1, 1, 1, 2, 3, 5, 9, 30]) for w in words}
+    frame = spark.createDataFrame(list(counts.items()), "barcode string, n long")
+    for max_dist, ratio in ((1, 2), (2, 3)):
+        expected = {}
+        for w in words:
+            near = [(distance(w, x), -counts[x], x) for x in words if counts[x] >= ratio * counts[w] and abs(len(w) - len(x)) <= max_dist]
+            near = [t for t in near if t[0] <= max_dist]
+            if near:
+                expected[w] = (min(near)[2], min(near)[0])
+        for intact in (None, 1, 2, 3):
+            found = editlinks.parent_links(frame, max_dist, ratio, intact).collect()
+            assert {r.barcode: (r.parent, r.distance) for r in found} == expected
+        root = {w: w for w in words}
+        for w in words:
+            while root[w] in expected:
+                root[w] = expected[root[w]][0]
+        size = {r: sum(counts[w] for w in words if root[w] == r) for r in set(root.values())}
+        members = editlinks.cluster_members(frame, max_dist, ratio).collect()
+        assert sorted(map(tuple, members)) == sorted((root[w], w, counts[w], size[root[w]]) for w in words)
+
+
+def test_edit_links_of_empty_tables_and_key_lengths(spark):
+    empty = spark.createDataFrame([], "barcode string, n long")
+    assert editlinks.parent_links(empty).count() == 0 and editlinks.cluster_members(empty).count() == 0
+    assert [editlinks.intact_segments(n, 20, 2) for n in (10, 10**6, 10**9)] == [1, 2, 3]
 
 
 def test_bins_row_by_row(spark):

@@ -100,13 +100,19 @@ def shared_pairs(seeds: DataFrame) -> DataFrame:
 
 
 def barcode_edges(seeds: DataFrame, library_type: str = "dbs", window: int = 30000) -> DataFrame:
-    """Distinct (src, dst) barcode links.
+    """Distinct (src, dst) barcode links, all pairs of a position being compared.
 
-    Positions have start < end. A link needs positions q before p with p.start - q.end in [0, window] or equal to a tolerated
-    overlap. Only existence matters, so q is looked up through the smallest and largest end of each
+    Positions have start < end. A link needs positions q before p with p.start - q.end in [0, window] or equal to a tolerated overlap.
+    """
+    return _linked(checkpointed(shared_pairs(seeds)), library_type, window)
+
+
+def _linked(pairs: DataFrame, library_type: str, window: int) -> DataFrame:
+    """(src, dst) of barcode pairs that meet at two positions an acceptable distance apart.
+
+    Only existence matters, so q is looked up through the smallest and largest end of each
     window-wide bucket instead of being joined to p pair by pair: every step is a partial aggregate.
     """
-    pairs = checkpointed(shared_pairs(seeds))
     keys = ["rname", "a", "b"]
     band = TOLERATED_OVERLAP[library_type]
     if band is None:
@@ -141,35 +147,51 @@ def barcode_edges(seeds: DataFrame, library_type: str = "dbs", window: int = 300
     return near.unionByName(overlapping).distinct().select(F.col("a").alias("src"), F.col("b").alias("dst"))
 
 
-def droplet_links(seeds: DataFrame, library_type: str = "dbs", window: int = 30000) -> DataFrame:
-    """(src, dst) links with the components of :func:`barcode_edges`, linear in the rows that positions share.
+def _reach(rows: DataFrame, library_type: str, window: int) -> tuple[DataFrame, DataFrame, str]:
+    """Slots in which a position waits for later ones, slots in which it looks for earlier ones, and what holds of a pair (q, p)."""
+    band, width = TOLERATED_OVERLAP[library_type], window + 1
+    slot = lambda place: F.floor(place / width)
+    start, end = F.col("at.start"), F.col("at.end")
+    if band is None:
+        waits = rows.withColumn("slot", F.explode(F.sequence(slot(start), slot(end + window))))
+        return waits, rows.withColumn("slot", slot(start)), f"q < p AND p.start - q.end <= {window}"
+    # Slots of tolerated overlaps are single ends, numbered below zero.
+    low, high = band
+    waits = rows.withColumn("slot", F.explode(F.array(slot(end), -1 - end)))
+    overlaps = F.transform(F.sequence(F.lit(low), F.lit(high)), lambda n: -1 - start - n)
+    looks = rows.withColumn("slot", F.explode(F.concat(F.array(slot(start), slot(start) - 1), overlaps)))
+    near = f"slot >= 0 AND p.start - q.end BETWEEN 0 AND {window}"
+    return waits, looks, f"({near}) OR (slot < 0 AND q < p)"
+
+
+def droplet_links(seeds: DataFrame, library_type: str = "dbs", window: int = 30000, crowd: int = 8) -> DataFrame:
+    """(src, dst) links with the components of :func:`barcode_edges`, linear in positions, whatever a barcode's share of them.
 
-    Every barcode is looked up at pairs of positions that lie an acceptable distance apart; all barcodes of one such pair are linked to each
-    other, so it is enough to tie them to the smallest.
+    A barcode with at most ``crowd`` positions in reach of each other is looked up at pairs of its positions; all such barcodes of one pair are
+    tied to the smallest. A *crowded* barcode is not: it is paired with the other barcodes of its positions, a row each, and a link is
+    read off the ends met in each slot. Starts are 0 or more.
     """
-    band = TOLERATED_OVERLAP[library_type]
-    if band is None:
-        return barcode_edges(seeds, library_type, window)
     rows = checkpointed(seeds.select("rname", "bx", F.struct("start", "end", "orientation").alias("at")))
-    width = window + 1
-    later = rows.select("rname", "bx", F.col("at").alias("p"))
-    earlier = rows.select("rname", "bx", F.col("at").alias("q"))
-    near = (
-        later.withColumn("slot", F.explode(F.array(F.floor(F.col("p.start") / width), F.floor(F.col("p.start") / width) - 1)))
-        .join(earlier.withColumn("slot", F.floor(F.col("q.end") / width)), ["rname", "bx", "slot"])
-        .where((F.col("p.start") - F.col("q.end")).between(0, window))
-    )
-    low, high = band
-    overlapping = (
-        later.withColumn("stop", F.explode(F.sequence(F.col("p.start") + low, F.col("p.start") + high)))
-        .join(earlier.withColumn("stop", F.col("q.end")), ["rname", "bx", "stop"])
-        .where("q < p")
+    waits, _, _ = _reach(rows, library_type, window)
+    crowded = waits.groupBy("rname", "bx", "slot").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > crowd)
+    marked = checkpointed(lookup(rows, crowded.select("rname", "bx").distinct().withColumn("_crowded", F.lit(True)), ["rname", "bx"]))
+    waits, looks, holds = _reach(marked.where("_crowded IS NULL").drop("_crowded"), library_type, window)
+    met = checkpointed(
+        looks.withColumnRenamed("at", "p")
+        .join(waits.withColumnRenamed("at", "q"), ["rname", "bx", "slot"])
+        .where(holds)
+        .select("rname", "q", "p", "bx")
     )
-    met = checkpointed(near.select("rname", "q", "p", "bx").unionByName(overlapping.select("rname", "q", "p", "bx")))
     groups = met.groupBy("rname", "q", "p").agg(F.min("bx").alias("src"), F.max("bx").alias("_most")).where("src < _most")
-    on = ["rname", "q", "p"]
     held = checkpointed(groups.drop("_most"))
-    return met.join(held, on).where("bx > src").select("src", F.col("bx").alias("dst")).distinct()
+    few = met.join(held, ["rname", "q", "p"]).where("bx > src").select("src", F.col("bx").alias("dst"))
+    many = marked.where("_crowded").select("rname", "at", F.col("bx").alias("_h"))
+    if many.isEmpty():
+        return few.distinct()
+    # Two crowded barcodes find each other from either side; one side is enough.
+    paired = many.join(marked, ["rname", "at"]).where("_h <> bx AND (_crowded IS NULL OR _h < bx)")
+    pairs = checkpointed(paired.select("rname", "at.*", F.least("_h", "bx").alias("a"), F.greatest("_h", "bx").alias("b")))
+    return few.unionByName(_linked(pairs, library_type, window)).distinct()
 
 
 def mark_duplicates(reads: DataFrame, keys: Sequence[str], quality: str, name: str) -> DataFrame:

@@ -297,3 +297,57 @@ def test_lookups_of_alignments_do_not_depend_on_size(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert len(seen["strip"][1]) == 60 and seen["retag"][0] == sam.columns
+
+
+def _component_sets(links):
+    parent = {}
+
+    def find(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        parent[find(a)] = find(b)
+    groups = {}
+    for x in list(parent):
+        groups.setdefault(find(x), set()).add(x)
+    return sorted(map(sorted, groups.values()))
+
+
+@pytest.mark.parametrize("library", ["dbs", "tellseq", "10x"])
+def test_droplet_links_have_the_components_of_all_pairs(spark, library):
+    """Barcodes with few and with many positions in reach, whichever way they are looked up."""
+    rng = random.Random(11)
+    rows = set()
+    for _ in range(260):
+        start = rng.randrange(0, 1500)
+        place = ("c", start, start + rng.randrange(20, 90), rng.choice("FR"))
+        for bx in rng.sample([f"b{k:02d}" for k in range(30)], rng.choice([1, 2, 2, 3])) + (["hot"] if rng.random() < 0.6 else []):
+            rows.add((*place, bx))
+    frame = spark.createDataFrame(sorted(rows), "rname string, start long, end long, orientation string, bx string")
+    expected = _component_sets(map(tuple, duplicates.barcode_edges(frame, library, 25).collect()))
+    assert expected
+    for crowd in (0, 3, 8, 1000):
+        assert _component_sets(map(tuple, duplicates.droplet_links(frame, library, 25, crowd).collect())) == expected
+
+
+@pytest.mark.parametrize("library", ["dbs", "10x"])
+def test_droplet_links_write_rows_in_proportion(spark, library, monkeypatch):
+    """One barcode at 5,000 positions of one window: less than ten rows are written for each that is given."""
+    rows = [("c", k, k + 5000, "F", "hot") for k in range(5000)] + [("c", k, k + 5000, "F", f"b{k % 1500:04d}") for k in range(0, 5000, 2)]
+    frame = spark.createDataFrame(rows, "rname string, start long, end long, orientation string, bx string")
+    written = []
+
+    def counted(df, keep=duplicates.checkpointed):
+        held = keep(df)
+        written.append(held.count())
+        return held
+
+    monkeypatch.setattr(duplicates, "checkpointed", counted)
+    links = duplicates.droplet_links(frame, library, 30_000)
+    found = {tuple(r) for r in links.collect()}
+    assert sum(written) < 10 * len(rows)
+    # Each of these barcodes is met at two or more of the positions that "hot" is at, all of which overlap.
+    assert found == (set() if library == "dbs" else {(f"b{k:04d}", "hot") for k in range(0, 1500, 2)})

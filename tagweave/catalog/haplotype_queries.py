@@ -8,6 +8,7 @@ from tagweave.catalog import Catalog
 from tagweave.catalog.variant_queries import _sql_view, order_variants
 from tagweave.catalog.views import table
 from tagweave.operators import haplotag as hap
+from tagweave.operators import pair_duplicates as pairs
 from tagweave.session import checkpointed
 
 CATALOG = Catalog()
@@ -188,3 +189,46 @@ def fragments_parse(spark, sf_dir):
         "name", "barcode", F.size("blocks").alias("n_blocks"), "variants", F.col("blocks")[0]["first"].alias("first"),
         F.array_join("blocks.qualities", "").alias("qualities"),
     )
+
+
+def _crowded_reads(spark, sf_dir):
+    """The reads above, moved together and turned, so that many share their unclipped ends."""
+    moved = F.col("start") % 600
+    reads = line_reads(spark, sf_dir)
+    return reads.withColumns(
+        {
+            "end": F.col("end") - moved,
+            "start": F.col("start") - moved,
+            "flag": (F.col("flag") + F.when(F.col("mapq") % 2 == 0, 16).otherwise(0)).cast("int"),
+            "bx": F.when(F.col("mapq") % 3 != 0, F.col("rname")),
+        }
+    )
+
+
+CROWDED = f"""{_sql_view('v', False)}, {READS},
+moved AS (
+  SELECT qname, flag + CASE WHEN mapq % 2 = 0 THEN 16 ELSE 0 END AS flag, rname, start - start % 600 AS start, "end" - start % 600 AS "end",
+         shape, CASE WHEN mapq % 3 <> 0 THEN rname ELSE '' END AS code, mapq,
+         CAST(list_sum(list_filter(list_transform(range(40), lambda i: (i * 3 + l_linenumber * 5) % 40), lambda q: q >= 15)) AS BIGINT) AS score
+  FROM reads),
+ended AS (
+  SELECT *, row_number() OVER () AS k,
+         {{'rname': rname, 'place': CASE WHEN flag & 16 = 0 THEN start - CASE shape WHEN 1 THEN 5 WHEN 3 THEN 10 ELSE 0 END ELSE "end" - 1 END,
+           'reverse': flag & 16 <> 0, 'code': code}} AS e
+  FROM moved),
+good AS (SELECT * FROM ended WHERE flag & 256 = 0),
+names AS (SELECT qname, count(*) AS n, min(e) AS low, max(e) AS high, sum(score) AS score FROM good GROUP BY qname),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY low, high ORDER BY score DESC, qname) AS place FROM names WHERE n = 2),
+single AS (SELECT g.k, g.e, g.score, g.qname, first_value(g.qname) OVER (PARTITION BY g.e ORDER BY g.score DESC, g.qname) AS keep
+           FROM good g JOIN names USING (qname) WHERE n <> 2),
+again AS (
+  SELECT k FROM good JOIN ranked USING (qname) WHERE place > 1
+  UNION SELECT k FROM single WHERE qname <> keep OR e IN (SELECT low FROM ranked UNION SELECT high FROM ranked)),
+marked AS (SELECT qname, rname, start, "end", mapq, (flag & ~1024) | CASE WHEN k IN (SELECT k FROM again) THEN 1024 ELSE 0 END AS flag FROM ended)"""
+
+
+@CATALOG.query("mark_pair_duplicates", f"WITH {CROWDED} SELECT * FROM marked")
+def mark_pair_duplicates(spark, sf_dir):
+    """Reads with duplicates by the unclipped ends of both mates marked."""
+    marked = pairs.mark_pair_duplicates(_crowded_reads(spark, sf_dir))
+    return marked.select("qname", "rname", "start", "end", "mapq", "flag")

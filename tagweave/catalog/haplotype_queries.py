@@ -10,6 +10,7 @@ from tagweave.catalog.views import table
 from tagweave.operators import haplotag as hap
 from tagweave.operators import pair_duplicates as pairs
 from tagweave.session import checkpointed
+from tagweave.sinks import layouts
 
 CATALOG = Catalog()
 DISTANCE = 300
@@ -232,3 +233,53 @@ def mark_pair_duplicates(spark, sf_dir):
     """Reads with duplicates by the unclipped ends of both mates marked."""
     marked = pairs.mark_pair_duplicates(_crowded_reads(spark, sf_dir))
     return marked.select("qname", "rname", "start", "end", "mapq", "flag")
+
+
+def _mated_reads(spark, sf_dir):
+    """The reads above with strands and mates drawn from their places."""
+    flag = F.col("flag") + F.when(F.col("mapq") % 2 == 0, 16).otherwise(0) + F.when(F.col("start") % 2 == 0, 64).otherwise(128)
+    return line_reads(spark, sf_dir).withColumn("flag", flag.cast("int"))
+
+
+def _sql_sequence() -> str:
+    """Bases of a read, place by place."""
+    cases = " ".join(
+        f"WHEN shape = {k} AND i BETWEEN {place} AND {place + length - 1} THEN start + i - {place} + {at}"
+        for k, (_, _, stretches) in enumerate(SHAPES)
+        for place, at, length in stretches
+    )
+    turn = "(p * 7 + l_suppkey + l_linenumber) % 5"
+    base = f"CASE WHEN p IS NULL THEN 'T' ELSE substr('ACGT', CAST((p + CASE WHEN {turn} < 2 THEN 1 WHEN {turn} = 4 THEN 2 ELSE 0 END) % 4 AS INT) + 1, 1) END"
+    return f"array_to_string(list_transform(list_transform(range(40), lambda i: CASE {cases} END), lambda p: {base}), '')"
+
+
+MATED = f"""{_sql_view('v', False)}, {READS},
+mated AS (
+  SELECT qname || CASE WHEN bx IS NULL THEN '' ELSE chr(9) || 'BX:Z:' || bx END AS name, qname, mapq % 2 = 0 AS turned, start % 2 = 0 AS is_first,
+         {_sql_sequence()} AS bases,
+         array_to_string(list_transform(range(40), lambda i: chr(CAST(33 + (i * 3 + l_linenumber * 5) % 40 AS INT))), '') AS marks
+  FROM reads WHERE flag & 256 = 0),
+sequenced AS (SELECT name, qname, is_first, CASE WHEN turned THEN reverse(translate(bases, 'ACGT', 'TGCA')) ELSE bases END AS sequence,
+              CASE WHEN turned THEN reverse(marks) ELSE marks END AS quality FROM mated)"""
+
+
+@CATALOG.query(
+    "alignment_fastq",
+    f"""WITH {MATED} SELECT '@' || name || chr(10) || sequence || chr(10) || '+' || chr(10) || quality AS record,
+    CASE WHEN is_first THEN 1 ELSE 2 END AS read FROM sequenced""",
+)
+def alignment_fastq(spark, sf_dir):
+    """Alignments back as FASTQ records with their barcode."""
+    reads = layouts.reads_of_alignments(_mated_reads(spark, sf_dir))
+    return reads.select(layouts.fastq_record(F.col("name"), F.col("sequence"), F.col("quality")).alias("record"), "read")
+
+
+@CATALOG.query(
+    "alignment_pairs",
+    f"""WITH {MATED}, one AS (SELECT qname FROM sequenced GROUP BY qname HAVING count(*) = 2 AND count(*) FILTER (is_first) = 1)
+    SELECT a.name, b.name AS name2, a.sequence AS r1_seq, a.quality AS r1_qual, b.sequence AS r2_seq, b.quality AS r2_qual
+    FROM one JOIN sequenced a ON a.qname = one.qname AND a.is_first JOIN sequenced b ON b.qname = one.qname AND NOT b.is_first""",
+)
+def alignment_pairs(spark, sf_dir):
+    """Read pairs put together again from alignments."""
+    return layouts.pairs_of_alignments(_mated_reads(spark, sf_dir))

@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagweave.functions.dna import reverse_complement
+from tagweave.operators.alleles import SECONDARY, SUPPLEMENTARY
 from tagweave.session import checkpointed
 
+REVERSE = 16
+# Stands for missing qualities in FASTQ.
+LOWEST_QUALITY = '"'
+
 
 def fastq_record(name: Column, sequence: Column, quality: Column) -> Column:
     """Four FASTQ lines."""
@@ -54,6 +62,40 @@ def bin_rows_to_fastq(style: str = "ema") -> Column:
     )
 
 
+def reads_of_alignments(alignments: DataFrame, tags: Sequence[str] = ("bx", "rx")) -> DataFrame:
+    """(name, read, sequence, quality) as the sequencer gave them: reverse strands are turned back, secondary and supplementary records left out.
+
+    ``read`` is 1 or 2, or 0 where flags name no single mate; ``name`` carries the tags that are set, after tabs. Reads without qualities get
+    the lowest.
+    """
+    flag = F.col("flag")
+    turned = flag.bitwiseAND(REVERSE) != 0
+    bases = F.when(F.col("sequence") == "*", F.lit("")).otherwise(F.coalesce("sequence", F.lit("")))
+    marks = F.when(F.col("quality").isNull() | (F.col("quality") == "*"), F.repeat(F.lit(LOWEST_QUALITY), F.length(bases))).otherwise(F.col("quality"))
+    named = [F.concat(F.lit(f"{t.upper()}:Z:"), F.col(t).cast("string")) for t in tags if t in alignments.columns]
+    side = F.when(flag.bitwiseAND(192) == 64, 1).when(flag.bitwiseAND(192) == 128, 2).otherwise(0)
+    return alignments.where(flag.bitwiseAND(SECONDARY | SUPPLEMENTARY) == 0).select(
+        F.concat_ws("\t", "qname", *named).alias("name"),
+        "qname",
+        side.alias("read"),
+        F.when(turned, reverse_complement(bases)).otherwise(bases).alias("sequence"),
+        F.when(turned, F.reverse(marks)).otherwise(marks).alias("quality"),
+    )
+
+
+def pairs_of_alignments(alignments: DataFrame, tags: Sequence[str] = ("bx", "rx")) -> DataFrame:
+    """Read pairs (``name, name2, r1_seq, r1_qual, r2_seq, r2_qual``) of names with one first and one second read; other reads are in no pair."""
+    reads = reads_of_alignments(alignments, tags)
+
+    def pick(read: int, column: str, alias: str) -> Column:
+        return F.min(F.when(F.col("read") == read, F.col(column))).alias(alias)
+
+    columns = [("name", "name", "name2"), ("sequence", "r1_seq", "r2_seq"), ("quality", "r1_qual", "r2_qual")]
+    picked = [pick(k, c, names[k - 1]) for c, *names in columns for k in (1, 2)]
+    joined = reads.where("read > 0").groupBy("qname").agg(F.count_if(F.col("read") == 1).alias("_n1"), F.count_if(F.col("read") == 2).alias("_n2"), *picked)
+    return joined.where("_n1 = 1 AND _n2 = 1").select("name", "name2", "r1_seq", "r1_qual", "r2_seq", "r2_qual")
+
+
 def write_fastq_pairs(pairs: DataFrame, path: str, compression: str | None = "gzip") -> None:
     """Two folders, one per read of the pair, with rows in the same order: that of ``place`` where there is one, else of the names.
 

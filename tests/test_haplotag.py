@@ -9,6 +9,7 @@ import pytest
 
 from tagweave.operators import alleles
 from tagweave.operators import haplotag as hap
+from tagweave.sinks import layouts
 
 READS = "qname string, flag int, rname string, start long, end long, mapq int, cigar string, sequence string, quality string, bx string"
 VARIANTS = "chrom string, pos long, ref string, alts array<string>, gt array<int>, phased boolean, ps long"
@@ -232,3 +233,21 @@ def test_empty_tables(spark):
     assert hap.haplotag(rows.limit(0), sites).count() == 0
     assert {r.hp for r in hap.haplotag(rows, sites.limit(0)).collect()} == {None}
     assert hap.linked_fragments(rows, sites.limit(0)).count() == 0
+
+
+def test_alignments_back_to_reads(spark):
+    rows = [
+        ("a", 64, "AACG", "IJKL", "b1", "r1"),
+        ("a", 128 | 16, "AACG", "IJKL", None, None),
+        ("a", 128 | 256, "AACG", "IJKL", None, None),
+        ("b", 64, "NAC", "*", "", None),
+        ("c", 64 | 2048, "A", "I", None, None),
+        ("d", 0, "*", None, None, None),
+        ("e", 64, "A", "I", None, None),
+        ("e", 64, "C", "I", None, None),
+        ("e", 128, "G", "I", None, None),
+    ]
+    frame = spark.createDataFrame(rows, "qname string, flag int, sequence string, quality string, bx string, rx string")
+    got = sorted((r.name, r.read, r.sequence, r.quality) for r in layouts.reads_of_alignments(frame).where("qname < 'e'").collect())
+    assert got == [("a", 2, "CGTT", "LKJI"), ("a\tBX:Z:b1\tRX:Z:r1", 1, "AACG", "IJKL"), ("b\tBX:Z:", 1, "NAC", '"""'), ("d", 0, "", "")]
+    assert [tuple(r) for r in layouts.pairs_of_alignments(frame).collect()] == [("a\tBX:Z:b1\tRX:Z:r1", "a", "AACG", "IJKL", "CGTT", "LKJI")]

@@ -220,12 +220,18 @@ class Slice:
         self.doc_of_a = np.repeat(np.arange(self.n), self.n_a)
         self.doc = self.doc_of_a[self.at_a]
         self.pair = (self.a[self.at_a] << 32) | self.b[self.at_b]
-        self.pairs, self.which = np.unique(self.pair, return_inverse=True)
 
-    def documents(self) -> np.ndarray:
+    def pairs(self) -> np.ndarray:
+        """The different id pairs of the slice, ascending."""
+        ordered = np.sort(self.pair)
+        return ordered[np.append(True, ordered[1:] != ordered[:-1])[: len(ordered)]]
+
+    def documents(self, pairs: np.ndarray) -> np.ndarray:
         """How many documents hold each of ``pairs``."""
-        met = np.unique(self.doc * max(len(self.pairs), 1) + self.which)
-        return np.bincount(met % max(len(self.pairs), 1), minlength=len(self.pairs))
+        many = max(len(pairs), 1)
+        met = np.sort(self.doc * many + np.searchsorted(pairs, self.pair))
+        fresh = np.append(True, met[1:] != met[:-1])[: len(met)]
+        return np.bincount(met[fresh] % many, minlength=len(pairs))
 
     def groups(self, names: tuple[list[str], ...]) -> list[str]:
         """Every document's groups as text; ``names`` shows ids of A within and at the end of a group's A part, then ids of B likewise."""
@@ -298,14 +304,18 @@ def align(
     def slice_of(row: dict) -> Slice:
         return Slice({c: row[c].as_buffer().to_pybytes() for c in ("a", "n_a", "b", "n_b")}, *tokenizers.load())
 
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             own = slice_of(row)
-            own_slice = np.full(len(own.pairs), row["slice"].as_py(), dtype=np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (own_slice, own.pairs, own.documents())], names=["slice", "pair", "docs"])
+            pairs = own.pairs()
+            yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(own.documents(pairs))], names=["pair", "docs"])
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            pairs = slice_of(row).pairs()
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(pairs), row["slice"].as_py(), dtype=np.int64)), pa.array(pairs)], names=["slice", "pair"])
 
-    met = held.mapInArrow(pairs, "slice long, pair long, docs long")
-    counts = checkpointed(met.groupBy("pair").agg(F.sum("docs").alias("count")))
+    counts = checkpointed(held.mapInArrow(count, "pair long, docs long").groupBy("pair").agg(F.sum("docs").alias("count")))
     of_a = F.shiftright("pair", 32).alias("a")
     # At most one row for each id of A: bounded by its vocabulary.
     highest = counts.groupBy(of_a).agg(F.max("count").alias("highest"))
@@ -313,7 +323,8 @@ def align(
         F.col("pair").alias("_pair"), (F.col("count") * 2 + (F.col("count") == F.col("highest")).cast("long")).alias("told")
     )
     # A pair of nearly every slice is a hot key: both sides are plain, so Spark splits it at run time.
-    known = met.select("slice", "pair").join(checkpointed(told), F.col("pair") == F.col("_pair")).select("slice", "pair", "told")
+    asked = held.mapInArrow(ask, "slice long, pair long")
+    known = asked.join(checkpointed(told), F.col("pair") == F.col("_pair")).select("slice", "pair", "told")
     gathered = known.groupBy("slice").agg(F.collect_list(F.struct("pair", "told")).alias("known"))
     joined = held.join(gathered, "slice", "left")
     key_type = held.schema["keys"].dataType.elementType
@@ -327,12 +338,12 @@ def align(
         for row in _rows(batches):
             own = slice_of(row)
             count = best = np.zeros(0, dtype=np.int64)
-            if len(own.pairs):
+            if len(own.pair):
                 listed = row["known"].values
                 pair, told = listed.field("pair").to_numpy(), listed.field("told").to_numpy()
                 order = np.argsort(pair)
                 # Every pair of the slice is known, once.
-                value = told[order][own.which]
+                value = told[order][np.searchsorted(pair[order], own.pair)]
                 count, best = value >> 1, value & 1
             closing = np.flatnonzero(np.append(own.group[1:] != own.group[:-1], True)[: len(own.group)])
             per_doc = [

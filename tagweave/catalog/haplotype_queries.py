@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tagweave.catalog import Catalog
 from tagweave.catalog.variant_queries import _sql_view, order_variants
 from tagweave.catalog.views import table
+from tagweave.operators import coverage
 from tagweave.operators import haplotag as hap
 from tagweave.operators import pair_duplicates as pairs
 from tagweave.session import checkpointed
@@ -283,3 +284,28 @@ def alignment_fastq(spark, sf_dir):
 def alignment_pairs(spark, sf_dir):
     """Read pairs put together again from alignments."""
     return layouts.pairs_of_alignments(_mated_reads(spark, sf_dir))
+
+
+_STRETCHES = " UNION ALL ".join(
+    f'SELECT rname, qname, start + {at} AS s, start + {at + length} AS e FROM reads WHERE flag = 0 AND shape = {k}'
+    for k, (_, _, stretches) in enumerate(SHAPES)
+    for _, at, length in stretches
+)
+
+
+@CATALOG.query(
+    "aligned_depth",
+    f"""WITH {_sql_view('v', False)}, {READS}, blocks AS ({_STRETCHES}),
+    flagged AS (SELECT *, CASE WHEN max(e) OVER (PARTITION BY rname, qname ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) >= s
+                THEN 0 ELSE 1 END AS opens FROM blocks),
+    grouped AS (SELECT *, sum(opens) OVER (PARTITION BY rname, qname ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS g FROM flagged),
+    joined AS (SELECT rname, min(s) AS s, max(e) AS e FROM grouped GROUP BY rname, qname, g),
+    steps AS (SELECT rname, place, sum(d) AS d FROM (SELECT rname, s AS place, 1 AS d FROM joined UNION ALL SELECT rname, e, -1 FROM joined)
+              GROUP BY rname, place HAVING sum(d) <> 0),
+    runs AS (SELECT rname AS chrom, place AS start, lead(place) OVER w AS "end", CAST(sum(d) OVER w AS BIGINT) AS depth FROM steps
+             WINDOW w AS (PARTITION BY rname ORDER BY place))
+    SELECT * FROM runs WHERE depth > 0""",
+)
+def aligned_depth(spark, sf_dir):
+    """Depth of names over aligned bases: no deletions, overlapping mates once."""
+    return coverage.aligned_depth(line_reads(spark, sf_dir))

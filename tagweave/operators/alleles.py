@@ -87,6 +87,10 @@ class Projection:
         offset = positions - self._at[k]
         return np.where(found & (offset < self._length[k]), self._read[k] + offset, -1)
 
+    def blocks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row, first and end position of every aligned stretch."""
+        return self._row, self._at, self._at + self._length
+
 
 def _octets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of an ASCII column and the offsets of its rows; a null is empty."""
@@ -179,3 +183,19 @@ def observed_alleles(reads: DataFrame, sites: DataFrame, keep: Sequence[str] = (
     side = F.when(F.col("_seen") == F.col("_site.first"), 0).when(F.col("_seen") == F.col("_site.second"), 1)
     extra = [F.col(f"_site.{c}").alias(c) for c in ("pos", "ps", "idx") if c in fields]
     return seen.select(*keep, *extra, side.alias("side"), F.col("_least").alias("quality")).where("side IS NOT NULL")
+
+
+def aligned_blocks(reads: DataFrame, keep: Sequence[str] = ("qname", "rname")) -> DataFrame:
+    """``keep`` columns with ``start`` and ``end`` of every stretch of aligned bases; deletions, skips and clips are in none."""
+    rows = reads.where("cigar IS NOT NULL AND start IS NOT NULL").select(*keep, F.col("start").alias("_start"), "cigar")
+    kept = [rows.schema[c] for c in keep]
+    schema = T.StructType([*kept, T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            starts = batch.column(len(keep)).to_numpy(zero_copy_only=False).astype(np.int64)
+            row, start, end = Projection(batch.column(len(keep) + 1).to_pylist(), starts).blocks()
+            own = [batch.column(k).take(pa.array(row)) for k in range(len(keep))]
+            yield pa.RecordBatch.from_arrays([*own, pa.array(start), pa.array(end)], names=schema.names)
+
+    return rows.mapInArrow(work, schema)

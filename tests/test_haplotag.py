@@ -7,7 +7,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from tagweave.operators import alleles
+from tagweave.operators import alleles, coverage
 from tagweave.operators import haplotag as hap
 from tagweave.sinks import layouts
 
@@ -251,3 +251,34 @@ def test_alignments_back_to_reads(spark):
     got = sorted((r.name, r.read, r.sequence, r.quality) for r in layouts.reads_of_alignments(frame).where("qname < 'e'").collect())
     assert got == [("a", 2, "CGTT", "LKJI"), ("a\tBX:Z:b1\tRX:Z:r1", 1, "AACG", "IJKL"), ("b\tBX:Z:", 1, "NAC", '"""'), ("d", 0, "", "")]
     assert [tuple(r) for r in layouts.pairs_of_alignments(frame).collect()] == [("a\tBX:Z:b1\tRX:Z:r1", "a", "AACG", "IJKL", "CGTT", "LKJI")]
+
+
+def test_depth_of_names(spark):
+    reads, _ = draw(8, n=60)
+    rows, _ = frames(spark, reads, [])
+    covered = defaultdict(set)
+    for r in reads:
+        if usable(r) and r["cigar"]:
+            covered[r["qname"]] |= set(walk(r["cigar"], r["start"])[0])
+    depth = defaultdict(int)
+    for places in covered.values():
+        for p in places:
+            depth[p] += 1
+    got = {p: r.depth for r in coverage.aligned_depth(rows, 64).collect() for p in range(r.start, r.end)}
+    assert got == depth
+
+
+def test_differences(spark):
+    rows = [
+        ("20M", "20", 20, 0, 0, 0, 0),
+        ("5S10M2I8M", "3A0C4^", 18, 2, 2, 0, 1),
+        ("10M3D5M1D5M", "2T7^ACG0A4^t5", 20, 2, 0, 4, 2),
+        ("4=1X5N6M", "4g6", 11, 1, 0, 0, 0),
+        ("*", None, 0, None, 0, 0, 0),
+    ]
+    frame = spark.createDataFrame([(0, 9, *r[:2]) for r in rows], "flag int, mapq int, cigar string, md string")
+    got = [tuple(r) for r in frame.select(*[c.alias(n) for n, c in coverage.differences().items()]).collect()]
+    assert got == [r[2:] for r in rows]
+    total = coverage.difference_rates(frame).first()
+    assert (total.records, total.aligned_bases, total.mismatches, total.gaps) == (5, 69, 5, 3)
+    assert coverage.difference_rates(frame.limit(0)).first().mismatches_share is None

@@ -270,7 +270,9 @@ def mixed_documents(docs: DataFrame, id_column: str = "doc_id", source: str = "s
     piece = F.struct("shard", "position", "copy", "word_begin", "word_end")
 
     def named(doc_id: Column, key: Column, told: Column) -> Column:
-        return F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("none")), told.cast("string"), key)
+        # A null id is told from every text an id may have.
+        marked = F.coalesce(F.concat(F.lit("="), doc_id.cast("string")), F.lit("-"))
+        return F.concat_ws(":", marked, told.cast("string"), key)
 
     taken = pieces.groupBy(named(F.col("doc_id"), F.col("key"), F.col("told")).alias("_row")).agg(
         F.max("size").alias("size"),

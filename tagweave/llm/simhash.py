@@ -200,7 +200,8 @@ def representatives(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     chosen = found.groupBy("root").agg(first.alias("row"))
 
     def told(row_id, row_text):
-        return F.concat_ws(":", F.coalesce(row_id.cast("string"), F.lit("none")), row_text.cast("string"))
+        # A null id is told from every text an id may have.
+        return F.concat_ws(":", F.coalesce(F.concat(F.lit("="), row_id.cast("string")), F.lit("-")), row_text.cast("string"))
 
     keep = checkpointed(chosen.select(told(F.col("row.id"), F.col("row.text")).alias("_row")).distinct())
     named = docs.withColumn("_row", told(F.col(id_column), F.xxhash64(text)))

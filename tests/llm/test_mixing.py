@@ -130,3 +130,9 @@ def test_empty_table(spark):
     docs = spark.createDataFrame([], DOCS)
     assert mixing.taken_words(mixing.mix(docs)).count() == 0
     assert mixing.mixed_documents(docs).count() == 0
+
+
+def test_a_null_id_is_no_text(spark):
+    docs = spark.createDataFrame([(None, "a", "one two three four five"), ("none", "a", "one two three four five")], "doc_id string, source string, text string")
+    got = mixing.mixed_documents(docs).collect()
+    assert sorted((str(r.doc_id), r.taken) for r in got) == [("None", 5), ("none", 5)]

@@ -127,3 +127,8 @@ def test_empty_table(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert simhash.near_duplicates(docs).count() == 0
     assert simhash.representatives(docs).count() == 0
+
+
+def test_a_null_id_is_no_text(spark):
+    docs = spark.createDataFrame([(None, "a b c d")] * 3 + [("none", "a b c d")], "doc_id string, text string")
+    assert [r.doc_id for r in simhash.representatives(docs).collect()] == ["none"]

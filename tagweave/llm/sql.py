@@ -133,33 +133,53 @@ def _quoted(pattern: str) -> str:
     return pattern.replace("'", "''")
 
 
-def _matches(kind: int, pattern: str, kept: str = "true") -> str:
+def _matches(kind: int, pattern: str, kept: str = "true", table: str = "d") -> str:
     """Matches with their places: what stands before the i-th one are i pieces and i - 1 matches."""
     p = _quoted(pattern)
     return f"""SELECT doc_id, {kind} AS kind, shown, start, start + length(shown) AS stop FROM (
       SELECT doc_id, m[i] AS shown, CAST(list_sum(list_transform(g[1 : i], lambda x: length(x)))
              + coalesce(list_sum(list_transform(m[1 : i - 1], lambda x: length(x))), 0) AS BIGINT) AS start
       FROM (SELECT doc_id, m, g, unnest(range(1, len(m) + 1)) AS i
-            FROM (SELECT doc_id, regexp_extract_all(t, '{p}') AS m, string_split_regex(t, '{p}') AS g FROM d WHERE regexp_matches(t, '{p}'))))
+            FROM (SELECT doc_id, regexp_extract_all(t, '{p}') AS m, string_split_regex(t, '{p}') AS g FROM {table} WHERE regexp_matches(t, '{p}'))))
     WHERE {kept}"""
 
 
-_RUN = "[A-Za-z0-9+/_=-]{%d,}" % secrets.WINDOW
 _ALLOWED = " OR ".join(f"regexp_matches(shown, '{_quoted(p)}')" for p in secrets.ALLOWED)
 _NAMES = "[" + ", ".join(f"'{k}'" for k in secrets.KINDS) + "][kind + 1]"
 _LIST = f"string_agg({_NAMES} || ':' || start || ':' || stop, ',' ORDER BY start, kind, stop)"
 
-# A candidate is a whole run of its letters here, without the look-around of the Spark form; windows are counted anew.
+_WANTED = f"regexp_matches(shown, '[0-9]') AND regexp_matches(shown, '[A-Za-z]') AND NOT ({_ALLOWED})"
+_CLASS_BITS = f"""CASE WHEN regexp_full_match(shown, '[0-9a-fA-F]+') THEN {secrets.HEX_BITS}
+    WHEN regexp_matches(shown, '{secrets.SEPARATOR}') THEN
+      CASE WHEN regexp_matches(shown, '[A-Z]') AND regexp_matches(shown, '[a-z]') THEN {secrets.CLASS_BITS["base64"]} ELSE {secrets.MIXED_BITS} END
+    WHEN NOT regexp_matches(shown, '[A-Z]') THEN {secrets.CLASS_BITS["lower"]}
+    WHEN NOT regexp_matches(shown, '[a-z]') THEN {secrets.CLASS_BITS["upper"]}
+    ELSE {secrets.CLASS_BITS["mixed"]} END"""
+
+# Base spans and runs with a placeholder's word are blanked in the text; windows are counted anew.
 SECRETS = f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 base AS (
   {_matches(0, secrets.ASSIGN, f"length(regexp_extract(shown, '{_quoted(secrets.ASSIGN)}', 2)) >= {secrets.ASSIGNED}")}
   UNION ALL {_matches(1, secrets.ACCESS)}
   UNION ALL {_matches(2, secrets.HEX)}),
-runs AS ({_matches(3, _RUN, f"regexp_matches(shown, '[0-9]') AND regexp_matches(shown, '[A-Za-z]') AND NOT ({_ALLOWED})")}),
+gaps AS (
+  SELECT doc_id, t, start, stop, coalesce(max(stop) OVER (
+    PARTITION BY doc_id ORDER BY start, stop ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS seen
+  FROM base JOIN d USING (doc_id)),
+blanked AS (
+  SELECT doc_id, string_agg(CASE WHEN start > seen THEN substr(t, seen + 1, start - seen) ELSE '' END
+             || repeat(' ', greatest(stop - greatest(seen, start), 0)), '' ORDER BY start, stop) || substr(any_value(t), max(stop) + 1) AS r
+  FROM gaps GROUP BY doc_id),
+rest AS (SELECT doc_id, coalesce(r, t) AS t FROM d LEFT JOIN blanked USING (doc_id)),
+plain AS (
+  SELECT doc_id, CASE WHEN regexp_matches(t, '{secrets.PLACEHOLDER}') THEN array_to_string(list_transform(
+           regexp_extract_all(t, '[A-Za-z0-9]+|[^A-Za-z0-9]+'),
+           lambda x: CASE WHEN regexp_matches(x, '{secrets.PLACEHOLDER}') THEN repeat(' ', length(x)) ELSE x END), '') ELSE t END AS t
+  FROM rest),
 free AS (
-  SELECT * FROM runs r WHERE NOT EXISTS (
-    SELECT 1 FROM base b WHERE b.doc_id = r.doc_id AND b.start < r.stop AND r.start < b.stop)),
+  {_matches(3, secrets.RUN, _WANTED, "plain")}
+  UNION ALL {_matches(3, secrets.WHOLE, f"regexp_matches(shown, '{secrets.SEPARATOR}') AND {_WANTED}", "plain")}),
 windows AS (
   SELECT doc_id, kind, start, shown, i, substr(shown, i + 1, {secrets.WINDOW}) AS w
   FROM (SELECT *, unnest(range(0, length(shown) - {secrets.WINDOW - 1})) AS i FROM free)),
@@ -167,8 +187,8 @@ rated AS (
   SELECT *, log2({secrets.WINDOW}) - list_sum(list_transform(map_values(list_histogram(string_split(w, ''))), lambda n: n * log2(n)))
             / {secrets.WINDOW} AS bits FROM windows),
 high AS (
-  SELECT doc_id, kind, start + min(i) AS start, start + max(i) + {secrets.WINDOW} AS stop FROM rated
-  WHERE bits >= CASE WHEN regexp_full_match(shown, '[0-9a-fA-F]+') THEN {secrets.HEX_BITS} ELSE {secrets.MIXED_BITS} END
+  SELECT DISTINCT doc_id, kind, start + min(i) AS start, start + max(i) + {secrets.WINDOW} AS stop FROM rated
+  WHERE bits >= {_CLASS_BITS}
   GROUP BY doc_id, kind, start, shown),
 every AS (SELECT doc_id, kind, start, stop FROM base UNION ALL SELECT * FROM high),
 listed AS (SELECT doc_id, {_LIST} AS spans FROM every GROUP BY doc_id),

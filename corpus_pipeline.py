@@ -12,9 +12,13 @@ from tagweave.llm import contamination, mixing, rules, secrets, simhash
 from tagweave.session import tune
 
 
+def _sized(changed: DataFrame, docs: DataFrame) -> DataFrame:
+    return changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that line-first cleaning keeps."""
-    return rules.judge(docs).where("kept").select(*docs.columns)
+    """Documents that line-first cleaning keeps, without their failing and repeated lines; ``n_chars`` follows the text."""
+    return _sized(rules.clean(docs), docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +34,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their secrets masked; ``n_chars`` follows the text."""
-    return secrets.masked(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return _sized(secrets.masked(docs), docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

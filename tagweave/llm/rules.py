@@ -9,8 +9,8 @@ Every line is judged alone, by three families of rules:
 A line equal to an earlier line is removed as well. A document is kept if it passes the base rules and the
 removed lines held at most ``MAX_LOST`` of its words.
 
-Defined cases: a null or empty text has no words, fails the base rule and is not kept; white-space-only lines count for
-nothing; repeated rows are judged one by one; extra columns of the input stay, and result columns win over input columns
+Defined cases: a null or empty text has no words, fails the base rule and is not kept; an empty table gives an empty one; very long texts
+are judged whole; white-space-only lines count for nothing; of equal lines the first stays; repeated rows are judged one by one; extra columns of the input stay, and result columns win over input columns
 of the same name.
 """
 
@@ -170,7 +170,7 @@ def judge(docs: DataFrame, text: str = "text", max_lost: float = MAX_LOST) -> Da
 
 
 def cleaned(text: str) -> str:
-    """A text without its failing and repeated lines, for writers that want the rest of a kept document."""
+    """A text without its failing and repeated lines."""
     seen, kept = set(), []
     for line in text.split("\n"):
         if line.strip(" \t\n\v\f\r"):
@@ -179,3 +179,25 @@ def cleaned(text: str) -> str:
             seen.add(line)
         kept.append(line)
     return "\n".join(kept)
+
+
+def clean(docs: DataFrame, text: str = "text", max_lost: float = MAX_LOST) -> DataFrame:
+    """The documents that :func:`judge` keeps, without the failing and repeated lines of their texts; the columns of ``docs``.
+
+    The verdict is on the whole text. A text that loses nothing stays as it is, byte for byte.
+    """
+    schema = docs.schema
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        counts = measure(*text_bytes(batch.column(batch.schema.get_field_index(text))))
+        words, lost = counts["n_words"], counts["n_lost_words"]
+        kept = (words >= MIN_WORDS) & (100 * counts["n_repeat_words"] <= MAX_REPEAT_PERCENT * words) & (lost <= max_lost * words)
+        left = batch.filter(pa.array(kept))
+        place, lost = left.schema.get_field_index(text), lost[kept]
+        columns = list(left.columns)
+        if lost.any():
+            texts = [cleaned(t) if n else t for t, n in zip(columns[place].to_pylist(), lost.tolist(), strict=True)]
+            columns[place] = pa.array(texts, type=columns[place].type)
+        return pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return docs.mapInArrow(map_slices(work, text), schema)

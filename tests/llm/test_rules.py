@@ -59,6 +59,32 @@ def verdict(text):
     return lost <= 0.5 * words
 
 
+def left_over(text):
+    seen, out = set(), []
+    for line in text.split("\n"):
+        worded = WORD.search(line) is not None
+        if not (worded and (line in seen or rules.line_fails(line.encode()))):
+            out.append(line)
+        if worded:
+            seen.add(line)
+    return "\n".join(out)
+
+
+def test_clean(spark):
+    lines = [f"Sentence number {i} has words {i * 7} unlike all other lines {i * i}." for i in range(12)]
+    dirty = "\n".join([*lines[:6], "Home | About | Contact | News", "", lines[2], *lines[6:], "accept cookies", "é" * 2_000_000, ""])
+    texts = [*TEXTS, dirty, "\n".join(lines) + "\n\n"]
+    rows = [(i, t, "mine") for i, t in enumerate(texts)] + [(None, dirty, None)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    made = rules.clean(docs)
+    assert made.columns == docs.columns
+    got = sorted(((r.doc_id or -1, r.text, r.kept) for r in made.collect()), key=str)
+    assert got == sorted(((i or -1, left_over(t), k) for i, t, k in rows if verdict(t)), key=str)
+    kept = {i: t for i, t, _ in got}
+    assert "Home" not in kept[len(TEXTS)] and "cookies" not in kept[-1] and kept[len(TEXTS) + 1] == texts[-1]
+    assert rules.clean(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
 def test_counts_and_verdict(spark):
     rows = [(i, t, "mine") for i, t in enumerate(TEXTS)] + [(3, "one", None), (None, TEXTS[8], "x")]
     got = rules.judge(spark.createDataFrame(rows, SCHEMA)).collect()

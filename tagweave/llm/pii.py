@@ -7,7 +7,7 @@ chooses boundaries and kinds together. Atoms outside any span score zero. Its sp
 their ``+``, addresses with the ``@`` spelled out, and the like.
 
 The field is fitted on at most ``TRAIN_ROWS`` texts of at most ``TRAIN_CHARS`` characters that have a digit or ``@``, labelled by the
-patterns, on copies of them with the tell-tale marks taken away, and on made-up entities and harmless numbers, so it is defined on any corpus.
+patterns (of all their stretches and matches at most ``TRAIN_STRETCHES`` and ``TRAIN_MATCHES`` by lot), on copies of them with the tell-tale marks taken away, and on made-up entities and harmless numbers, so it is defined on any corpus.
 
 Places are code points, ends exclusive. Defined cases: a null text is an empty one and has no spans; very long texts are scanned whole; repeated rows are
 scanned one by one; extra columns of the input stay, and result columns win over input columns of the same name.
@@ -32,6 +32,8 @@ from tagweave.llm.octets import map_slices
 KINDS = ("email", "ip", "card", "phone")
 TRAIN_ROWS = 300
 TRAIN_CHARS = 20_000
+TRAIN_STRETCHES = 2_400
+TRAIN_MATCHES = 1_200
 MAX_ATOMS = 16
 MAX_SPAN = 64
 # Text within this many characters of a digit or mark is cut into atoms.
@@ -313,19 +315,29 @@ def _invented() -> tuple[Example, ...]:
     return tuple(e for e in out if e)
 
 
+def learned_from(
+    texts: list[str], stretches: int = TRAIN_STRETCHES, matches: int = TRAIN_MATCHES
+) -> tuple[list[tuple[str, list[tuple[int, int]]]], list[tuple[str, tuple[int, int, int]]]]:
+    """Stretches (text, atoms) and pattern matches (text, span) to learn from: all of the texts, or as many as the bounds allow, by lot."""
+    rng = random.Random(23)
+    near = [(text, atoms) for text in texts for atoms in islands(text)]
+    found = [(text, span) for text in texts for span in base_spans(text)]
+    return rng.sample(near, min(len(near), stretches)), rng.sample(found, min(len(found), matches))
+
+
 def fit(texts: list[str], rounds: int = ROUNDS) -> np.ndarray:
     """Weights (kind, feature) learned from texts labelled by the patterns, and from invented ones."""
     examples: list[Example | None] = list(_invented())
-    for text in texts:
-        spans = base_spans(text)
-        examples += [_example(text, atoms, spans) for atoms in islands(text)[:8]]
-        for span in spans[:4]:
-            near = text[max(span[1] - 60, 0) : span[2] + 60]
-            moved = (span[0], min(span[1], 60), min(span[1], 60) + span[2] - span[1])
-            changed, place = _stripped(near, moved)
-            # Other entities nearby would lack their labels.
-            if len(base_spans(near)) == 1:
-                examples += [_example(changed, atoms, [place]) for atoms in islands(changed)]
+    stretches, matches = learned_from(texts)
+    labels = {text: base_spans(text) for text, _ in stretches}
+    examples += [_example(text, atoms, labels[text]) for text, atoms in stretches]
+    for text, span in matches:
+        near = text[max(span[1] - 60, 0) : span[2] + 60]
+        moved = (span[0], min(span[1], 60), min(span[1], 60) + span[2] - span[1])
+        changed, place = _stripped(near, moved)
+        # Other entities nearby would lack their labels.
+        if len(base_spans(near)) == 1:
+            examples += [_example(changed, atoms, [place]) for atoms in islands(changed)]
     used = [e for e in examples if e]
     weights = np.zeros((len(KINDS), WIDTH))
     ascent = Ascent(0.5, 1e-2)

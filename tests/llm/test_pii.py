@@ -100,3 +100,14 @@ def test_odd_rows(spark):
 def test_repeatable():
     texts = ["mail joe@example.com about 4111 1111 1111 1111", "host 84.27.175.186"]
     assert np.array_equal(pii.fit(texts), pii.fit(texts))
+
+
+def test_every_stretch_is_learned_from():
+    """Texts of more than eight stretches and four matches give all of them; beyond the bounds the lot decides, not the place."""
+    texts = [f"{k}\n".join(f"call +1 729 555 77{k}{i} now\n" for i in range(10)) for k in range(10, 13)]
+    near, found = pii.learned_from(texts)
+    assert len(near) == sum(len(pii.islands(t)) for t in texts) >= 30
+    assert sorted(found) == sorted((t, s) for t in texts for s in pii.base_spans(t)) and len(found) >= 30
+    near, found = pii.learned_from(texts, 9, 7)
+    assert (len(near), len(found)) == (9, 7) and {t for t, _ in near} == set(texts)
+    assert pii.learned_from(texts, 9, 7) == (near, found)

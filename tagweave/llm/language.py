@@ -6,8 +6,8 @@ each word's language probabilities, also in text that switches languages. Chains
 the largest mean probability over its words, which is its score.
 
 The field is fitted on at most ``TRAIN_ROWS`` texts (the same number of each language, or all it has), the first by a hash of id and text within
-their language, each of at most ``TRAIN_CHARS`` characters. Pieces of lines of different texts are strung together for that, so that transitions between languages are seen. At most
-``MAX_LANGUAGES`` languages, the most frequent ones, are learned. Prediction reads whole texts.
+their language, each of at most ``TRAIN_CHARS`` characters. Pieces of lines of different texts are strung together for that, so that transitions between languages are seen. Every language
+has at least one text in the sample (of more languages than ``TRAIN_ROWS``, the most frequent ones). Prediction reads whole texts.
 
 Defined cases: a null text, and one without any letter, is ``und`` with score 1; no training rows: every text is ``und`` with score 0; repeated rows are
 predicted alike; extra columns of the input stay, and result columns win over input columns of the same name.
@@ -24,11 +24,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tagweave.llm.crf import Ascent, Chain, layout, marginals
-from tagweave.llm.octets import SpanHashes, byte_table, map_slices, mixed, spans, text_bytes
+from tagweave.llm.octets import SLICE_BYTES, SpanHashes, byte_table, map_slices, mixed, spans, text_bytes
 
 TRAIN_ROWS = 800
 TRAIN_CHARS = 20_000
-MAX_LANGUAGES = 100
 ROUNDS = 40
 # A word belongs to a language's lexicon if it is seen this often, nine times in ten in that language.
 LEXICON_COUNT = 5
@@ -41,9 +40,10 @@ _NOT_NEWLINE = ~byte_table((0x0A, 0x0A))
 
 @dataclass
 class Model:
-    """Learned scores; words in a lexicon by hash."""
+    """Learned scores; words in a lexicon by hash. A feature's slot says which row of weights is its own; row 0 is of those not seen."""
 
     languages: list[str]
+    slots: np.ndarray
     weights: np.ndarray
     lexicon_words: np.ndarray
     lexicon_language: np.ndarray
@@ -106,7 +106,7 @@ def _kind_scores(model: Model, words: Words) -> np.ndarray:
     """Scores of each distinct word: the mean over its features, and what its lexicon says."""
     if not len(words.kind_hash):
         return np.zeros((0, len(model.languages)))
-    sums = np.add.reduceat(model.weights[words.features], words.feature_bounds[:-1], axis=0)
+    sums = np.add.reduceat(model.weights[model.slots[words.features]], words.feature_bounds[:-1], axis=0)
     scores = sums / np.sqrt(np.diff(words.feature_bounds))[:, None]
     known, language = _lexicon_of(model, words)
     scores[known] += model.lexicon_weights[language]
@@ -140,9 +140,12 @@ def fit(texts: list[str], languages: list[str], seed: int = 11, rounds: int = RO
     np.add.at(seen, (kind, label), 1)
     total = seen.sum(axis=1)
     frequent = np.flatnonzero((total >= LEXICON_COUNT) & (seen.max(axis=1, initial=0) >= 0.9 * total))
+    slots, met = np.zeros(1 << _FEATURE_BITS, dtype=np.int32), np.unique(words.features)
+    slots[met] = np.arange(1, len(met) + 1)
     model = Model(
         names,
-        np.zeros((1 << _FEATURE_BITS, count)),
+        slots,
+        np.zeros((len(met) + 1, count)),
         words.kind_hash[frequent],
         seen[frequent].argmax(axis=1),
         np.zeros((count, count)),
@@ -166,7 +169,7 @@ def fit(texts: list[str], languages: list[str], seed: int = 11, rounds: int = RO
         by_kind = np.column_stack([np.bincount(kind, weights=error[:, k], minlength=len(scale)) for k in range(count)])
         scaled = by_kind * scale[:, None]
         gradient = np.column_stack(
-            [np.bincount(words.features, weights=scaled[spread, k], minlength=1 << _FEATURE_BITS) for k in range(count)]
+            [np.bincount(slots[words.features], weights=scaled[spread, k], minlength=len(met) + 1) for k in range(count)]
         )
         lexicon = np.zeros((count, count))
         np.add.at(lexicon, known_language, by_kind[known])
@@ -210,16 +213,15 @@ def training_rows(
 ) -> list[tuple[str, str]]:
     """(lower-cased text, language) of a bounded sample, the same number of each language or all it has."""
     usable = docs.where(F.col(lang).isNotNull() & has_letter(text) & (F.length(text) <= chars))
-    counts = usable.groupBy(lang).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), lang).limit(MAX_LANGUAGES).collect()
+    counts = usable.groupBy(lang).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), lang).limit(rows).collect()
     if not counts:
         return []
     each = max(rows // len(counts), 1)
     luck = F.pmod(F.xxhash64(F.lit("train"), id_column, text), F.lit(1 << 30))
     # Rows that may be among the first of their language: so many more than needed that too few are hardly ever drawn.
     enough = each + 6 * each**0.5 + 12
-    wanted = F.lit(False)
-    for r in counts:
-        wanted = wanted | ((F.col(lang) == r[0]) & (luck < F.lit(int((1 << 30) * min(1.0, enough / r["n"])))))
+    shares = F.create_map(*[F.lit(v) for r in counts for v in (r[0], int((1 << 30) * min(1.0, enough / r["n"])))])
+    wanted = luck < F.try_element_at(shares, F.col(lang))
     place = F.row_number().over(Window.partitionBy("_lang").orderBy("_luck", "_id"))
     drawn = (
         usable.where(wanted)
@@ -251,7 +253,9 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFr
         names, scores = predict_rows(shared.value, octets, offsets)
         return pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(names), pa.array(scores)], names=schema.names)
 
-    return lowered.mapInArrow(map_slices(work, "_lower"), schema)
+    # A word takes room for every language.
+    limit = SLICE_BYTES if model is None else SLICE_BYTES * 8 // max(len(model.languages), 8)
+    return lowered.mapInArrow(map_slices(work, "_lower", limit), schema)
 
 
 def held_out(id_column: str = "doc_id") -> Column:

@@ -62,3 +62,16 @@ def test_sample_keeps_rare_languages(spark):
     assert {n: drawn.count(n) for n in sizes} == {n: min(40, size) for n, size in sizes.items()}
     repeated = docs.where("lang = 'r1'").crossJoin(spark.range(20)).unionByName(docs.selectExpr("*", "0L as id"))
     assert len(language.training_rows(repeated, "text", "lang", "doc_id", rows=480)) <= 480
+
+
+def test_more_than_a_hundred_languages(spark):
+    names = [f"l{k:03}" for k in range(101)]
+    rows = [(101 * i + k, " ".join(f"{chr(97 + k // 26)}{chr(97 + k % 26)}{w}" for w in ("ona", "ulti", "erre")), n) for i in range(2) for k, n in enumerate(names)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    drawn = language.training_rows(docs, "text", "lang", "doc_id")
+    assert sorted(drawn) == sorted((t, n) for _, t, n in rows)
+    assert len(language.training_rows(docs, "text", "lang", "doc_id", rows=101)) == 101
+    model = language.fit([t for t, _ in drawn], [n for _, n in drawn], rounds=12)
+    assert model.languages == names
+    got = language.identify(docs, model).collect()
+    assert sum(r.lang == r.lang_pred for r in got) >= 0.9 * len(rows)

@@ -173,7 +173,7 @@ def fastq_round_trip(spark, sf_dir):
     layouts.write_fastq_pairs(pairs, folder)
     again = sequences.read_fastq_pairs(spark, f"{folder}/r1", f"{folder}/r2")
     codes = sequences.barcode_reads(again.select(F.col("name"), F.col("r1_seq").alias("sequence"), "name2", "r2_seq"))
-    return codes.join(again.select(F.substring_index("name", " ", 1).alias("read_name"), "name2", "r2_seq"), "read_name")
+    return codes.hint("merge").join(again.select(F.substring_index("name", " ", 1).alias("read_name"), "name2", "r2_seq"), "read_name")
 
 
 @CATALOG.query(

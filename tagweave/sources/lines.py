@@ -16,7 +16,8 @@ def numbered_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
     """(path, line_no, line), ``line_no`` from 0 within each file.
 
     Large files are read in splits; lines are numbered inside their split and shifted by the line
-    counts of the splits before it (one row per split).
+    counts of the splits before it (one row per split, as the scan's own list on the driver), so lines are never
+    the side that is broadcast: the size of compressed files says little about them.
     """
     # The id column is nondeterministic to the optimizer, so nothing is filtered below it.
     lines = spark.read.text(paths).select(
@@ -30,7 +31,7 @@ def numbered_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
     shifts = splits.select(
         "path", "_split", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift")
     )
-    return lines.join(shifts, ["path", "_split"]).select(
+    return lines.join(F.broadcast(shifts), ["path", "_split"]).select(
         "path", (F.col("_shift") + F.col("_id") - F.col("_first")).alias("line_no"), "line"
     )
 

@@ -51,7 +51,10 @@ def interleaved_pairs(reads: DataFrame) -> DataFrame:
 
 
 def parallel_pairs(first: DataFrame, second: DataFrame) -> DataFrame:
-    """Records of two parallel sets of files as pairs: the k-th path of one side goes with the k-th of the other."""
+    """Records of two parallel sets of files as pairs: the k-th path of one side goes with the k-th of the other.
+
+    Both sides are sorted and merged whatever their files' size, which compression makes a poor measure of the rows.
+    """
     one = _numbered_files(first).select("file", "record", "name", F.col("sequence").alias("r1_seq"), F.col("quality").alias("r1_qual"))
     two = _numbered_files(second).select(
         "file",
@@ -60,7 +63,7 @@ def parallel_pairs(first: DataFrame, second: DataFrame) -> DataFrame:
         F.col("sequence").alias("r2_seq"),
         F.col("quality").alias("r2_qual"),
     )
-    return _ordered(one.join(two, ["file", "record"]))
+    return _ordered(one.hint("merge").join(two, ["file", "record"]))
 
 
 def read_fastq_pairs(spark: SparkSession, first: str, second: str | None = None) -> DataFrame:

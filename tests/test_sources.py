@@ -282,3 +282,15 @@ def test_merged_variants_are_in_contig_order(spark):
     contigs = spark.createDataFrame([("chr2", 0), ("chr10", 1)], "name string, nr int")
     got = merging.ordered_variants([df.where("pos < 4"), df.where("pos >= 4")], contigs).collect()
     assert [tuple(r) for r in got] == [("chr2", 3), ("chr2", 5), ("chr10", 1), ("chr10", 9), ("odd", 2)]
+
+
+def test_lines_of_compressed_files_are_never_broadcast(spark, tmp_path):
+    for side in (1, 2):
+        (tmp_path / f"r{side}").mkdir()
+        with gzip.open(tmp_path / f"r{side}" / "a.gz", "wt") as f:
+            f.write("".join(f"@r{i}\nACGT\n+\nFFFF\n" for i in range(500)))
+    pairs = sequences.read_fastq_pairs(spark, str(tmp_path / "r1"), str(tmp_path / "r2"))
+    assert "SortMergeJoin [file" in pairs._jdf.queryExecution().executedPlan().toString()
+    one = lines.numbered_lines(spark, str(tmp_path / "r1"))
+    assert "BuildRight" in one._jdf.queryExecution().executedPlan().toString()
+    assert pairs.where("r1_seq = 'ACGT' AND name = name2").count() == 500

@@ -10,7 +10,6 @@ from tagweave.catalog.views import table
 from tagweave.operators import coverage
 from tagweave.operators import haplotag as hap
 from tagweave.operators import pair_duplicates as pairs
-from tagweave.session import checkpointed
 from tagweave.sinks import layouts
 
 CATALOG = Catalog()
@@ -36,20 +35,19 @@ def line_reads(spark, sf_dir):
             out = out.when(F.col("shape") == k, value)
         return out
 
-    def offset(k, i):
-        out = F.when(F.lit(False), F.lit(0).cast("long"))
-        for place, at, length in SHAPES[k][2]:
-            out = out.when((i >= place) & (i < place + length), i - place + at)
-        return out
+    # What reads show follows the place by a period of 20 bases, and places without a base of the reference show T.
+    shown = F.element_at(F.array(*[F.lit(_shown(turn) * 3) for turn in (*range(5), None)]), (F.coalesce(F.col("turn"), F.lit(5)) + 1).cast("int"))
 
-    def base(i):
-        at = F.col("start") + by_shape([offset(k, i) for k in range(len(SHAPES))])
-        turn = (at * 7 + F.col("l_suppkey") + F.col("l_linenumber")) % 5
-        return F.coalesce(F.substring(F.lit("ACGT"), ((at + F.when(turn < 2, 1).when(turn == 4, 2).otherwise(0)) % 4 + 1).cast("int"), F.lit(1)), F.lit("T"))
+    def bases(stretches):
+        parts, done = [], 0
+        for place, at, length in stretches:
+            parts += [F.lit("T" * (place - done)), F.substring(shown, ((F.col("start") + at) % 20 + 1).cast("int"), F.lit(length))]
+            done = place + length
+        return F.concat(*parts, F.lit("T" * (40 - done)))
 
-    places = F.sequence(F.lit(0).cast("long"), F.lit(39).cast("long"))
-    rows = table(spark, sf_dir, "lineitem").withColumns({"shape": shape, "start": start})
-    reads = rows.select(
+    marks = "".join(chr(33 + i * 3 % 40) for i in range(80))
+    rows = table(spark, sf_dir, "lineitem").withColumns({"shape": shape, "start": start, "turn": (F.col("l_suppkey") + F.col("l_linenumber")) % 5})
+    return rows.select(
         F.concat(F.lit("q"), (F.col("l_orderkey") * 8 + F.floor(F.col("l_linenumber") / 2)).cast("string")).alias("qname"),
         (F.when(F.col("l_partkey") % 17 == 0, 1024).otherwise(0) + F.when(F.col("l_suppkey") % 29 == 0, 256).otherwise(0)).cast("int").alias("flag"),
         F.element_at(F.array(*map(F.lit, CHROMOSOMES)), (F.col("l_suppkey") % 5 + 1).cast("int")).alias("rname"),
@@ -57,12 +55,16 @@ def line_reads(spark, sf_dir):
         (F.col("start") + by_shape([F.lit(s[1]) for s in SHAPES])).alias("end"),
         F.col("l_quantity").cast("int").alias("mapq"),
         by_shape([F.lit(s[0]) for s in SHAPES]).alias("cigar"),
-        F.array_join(F.transform(places, base), "").alias("sequence"),
-        F.array_join(F.transform(places, lambda i: F.chr(F.lit(33) + (i * 3 + F.col("l_linenumber") * 5) % 40)), "").alias("quality"),
+        F.coalesce(by_shape([bases(s[2]) for s in SHAPES]), F.lit("T" * 40)).alias("sequence"),
+        F.coalesce(F.substring(F.lit(marks), (F.col("l_linenumber") * 15 % 40 + 1).cast("int"), F.lit(40)), F.lit("")).alias("quality"),
         F.when(F.col("l_partkey") % 23 != 0, F.concat(F.lit("b"), (F.col("l_partkey") % 40).cast("string"))).alias("bx"),
     )
-    # The bases take longer to make up than to read.
-    return checkpointed(reads)
+
+
+def _shown(turn):
+    """Bases shown at the places 0 to 19 of the reference, by the turn of a read; None shows the reference."""
+    raised = [1, 1, 0, 0, 2]
+    return "".join("ACGT"[(at + (0 if turn is None else raised[(at * 7 + turn) % 5])) % 4] for at in range(20))
 
 
 def _sql_place() -> str:

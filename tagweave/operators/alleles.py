@@ -1,7 +1,7 @@
 """Alleles that reads show at variant sites: read bases projected through their CIGAR.
 
-Sites are gathered by bins of ``SITE_WIDTH`` positions, so a read meets the sites it may cover in a lookup of its bins (one row each), whatever
-the depth; no read is paired with another read or with sites it does not reach. Projection is done for a batch of reads at once: operations of
+Sites are gathered by bins of ``SITE_WIDTH`` positions, and by narrower ones for shorter reads, so a read meets the sites it may cover in a lookup of
+its bins (one row each), whatever the depth, and few others; no read is paired with another read or with sites it does not reach. Projection is done for a batch of reads at once: operations of
 all CIGARs are laid end to end, and the place of a site in a read is a binary search among aligned stretches, so long reads with
 thousands of operations cost no more per operation than short ones.
 """
@@ -23,6 +23,8 @@ from tagweave.functions.skew import lookup
 from tagweave.operators.variants import alleles, heterozygous
 
 SITE_WIDTH = 1 << 10
+# A read takes the narrowest bins that are no shorter than itself; each width costs one more copy of the sites.
+NARROWER = (1 << 6, 1 << 8)
 # Quality of bases of reads that carry none.
 UNKNOWN_QUALITY = 20
 UNMAPPED, SECONDARY, FAILED, DUPLICATE, SUPPLEMENTARY = 4, 256, 512, 1024, 2048
@@ -37,7 +39,9 @@ def votes(min_mapq: int = 0) -> Column:
 
 
 def variant_sites(variants: DataFrame, indels: bool = False, phased: bool = True) -> DataFrame:
-    """(chrom, pos, ps, span, first, second) of heterozygous variants: their alleles in the order of the genotype, and the bases replaced.
+    """(chrom, pos, ps, span, first, second, zero) of heterozygous variants: their alleles in the order of the genotype, and the bases replaced.
+
+    ``zero`` is the allele number of the first, 0 for the smaller of the genotype's numbers.
 
     Several records at a place stay several sites. With ``phased`` only variants of a phase set are taken.
     """
@@ -52,6 +56,7 @@ def variant_sites(variants: DataFrame, indels: bool = False, phased: bool = True
         F.length("ref").alias("span"),
         F.upper(F.element_at(alleles(), F.element_at("gt", 1) + 1)).alias("first"),
         F.upper(F.element_at(alleles(), F.element_at("gt", 2) + 1)).alias("second"),
+        F.when(F.element_at("gt", 1) < F.element_at("gt", 2), 0).otherwise(1).alias("zero"),
         *kept,
     )
 
@@ -142,29 +147,41 @@ def project(cigars: list, starts: np.ndarray, sequences: pa.Array, qualities: pa
     return rows, found, seen, np.where(told, least, UNKNOWN_QUALITY)
 
 
-def observed_alleles(reads: DataFrame, sites: DataFrame, keep: Sequence[str] = ("qname", "rname", "start", "bx"), width: int = SITE_WIDTH) -> DataFrame:
-    """``keep`` columns of every read at every site it covers, with ``pos, ps, side, quality`` (and ``idx``).
+def _spread(rows: DataFrame, first: Column, last: Column, width: int) -> DataFrame:
+    """One row per bin from ``first`` to ``last``, of the width that fits the row's length: ``_width, _bin``."""
+    fits = F.lit(width)
+    for narrower in sorted((n for n in NARROWER if n < width), reverse=True):
+        fits = F.when(last - first < narrower, F.lit(narrower)).otherwise(fits)
+    placed = rows.withColumn("_width", fits.cast("int"))
+    bins = F.sequence(F.floor(first / F.col("_width")), F.floor(last / F.col("_width")))
+    return placed.withColumn("_bin", F.explode(bins))
+
 
-    ``side`` is 0 for the genotype's first allele and 1 for its second; other bases give no row. ``reads`` has
-    ``rname, start, end, cigar, sequence, quality`` besides.
+def packed_alleles(reads: DataFrame, sites: DataFrame, keep: Sequence[str] = ("qname", "rname", "start", "bx"), width: int = SITE_WIDTH) -> DataFrame:
+    """``keep`` columns of every read with ``shown``: the sites of a bin of which it shows an allele, as ``pos, ps, side, quality`` (and ``idx, zero``).
+
+    ``side`` is 0 for the genotype's first allele and 1 for its second; reads without such a site give no row, long ones a row per
+    bin. ``reads`` has ``rname, start, end, cigar, sequence, quality`` besides.
     """
-    fields = [c for c in ("pos", "ps", "span", "first", "second", "idx") if c in sites.columns]
+    told = [c for c in ("pos", "ps", "idx", "zero") if c in sites.columns]
+    fields = ["pos", *[c for c in (*told[1:], "span", "first", "second") if c in sites.columns]]
+    widths = F.array(*[F.lit(n).cast("int") for n in (*[n for n in NARROWER if n < width], width)])
     binned = (
-        sites.withColumn("_bin", F.floor(F.col("pos") / F.lit(width)))
-        .groupBy(F.col("chrom").alias("rname"), "_bin")
+        sites.withColumn("_width", F.explode(widths))
+        .groupBy(F.col("chrom").alias("rname"), "_width", F.floor(F.col("pos") / F.col("_width")).alias("_bin"))
         # At most the records of ``width`` positions.
         .agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("_sites"))
     )
     own = ["cigar", "sequence", "quality", "start", "end"]
     columns = list(dict.fromkeys([*keep, "rname", *own]))
-    first, last = F.floor(F.col("start") / F.lit(width)), F.floor(F.greatest("start", F.col("end") - 1) / F.lit(width))
-    spread = reads.where("cigar IS NOT NULL AND sequence IS NOT NULL").select(*columns, F.explode(F.sequence(first, last)).alias("_bin"))
-    met = lookup(spread, binned, ["rname", "_bin"]).where("_sites IS NOT NULL")
+    chosen = reads.where("cigar IS NOT NULL AND sequence IS NOT NULL").select(*columns)
+    spread = _spread(chosen, F.col("start"), F.greatest("start", F.col("end") - 1), width)
+    met = lookup(spread, binned, ["rname", "_width", "_bin"]).where("_sites IS NOT NULL")
     inside = F.filter("_sites", lambda s: (s["pos"] >= F.col("start")) & (s["pos"] < F.col("end")))
     met = met.withColumn("_sites", inside).where(F.size("_sites") > 0).select(*columns, "_sites")
     site = met.schema["_sites"].dataType.elementType
-    kept = [met.schema[c] for c in keep]
-    schema = T.StructType([*kept, T.StructField("_site", site), T.StructField("_seen", T.StringType()), T.StructField("_least", T.IntegerType())])
+    shown = T.StructType([*[site[c] for c in told], T.StructField("side", T.IntegerType()), T.StructField("quality", T.IntegerType())])
+    schema = T.StructType([*[met.schema[c] for c in keep], T.StructField("shown", T.ArrayType(shown))])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -176,13 +193,29 @@ def observed_alleles(reads: DataFrame, sites: DataFrame, keep: Sequence[str] = (
             counts = pc.list_value_length(held["_sites"]).to_numpy(zero_copy_only=False).astype(np.int64)
             own = Sites(counts, pos, span, (span == 1) & short[0].astype(bool) & short[1].astype(bool))
             rows, picked, seen, least = project(held["cigar"].to_pylist(), starts, held["sequence"], held["quality"], own)
-            took = [held[c].take(pa.array(rows)) for c in keep]
-            yield pa.RecordBatch.from_arrays([*took, flat.take(pa.array(picked)), seen, pa.array(least.astype(np.int32))], names=schema.names)
+            one, two = (
+                pc.fill_null(pc.equal(seen, flat.field(c).take(pa.array(picked)).cast(pa.string())), False).to_numpy(zero_copy_only=False) for c in ("first", "second")
+            )
+            of = np.flatnonzero(one | two)
+            sizes = np.bincount(rows[of], minlength=len(counts))
+            values = flat.take(pa.array(picked[of]))
+            parts = [values.field(c) for c in told] + [pa.array(np.where(one, 0, 1)[of].astype(np.int32)), pa.array(least[of].astype(np.int32))]
+            some = np.flatnonzero(sizes)
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes[some]))).astype(np.int32)), pa.StructArray.from_arrays(parts, names=shown.names))
+            yield pa.RecordBatch.from_arrays([*[held[c].take(pa.array(some)) for c in keep], lists], names=schema.names)
+
+    return met.mapInArrow(work, schema)
 
-    seen = met.mapInArrow(work, schema)
-    side = F.when(F.col("_seen") == F.col("_site.first"), 0).when(F.col("_seen") == F.col("_site.second"), 1)
-    extra = [F.col(f"_site.{c}").alias(c) for c in ("pos", "ps", "idx") if c in fields]
-    return seen.select(*keep, *extra, side.alias("side"), F.col("_least").alias("quality")).where("side IS NOT NULL")
+
+def unpacked(packed: DataFrame) -> DataFrame:
+    """One row per site of ``shown``, its fields as columns."""
+    others = [c for c in packed.columns if c != "shown"]
+    return packed.select(*others, F.inline("shown"))
+
+
+def observed_alleles(reads: DataFrame, sites: DataFrame, keep: Sequence[str] = ("qname", "rname", "start", "bx"), width: int = SITE_WIDTH) -> DataFrame:
+    """The rows of :func:`packed_alleles`, one per site: ``keep`` columns, ``pos, ps, side, quality`` (and ``idx, zero``)."""
+    return unpacked(packed_alleles(reads, sites, keep, width))
 
 
 def aligned_blocks(reads: DataFrame, keep: Sequence[str] = ("qname", "rname")) -> DataFrame:

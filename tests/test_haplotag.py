@@ -2,10 +2,12 @@
 
 import random
 import re
+import time
 from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tagweave.operators import alleles, coverage
 from tagweave.operators import haplotag as hap
@@ -282,3 +284,30 @@ def test_differences(spark):
     total = coverage.difference_rates(frame).first()
     assert (total.records, total.aligned_bases, total.mismatches, total.gaps) == (5, 69, 5, 3)
     assert coverage.difference_rates(frame.limit(0)).first().mismatches_share is None
+
+
+def test_fragments_of_many_blocks_are_parsed_in_one_pass(spark):
+    n = 60000
+    blocks = " ".join(f"{3 * i + 1} {'01' if i % 2 else '0'}" for i in range(n))
+    marks = "".join("AB" if i % 2 else "C" for i in range(n))
+    lines = spark.createDataFrame([(f"{n} m 2 b -1 {blocks} {marks}",), ("1 k 2 b -1 7 01 I",)], "line string")
+    began = time.perf_counter()
+    rows = {r.name: r for r in hap.parse_fragments(lines).collect()}
+    assert time.perf_counter() - began < 30
+    assert rows["m"].variants == len(marks)
+    assert [b.qualities for b in rows["m"].blocks[:4]] == ["C", "AB", "C", "AB"] and rows["m"].blocks[-1].qualities == "AB"
+    assert [b.qualities for b in rows["k"].blocks] == ["I"]
+
+
+def test_reads_take_the_bins_of_their_length(spark):
+    reads = spark.createDataFrame(
+        [("a", "c", 10, 12, "2M", "AC", "II"), ("b", "c", 0, 3000, "1500M1500M", "AC" * 1500, "I" * 3000), ("d", "c", 60, 310, "250M", "AC" * 125, "I" * 250)],
+        "qname string, rname string, start bigint, end bigint, cigar string, sequence string, quality string",
+    )
+    rows = [("c", p, 0, 1, "A", "C", 0) for p in range(0, 3000, 5)]
+    sites = spark.createDataFrame(rows, "chrom string, pos bigint, ps bigint, span int, first string, second string, zero int")
+    seen = {(r.qname, r.pos, r.side) for r in alleles.observed_alleles(reads, sites, ("qname", "rname")).collect()}
+    spans = {"a": (10, 12), "b": (0, 3000), "d": (60, 310)}
+    assert seen == {(q, p, (p - s) % 2) for q, (s, e) in spans.items() for p in range(0, 3000, 5) if s <= p < e}
+    widths = alleles._spread(reads, F.col("start"), F.col("end") - 1, alleles.SITE_WIDTH).groupBy("qname").agg(F.max("_width").alias("w"), F.count(F.lit(1)).alias("n"))
+    assert {r.qname: (r.w, r.n) for r in widths.collect()} == {"a": (64, 1), "b": (1024, 3), "d": (256, 2)}

@@ -12,8 +12,12 @@ Best reads are partial minima by end, so places of great depth are no group of r
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tagweave.functions.skew import lookup
 from tagweave.operators.alleles import DUPLICATE, SECONDARY, SUPPLEMENTARY, UNMAPPED
@@ -39,12 +43,21 @@ def unclipped_end() -> Column:
 
 
 def quality_sum(least: int = GOOD_QUALITY) -> Column:
-    """Sum of the base qualities that are good enough; 0 for reads without qualities."""
-    marks = F.split(F.coalesce("quality", F.lit("")), "")
-    total = F.aggregate(
-        marks, F.lit(0).cast("long"), lambda sum_, c: sum_ + F.when((c != "") & (F.ascii(c) - 33 >= least), F.ascii(c) - 33).otherwise(0)
-    )
-    return F.when(F.col("quality") == "*", F.lit(0).cast("long")).otherwise(total)
+    """Sum of the base qualities (ASCII) that are good enough; 0 for reads without qualities."""
+    worth = np.arange(256, dtype=np.int64) - 33
+    worth[worth < least] = 0
+
+    @F.arrow_udf(T.LongType())
+    def summed(quality: pa.Array) -> pa.Array:
+        octets = quality.cast(pa.binary())
+        sizes = pc.binary_length(octets).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        # Running sums over the qualities of a batch, read off where reads end.
+        upto = np.concatenate(([0], np.cumsum(worth[np.frombuffer(b"".join(octets.to_pylist()), dtype=np.uint8)])))
+        return pa.array(upto[ends[1:]] - upto[ends[:-1]])
+
+    marks = F.coalesce("quality", F.lit(""))
+    return summed(F.when(marks == "*", F.lit("")).otherwise(marks))
 
 
 def _examined() -> Column:

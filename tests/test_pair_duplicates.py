@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import pytest
 
+from tagweave.operators.pair_duplicates import quality_sum
 from tagweave.operators import pair_duplicates as pd_
 
 SCHEMA = "qname string, flag int, rname string, start long, end long, cigar string, quality string, bx string"
@@ -80,3 +81,14 @@ def test_empty_table(spark):
     frame = spark.createDataFrame([], SCHEMA)
     assert pd_.mark_pair_duplicates(frame).count() == 0
     assert pd_.duplication_metrics(frame).first().duplication == 0.0
+
+
+def test_quality_sums_are_taken_a_batch_at_a_time(spark):
+    texts = ["", "*", None, "!" * 9, "0" * 3, chr(33 + 14) * 5 + chr(33 + 15), "I" * 100000, "~5/A"]
+    rows = spark.createDataFrame([(i, q) for i, q in enumerate(texts)], "i int, quality string")
+    summed = rows.select("i", quality_sum().alias("score"))
+    plain = {i: sum(ord(c) - 33 for c in q or "" if ord(c) - 33 >= 15) if q != "*" else 0 for i, q in enumerate(texts)}
+    assert {r.i: r.score for r in summed.collect()} == plain
+    assert summed.where("i < 0").count() == 0
+    # No step for every character of every read.
+    assert "lambdafunction" not in summed._jdf.queryExecution().optimizedPlan().toString()

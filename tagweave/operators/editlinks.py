@@ -9,11 +9,14 @@ differ in these segments.
 * Counts are compared *inside the join*: only strings frequent enough for some other are indexed, only pairs of the wanted ratio are compared.
 * ``intact`` follows the number of indexed strings, so that a key is expected to hold ``KEY_ROWS`` of them at most, whatever the table's
   size; all choices give the same links. Keys that stay crowded are split at run time, as both sides are plain shuffles.
+* Strings look within one edit first, and only those that found no parent look further: the wider search, with its many keys, is left to few
+  where frequent strings are dense.
 * A string keeps its best link only, found by partial minima, so what is written is linear in the strings.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations, product
 
 from pyspark.sql import DataFrame
@@ -69,11 +72,23 @@ def parent_links(counts: DataFrame, max_dist: int = 2, ratio: int = 5, intact: i
     if ratio < 2 or max_dist < 1:
         raise ValueError("a parent is at least twice as frequent and one edit away")
     table = checkpointed(counts.select("barcode", "n"))
-    range_ = table.agg(F.min("n").alias("least"), F.max("n").alias("most")).first()
-    if range_["least"] is None:
+    rest, rounds = table, []
+    # A nearer parent is the better one, so only strings without a parent at fewer edits look further.
+    for edits in range(1, max_dist + 1):
+        least, most = rest.agg(F.min("n")).first()[0], table.agg(F.max("n")).first()[0]
+        if least is None:
+            break
+        rare = rest.where(F.col("n") * ratio <= most)
+        rounds.append(checkpointed(_nearest(rare, table.where(F.col("n") >= least * ratio), edits, ratio, intact)))
+        if edits < max_dist:
+            rest = checkpointed(lookup(rare, rounds[-1].select("barcode", "distance"), "barcode").where("distance IS NULL").drop("distance"))
+    if not rounds:
         return table.select("barcode", F.col("barcode").alias("parent"), F.lit(0).alias("distance"))
-    frequent = table.where(F.col("n") >= range_["least"] * ratio)
-    rare = table.where(F.col("n") * ratio <= range_["most"])
+    return reduce(DataFrame.unionByName, rounds)
+
+
+def _nearest(rare: DataFrame, frequent: DataFrame, max_dist: int, ratio: int, intact: int | None) -> DataFrame:
+    """(barcode, parent, distance): the best parent of every string of ``rare`` among ``frequent``."""
     if intact is None:
         told = frequent.agg(F.count(F.lit(1)).alias("rows"), F.min(F.length("barcode")).alias("length")).first()
         intact = intact_segments(told["rows"], told["length"] or 0, max_dist)

@@ -351,3 +351,19 @@ def test_droplet_links_write_rows_in_proportion(spark, library, monkeypatch):
     assert sum(written) < 10 * len(rows)
     # Each of these barcodes is met at two or more of the positions that "hot" is at, all of which overlap.
     assert found == (set() if library == "dbs" else {(f"b{k:04d}", "hot") for k in range(0, 1500, 2)})
+
+
+def test_edit_links_look_further_only_where_nothing_is_near(spark, monkeypatch):
+    words = ["".join(w) for w in itertools.product("ACGT", repeat=5)]
+    frame = spark.createDataFrame([(w, 9 if w[-1] == "A" else 1) for w in words] + [("GGGGGTTT", 1)], "barcode string, n long")
+    searched, keys = {}, editlinks._keys
+
+    def spied(rows, name, choices, max_dist, intact):
+        if name == "barcode":
+            searched[max_dist] = rows.count()
+        return keys(rows, name, choices, max_dist, intact)
+
+    monkeypatch.setattr(editlinks, "_keys", spied)
+    found = editlinks.parent_links(frame, 2, 3).collect()
+    assert {r.barcode for r in found} == {w for w in words if w[-1] != "A"} and {r.distance for r in found} == {1}
+    assert searched[2] == 1

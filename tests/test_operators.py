@@ -367,3 +367,14 @@ def test_edit_links_look_further_only_where_nothing_is_near(spark, monkeypatch):
     found = editlinks.parent_links(frame, 2, 3).collect()
     assert {r.barcode for r in found} == {w for w in words if w[-1] != "A"} and {r.distance for r in found} == {1}
     assert searched[2] == 1
+
+
+def test_overlaps_of_a_crowded_bin_are_dealt_over_tasks(spark):
+    left = spark.range(400).select(F.lit("c").alias("chrom"), F.col("id").alias("start"), (F.col("id") + 5).alias("end"))
+    right = spark.range(400).select(F.lit("c").alias("chrom"), F.col("id").alias("r_start"), (F.col("id") + 3).alias("r_end"))
+    columns = ["start", "end", "r_start", "r_end"]
+    pairs = intervals.overlap_join(left, right, 1 << 16, shares=8)
+    rows = sorted(map(tuple, pairs.select(*columns).collect()))
+    assert rows == [(s, s + 5, r, r + 3) for s in range(400) for r in range(400) if s < r + 3 and r < s + 5]
+    assert set(pairs.columns) == {"chrom", *columns}
+    assert pairs.select(F.spark_partition_id()).distinct().count() > 1

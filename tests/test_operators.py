@@ -370,8 +370,8 @@ def test_edit_links_look_further_only_where_nothing_is_near(spark, monkeypatch):
 
 
 def test_overlaps_of_a_crowded_bin_are_dealt_over_tasks(spark):
-    left = spark.range(400).select(F.lit("c").alias("chrom"), F.col("id").alias("start"), (F.col("id") + 5).alias("end"))
-    right = spark.range(400).select(F.lit("c").alias("chrom"), F.col("id").alias("r_start"), (F.col("id") + 3).alias("r_end"))
+    left = spark.createDataFrame([("c", i, i + 5) for i in range(400)], "chrom string, start long, end long")
+    right = spark.createDataFrame([("c", i, i + 3) for i in range(400)], "chrom string, r_start long, r_end long")
     columns = ["start", "end", "r_start", "r_end"]
     pairs = intervals.overlap_join(left, right, 1 << 16, shares=8)
     rows = sorted(map(tuple, pairs.select(*columns).collect()))

@@ -65,11 +65,16 @@ class Projection:
     """Places of reference positions in reads, for a batch of alignments."""
 
     def __init__(self, cigars: Sequence[str | None], starts: np.ndarray):
-        found = [_OPERATION.findall(c) if c else [] for c in cigars]
-        counts = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        lengths = np.array([int(n) for ops in found for n, _ in ops], dtype=np.int64)
-        kinds = np.frombuffer("".join(k for ops in found for _, k in ops).encode(), dtype=np.uint8)
-        row = np.repeat(np.arange(len(found)), counts)
+        # Each different CIGAR is read once.
+        codes: dict[str | None, int] = {}
+        code = np.fromiter((codes.setdefault(c, len(codes)) for c in cigars), dtype=np.int64, count=len(cigars))
+        found = [_OPERATION.findall(c) if c else [] for c in codes]
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        counts = sizes[code]
+        at = np.repeat((np.cumsum(sizes) - sizes)[code] - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+        lengths = np.array([int(n) for ops in found for n, _ in ops], dtype=np.int64)[at]
+        kinds = np.frombuffer("".join(k for ops in found for _, k in ops).encode(), dtype=np.uint8)[at]
+        row = np.repeat(np.arange(len(code)), counts)
         on_reference = np.where(np.isin(kinds, np.frombuffer(b"MDN=X", dtype=np.uint8)), lengths, 0)
         on_read = np.where(np.isin(kinds, np.frombuffer(b"MIS=X", dtype=np.uint8)), lengths, 0)
         first = np.concatenate(([0], np.cumsum(counts)))[:-1]
@@ -157,11 +162,65 @@ def _spread(rows: DataFrame, first: Column, last: Column, width: int) -> DataFra
     return placed.withColumn("_bin", F.explode(bins))
 
 
+def _record(told: Sequence[str]) -> np.dtype:
+    """A site as bytes: its numbers, which of them are unknown (a bit each), and the sizes of its two alleles."""
+    return np.dtype([*[(c, "<i8") for c in told], ("span", "<i8"), ("unknown", "<i4"), ("single", "<i4"), ("first", "<i4"), ("second", "<i4")])
+
+
+def _packed_sites(binned: DataFrame, told: Sequence[str]) -> DataFrame:
+    """``_sites`` of every bin as ``_numbers``, records of a fixed size in order of place, and ``_bases``, both alleles of each laid end to end."""
+    record, keys = _record(told), [c for c in binned.columns if c != "_sites"]
+    schema = T.StructType([*[binned.schema[c] for c in keys], T.StructField("_numbers", T.BinaryType()), T.StructField("_bases", T.BinaryType())])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(len(keys))
+            flat = lists.flatten()
+            records = np.zeros(len(flat), dtype=record)
+            for k, c in enumerate((*told, "span")):
+                field = flat.field(c)
+                records[c] = field.fill_null(0).to_numpy(zero_copy_only=False)
+                records["unknown"] |= field.is_null().to_numpy(zero_copy_only=False).astype(np.int32) << k
+            both = [flat.field(c).cast(pa.string()).fill_null("") for c in ("first", "second")]
+            for c, texts in zip(("first", "second"), both):
+                records[c] = pc.binary_length(texts).to_numpy(zero_copy_only=False)
+            short = [pc.equal(pc.utf8_length(texts), 1).to_numpy(zero_copy_only=False) for texts in both]
+            records["single"] = (records["span"] == 1) & short[0] & short[1]
+            joined = pc.binary_join_element_wise(*both, "").to_pylist()
+            ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False)).tolist()
+            spans = list(zip([0, *ends], ends))
+            numbers = pa.array([records[i:j].tobytes() for i, j in spans], pa.binary())
+            bases = pa.array(["".join(joined[i:j]).encode() for i, j in spans], pa.binary())
+            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in range(len(keys))], numbers, bases], names=schema.names)
+
+    return binned.select(*keys, "_sites").mapInArrow(work, schema)
+
+
+def _met_sites(held: dict[str, pa.Array], record: np.dtype) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """The sites of all bins of a batch, each bin once: their records and their alleles (first and second in turn); and which of them each
+    read spans: the first, and how many."""
+    _, at, of = np.unique(held["_id"].to_numpy(zero_copy_only=False), return_index=True, return_inverse=True)
+    at = pa.array(at)
+    numbers, bases = (held[c].take(at) for c in ("_numbers", "_bases"))
+    records = np.frombuffer(b"".join(numbers.to_pylist()), dtype=record)
+    sizes = pc.binary_length(numbers).to_numpy(zero_copy_only=False).astype(np.int64) // record.itemsize
+    ends = np.cumsum(np.stack([records["first"], records["second"]], axis=1).ravel(), dtype=np.int64)
+    alleles_ = pa.LargeStringArray.from_buffers(len(ends), pa.py_buffer(np.concatenate(([0], ends))), pa.py_buffer(b"".join(bases.to_pylist()) or b" "))
+    starts, stops = (held[c].to_numpy(zero_copy_only=False).astype(np.int64) for c in ("start", "end"))
+    # Places from the smallest on, bins one behind the other.
+    low = min(records["pos"].min(), starts.min())
+    wide = max(records["pos"].max(), stops.max(), starts.max()) - low + 1
+    keys = np.repeat(np.arange(len(sizes)), sizes) * wide + (records["pos"] - low)
+    first, last = (np.searchsorted(keys, of * wide + (x - low), side="left") for x in (starts, np.maximum(starts, stops)))
+    return records, first, last - first, alleles_
+
+
 def packed_alleles(reads: DataFrame, sites: DataFrame, keep: Sequence[str] = ("qname", "rname", "start", "bx"), width: int = SITE_WIDTH) -> DataFrame:
     """``keep`` columns of every read with ``shown``: the sites of a bin of which it shows an allele, as ``pos, ps, side, quality`` (and ``idx, zero``).
 
     ``side`` is 0 for the genotype's first allele and 1 for its second; reads without such a site give no row, long ones a row per
-    bin. ``reads`` has ``rname, start, end, cigar, sequence, quality`` besides.
+    bin. ``reads`` has ``rname, start, end, cigar, sequence, quality`` besides. The sites of a bin go to its reads as bytes, which are
+    opened once for all reads of a batch.
     """
     told = [c for c in ("pos", "ps", "idx", "zero") if c in sites.columns]
     fields = ["pos", *[c for c in (*told[1:], "span", "first", "second") if c in sites.columns]]
@@ -171,35 +230,40 @@ def packed_alleles(reads: DataFrame, sites: DataFrame, keep: Sequence[str] = ("q
         .groupBy(F.col("chrom").alias("rname"), "_width", F.floor(F.col("pos") / F.col("_width")).alias("_bin"))
         # At most the records of ``width`` positions.
         .agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("_sites"))
+        .where("rname IS NOT NULL AND _bin IS NOT NULL")
     )
     own = ["cigar", "sequence", "quality", "start", "end"]
     columns = list(dict.fromkeys([*keep, "rname", *own]))
-    chosen = reads.where("cigar IS NOT NULL AND sequence IS NOT NULL").select(*columns)
+    chosen = reads.where("cigar IS NOT NULL AND sequence IS NOT NULL AND start IS NOT NULL AND end IS NOT NULL").select(*columns)
     spread = _spread(chosen, F.col("start"), F.greatest("start", F.col("end") - 1), width)
-    met = lookup(spread, binned, ["rname", "_width", "_bin"]).where("_sites IS NOT NULL")
-    inside = F.filter("_sites", lambda s: (s["pos"] >= F.col("start")) & (s["pos"] < F.col("end")))
-    met = met.withColumn("_sites", inside).where(F.size("_sites") > 0).select(*columns, "_sites")
-    site = met.schema["_sites"].dataType.elementType
-    shown = T.StructType([*[site[c] for c in told], T.StructField("side", T.IntegerType()), T.StructField("quality", T.IntegerType())])
+    table = _packed_sites(binned, told).withColumn("_id", F.monotonically_increasing_id())
+    met = lookup(spread, table, ["rname", "_width", "_bin"]).where("_id IS NOT NULL").select(*columns, "_numbers", "_bases", "_id")
+    record = _record(told)
+    shown = T.StructType([*[sites.schema[c] for c in told], T.StructField("side", T.IntegerType()), T.StructField("quality", T.IntegerType())])
+    kinds = {c: pa.int32() if isinstance(sites.schema[c].dataType, T.IntegerType) else pa.int64() for c in told}
     schema = T.StructType([*[met.schema[c] for c in keep], T.StructField("shown", T.ArrayType(shown))])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if not batch.num_rows:
+                continue
             held = {name: batch.column(k) for k, name in enumerate(batch.schema.names)}
+            records, first, counts, both = _met_sites(held, record)
+            some = np.flatnonzero(counts)
+            if len(some) < len(counts):
+                held = {name: held[name].take(pa.array(some)) for name in columns}
+                first, counts = first[some], counts[some]
             starts = held["start"].to_numpy(zero_copy_only=False).astype(np.int64)
-            flat = held["_sites"].flatten()
-            pos, span = (flat.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("pos", "span"))
-            short = [pc.equal(pc.utf8_length(flat.field(c)), 1).to_numpy(zero_copy_only=False) for c in ("first", "second")]
-            counts = pc.list_value_length(held["_sites"]).to_numpy(zero_copy_only=False).astype(np.int64)
-            own = Sites(counts, pos, span, (span == 1) & short[0].astype(bool) & short[1].astype(bool))
+            at = np.repeat(first - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+            own = Sites(counts, records["pos"][at], records["span"][at], records["single"][at].astype(bool))
             rows, picked, seen, least = project(held["cigar"].to_pylist(), starts, held["sequence"], held["quality"], own)
-            one, two = (
-                pc.fill_null(pc.equal(seen, flat.field(c).take(pa.array(picked)).cast(pa.string())), False).to_numpy(zero_copy_only=False) for c in ("first", "second")
-            )
+            site, seen = at[picked], seen.cast(pa.large_string())
+            one, two = (pc.equal(seen, both.take(pa.array(site * 2 + k))).to_numpy(zero_copy_only=False) for k in (0, 1))
             of = np.flatnonzero(one | two)
             sizes = np.bincount(rows[of], minlength=len(counts))
-            values = flat.take(pa.array(picked[of]))
-            parts = [values.field(c) for c in told] + [pa.array(np.where(one, 0, 1)[of].astype(np.int32)), pa.array(least[of].astype(np.int32))]
+            values = records[site[of]]
+            parts = [pa.array(values[c], mask=(values["unknown"] >> k & 1).astype(bool)).cast(kinds[c]) for k, c in enumerate(told)]
+            parts += [pa.array(np.where(one, 0, 1)[of].astype(np.int32)), pa.array(least[of].astype(np.int32))]
             some = np.flatnonzero(sizes)
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes[some]))).astype(np.int32)), pa.StructArray.from_arrays(parts, names=shown.names))
             yield pa.RecordBatch.from_arrays([*[held[c].take(pa.array(some)) for c in keep], lists], names=schema.names)

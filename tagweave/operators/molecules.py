@@ -97,7 +97,7 @@ def _joined_sessions(local: DataFrame, keys: list[str], window: int | None) -> D
         F.max("end").alias("end"), F.sum("reads").alias("reads"), F.sum("covered").alias("covered")
     )
     if window is not None and window < WIDE_WINDOW:
-        return _linked_sessions(partial, keys, window)
+        return _linked_sessions(checkpointed(partial), keys, window)
     across = Window.partitionBy(*keys).orderBy("start")
     prior = F.max("end").over(across.rowsBetween(Window.unboundedPreceding, -1))
     return partial.withColumn("_prior", prior).withColumn(
@@ -132,7 +132,8 @@ def permissive_sessions(reads: DataFrame, keys: Sequence[str], window: int | Non
 def permissive_placements(reads: DataFrame, keys: Sequence[str], window: int | None) -> DataFrame:
     """(keys, start) -> ``mol_start`` when every overlap is acceptable."""
     keys = list(keys)
-    local = _local_sessions(reads, keys, window)
+    # Read twice: for its sessions and for the places themselves.
+    local = checkpointed(_local_sessions(reads, keys, window).select(*keys, BUCKET, "start", "end", "reads", "covered", "local_start"))
     joined = _joined_sessions(local, keys, window).select(*keys, BUCKET, F.col("start").alias("local_start"), "mol_start")
     starts = local.where(F.col("reads") > 0).select(*keys, BUCKET, "start", "local_start")
     return starts.join(joined, [*keys, BUCKET, "local_start"]).select(*keys, "start", "mol_start")

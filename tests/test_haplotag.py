@@ -311,3 +311,21 @@ def test_reads_take_the_bins_of_their_length(spark):
     assert seen == {(q, p, (p - s) % 2) for q, (s, e) in spans.items() for p in range(0, 3000, 5) if s <= p < e}
     widths = alleles._spread(reads, F.col("start"), F.col("end") - 1, alleles.SITE_WIDTH).groupBy("qname").agg(F.max("_width").alias("w"), F.count(F.lit(1)).alias("n"))
     assert {r.qname: (r.w, r.n) for r in widths.collect()} == {"a": (64, 1), "b": (1024, 3), "d": (256, 2)}
+
+
+def test_sites_keep_unknown_numbers_and_long_alleles_and_names_meet_once(spark):
+    reads = spark.createDataFrame(
+        [("a", "c", 10, 14, "4M", "ACGT", "IIII"), ("a", "c", 12, 16, "4M", "GGTT", "5555"), (None, "c", 2040, 2060, "20M", "ACGT" * 5, None)],
+        "qname string, rname string, start bigint, end bigint, cigar string, sequence string, quality string",
+    )
+    rows = [("c", 11, None, 1, "C", "G", 1, 0), ("c", 12, 7, 1, "G", "A", 2, 1), ("c", 13, 7, 2, "TT", "T", 3, 0), ("c", 2050, None, 1, "A", "G", 4, 0)]
+    sites = spark.createDataFrame(rows, "chrom string, pos bigint, ps bigint, span int, first string, second string, idx bigint, zero int")
+    packed = alleles.packed_alleles(reads, sites, ("qname", "rname"))
+    seen = {tuple(r) for r in alleles.unpacked(packed).select("qname", "pos", "ps", "idx", "zero", "side", "quality").collect()}
+    assert seen == {("a", 11, None, 1, 0, 0, 40), ("a", 12, 7, 2, 1, 0, 40), ("a", 12, 7, 2, 1, 0, 20), (None, 2050, None, 4, 0, 1, 20)}
+    votes = hap._packed_votes(packed, ["rname"])
+    want = hap.joined_votes(alleles.unpacked(packed), ["rname"])
+    assert sorted(map(str, votes.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+    # Sites are moved with their read, before they are unpacked: nothing is moved between unpacking and the votes.
+    plan = votes._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan[: plan.index("Generate")] and "Exchange" in plan[plan.index("Generate") :]

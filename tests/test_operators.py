@@ -2,6 +2,7 @@
 
 import itertools
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -378,3 +379,19 @@ def test_overlaps_of_a_crowded_bin_are_dealt_over_tasks(spark):
     assert rows == [(s, s + 5, r, r + 3) for s in range(400) for r in range(400) if s < r + 3 and r < s + 5]
     assert set(pairs.columns) == {"chrom", *columns}
     assert pairs.select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_flank_barcodes_are_counted_where_their_pairs_are_formed(spark):
+    rng = random.Random(5)
+    rows = [("c" if rng.random() < 0.7 else "d", s, s + rng.randrange(0, 60), f"b{0 if rng.random() < 0.3 else rng.randrange(9)}", 1024 if rng.random() < 0.1 else 0)
+            for s in (rng.randrange(40000) for _ in range(900))]
+    flanks = [(f"g{k % 20}", "c" if k % 3 else "d", s, s + rng.randrange(-1, 4000)) for k, s in enumerate(rng.randrange(1, 40000) for _ in range(40))]
+    reads = spark.createDataFrame(rows, "rname string, start long, end long, bx string, flag int")
+    regions = spark.createDataFrame(flanks, "gap string, contig string, start long, end long")
+    want = Counter((g, bx) for g, contig, lo, hi in flanks for rname, s, e, bx, flag in rows if not flag and rname == contig and s < hi and lo - 1 < e)
+    found = gaps.flank_barcodes(regions, reads, 2, width=1 << 10, task_pairs=100, part_flanks=15)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert {(r.gap, r.bx): r.occurrences for r in found.collect()} == {k: n for k, n in want.items() if n >= 2}
+    # Spans are moved and flanks copied; their pairs are not moved.
+    assert plan.count("BroadcastHashJoin") == 3 and plan.count("Exchange hashpartitioning") == 3
+    assert "hashpartitioning(gap" not in plan and all("Exchange hashpartitioning(bx" in part for part in plan.split("HashAggregate")[2::2])

@@ -52,16 +52,17 @@ def paired_reads(reads: DataFrame, order: str, qualifies, width: int, name: str
     )
 
 
+def _barcode_rows(pairs: DataFrame, barcode: str) -> DataFrame:
+    return pairs.where(F.col(barcode).isNotNull()).select(*POSITION, F.col(barcode).alias("bx")).distinct()
+
+
+def _shared_positions(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(*POSITION).agg(F.count(F.lit(1)).alias("barcodes")).where("barcodes > 1")
+
+
 def duplicate_positions(pairs: DataFrame, barcode: str = "bx") -> DataFrame:
     """Positions with more than one barcode and their number of distinct barcodes."""
-    return (
-        pairs.where(F.col(barcode).isNotNull())
-        .select(*POSITION, barcode)
-        .distinct()
-        .groupBy(*POSITION)
-        .agg(F.count(F.lit(1)).alias("barcodes"))
-        .where("barcodes > 1")
-    )
+    return _shared_positions(_barcode_rows(pairs, barcode))
 
 
 def coverage_threshold(positions: DataFrame, quantile: float = 0.99, minimum: int = 6) -> DataFrame:
@@ -72,10 +73,11 @@ def coverage_threshold(positions: DataFrame, quantile: float = 0.99, minimum: in
 
 def seed_positions(pairs: DataFrame, quantile: float = 0.99, minimum: int = 6, barcode: str = "bx") -> DataFrame:
     """(position, barcode) rows of duplicate positions below the coverage threshold."""
-    positions = checkpointed(duplicate_positions(pairs, barcode))
+    # Pairs are read and reduced once.
+    rows = checkpointed(_barcode_rows(pairs, barcode))
+    positions = checkpointed(_shared_positions(rows))
     limits = coverage_threshold(positions, quantile, minimum)
     kept = checkpointed(positions.join(limits, "rname").where("barcodes < threshold").select(*POSITION))
-    rows = pairs.where(F.col(barcode).isNotNull()).select(*POSITION, F.col(barcode).alias("bx")).distinct()
     found = lookup(rows, kept.withColumn("_kept", F.lit(True)), POSITION)
     return found.where(F.col("_kept")).drop("_kept")
 

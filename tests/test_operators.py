@@ -395,3 +395,18 @@ def test_flank_barcodes_are_counted_where_their_pairs_are_formed(spark):
     # Spans are moved and flanks copied; their pairs are not moved.
     assert plan.count("BroadcastHashJoin") == 3 and plan.count("Exchange hashpartitioning") == 3
     assert "hashpartitioning(gap" not in plan and all("Exchange hashpartitioning(bx" in part for part in plan.split("HashAggregate")[2::2])
+
+
+def test_pairs_are_read_once_for_their_seeds(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def told(place):
+        read.add(1)
+        return place
+
+    rows = [("c", k % 30, k % 30 + 5, "F", f"b{k % 7}") for k in range(210)] + [("c", 500, 510, "F", "x"), ("c", 1, 6, "F", None)]
+    pairs = spark.createDataFrame(rows, "rname string, start long, end long, orientation string, bx string")
+    pairs = pairs.withColumn("start", F.udf(told, "long")("start"))
+    seeds = {tuple(r) for r in duplicates.seed_positions(pairs, minimum=9).select("start", "bx").collect()}
+    assert seeds == {(k % 30, f"b{k % 7}") for k in range(210)}
+    assert read.value <= len(rows)

@@ -65,16 +65,20 @@ class StrictMolecules(StatefulProcessor):
         # Whatever may still arrive lies beyond the watermark.
         ready = sorted((tuple(r) for r in waiting if r[3] * 1000 <= passed), key=lambda r: (r[0], r[1], r[2]))
         later = [tuple(r) for r in waiting if r[3] * 1000 > passed]
-        self._keep(later)
-        done = list(self._fold(ready))
-        state = self._state()
+        if waiting:
+            self._keep(later)
+        held = self._state()
+        done, state, fresh = self._fold(ready, held)
         if state is not None:
             # A read exactly ``window`` away still belongs to the molecule.
             closing = (state[4] + state[1] - state[0] + self._window + 1) * 1000
             if closing <= passed:
+                # What closes in the walk that opened it is never stored.
                 done.append(state)
-                self._clear()
+                if held is not None:
+                    self._clear()
             else:
+                self._store(state, fresh)
                 self._handle.registerTimer(closing)
         if later:
             self._handle.registerTimer(min(r[3] for r in later) * 1000)
@@ -98,16 +102,22 @@ class StrictMolecules(StatefulProcessor):
         self._open.clear()
         self._names.clear()
 
-    def _fold(self, reads: Sequence[tuple]) -> Iterator[tuple]:
-        """Walk reads in order; yields molecules that a later read has closed."""
-        state = self._state()
+    def _store(self, state: tuple, fresh: set[str]) -> None:
+        self._open.update(state)
+        if self._band is not None:
+            for name in fresh:
+                self._names.updateValue((name,), (True,))
+
+    def _fold(self, reads: Sequence[tuple], held: tuple | None) -> tuple[list[tuple], tuple | None, set[str]]:
+        """Walk reads in order from the stored molecule: molecules that a later read has closed, the open one, and its names met in this walk."""
+        state, done = held, []
         # Names of this walk are looked up here first; those of earlier walks are in state.
         fresh: set[str] = set()
         carried = state is not None
         for start, stop, name, place in reads:
             if state is None or state[1] + self._window < start:
                 if state is not None:
-                    yield state
+                    done.append(state)
                 if carried:
                     self._names.clear()
                 state, fresh, carried = (start, stop, 1, stop - start, place), {name}, False
@@ -117,11 +127,7 @@ class StrictMolecules(StatefulProcessor):
             if accepted or name in fresh or (carried and self._names.containsKey((name,))):
                 state = (mol, max(end, stop), n + 1, covered + max(stop - max(start, end), 0), at)
                 fresh.add(name)
-        if state is not None:
-            self._open.update(state)
-            if self._band is not None:
-                for name in fresh:
-                    self._names.updateValue((name,), (True,))
+        return done, state, fresh
 
 
 MOLECULES = T.StructType(

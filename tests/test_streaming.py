@@ -84,3 +84,27 @@ def test_places_along_a_genome(spark):
     offsets = spark.createDataFrame([("x", 0), ("y", 1000)], "rname string, offset long")
     reads = spark.createDataFrame([("x", 5), ("y", 7), (None, 9)], "rname string, start long")
     assert sorted(map(tuple, strict.genome_place(offsets, reads).collect()), key=str) == [("x", 5, 5), ("y", 7, 1007), (None, 9, None)]
+
+
+def test_molecules_closed_by_the_walk_that_opened_them_are_not_stored():
+    from types import SimpleNamespace
+    from unittest.mock import MagicMock
+
+    from tagweave.streaming.strict import StrictMolecules
+
+    def fold(passed):
+        walk, handle = StrictMolecules(10, (8, 10)), MagicMock()
+        walk.init(handle)
+        walk._pending, walk._open, walk._names = MagicMock(), MagicMock(), MagicMock()
+        walk._pending.get.return_value = [(100, 120, "b", 100), (0, 5, "a", 0), (7, 20, "a", 7)]
+        walk._open.exists.return_value = False
+        timer = SimpleNamespace(getCurrentWatermarkInMs=lambda: passed * 1000)
+        return walk, [r for frame in walk.handleExpiredTimer(("c", "x"), timer, None) for r in frame.itertuples(index=False, name=None)]
+
+    walk, rows = fold(1000)
+    assert rows == [("c", "x", 0, 20, 2, 20, 18), ("c", "x", 100, 120, 1, 20, 20)]
+    assert not walk._open.update.called and not walk._names.updateValue.called and not walk._names.clear.called
+    walk, rows = fold(110)
+    assert rows == [("c", "x", 0, 20, 2, 20, 18)]
+    walk._open.update.assert_called_once_with((100, 120, 1, 20, 100))
+    walk._names.updateValue.assert_called_once_with(("b",), (True,))

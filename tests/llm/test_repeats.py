@@ -65,6 +65,17 @@ def test_production_length(spark):
         assert (r.n_bytes, r.n_removed, [tuple(s) for s in r.removed], r.kept_sha256) == (size, gone, spans, digest)
 
 
+def test_anchors_do_not_follow_the_size_of_a_slice(spark):
+    # The first and the last eight bytes have hashes that agree in their upper 44 bits, and the larger one stands first.
+    rng, passage = random.Random(3), "qoizzipsayspxdvc"
+    filler = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=1_000_000))
+    texts = [passage, f"{passage} {filler}"]
+    # The second text has a slice of its own.
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = repeats.remove_repeats(docs, length=16, piece=8).orderBy("doc_id").collect()
+    assert [[tuple(s) for s in r.removed] for r in got] == [[(0, 16)], [(0, 16)]]
+
+
 def test_column_order_finds_neighbours():
     strings = [b"xxabcd", b"yyabcd", b"zzabce", b"qqabcd"]
     again = repeats.sort_columns(strings, np.array([2, 2, 2, 2]), np.array([0, 0, 0, 1]), 4)

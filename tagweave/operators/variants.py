@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagweave.functions.orderstats import exact_quantiles
-from tagweave.functions.scans import ordered_scan, running_sum
+from tagweave.functions.scans import BUCKET
 from tagweave.functions.skew import lookup
 from tagweave.operators.intervals import overlap_join
 from tagweave.session import checkpointed
@@ -21,15 +21,13 @@ NO_PHASE_SET = -1
 
 def index_variants(variants: DataFrame) -> DataFrame:
     """Add ``idx``: 1-based record number per chromosome by position, before any filter."""
-    per_pos = variants.groupBy("chrom", "pos").agg(F.count(F.lit(1)).alias("_n"))
-    upto = ordered_scan(per_pos, ["chrom"], "pos", INDEX_WIDTH, _upto=running_sum(F.col("_n")))
-    # Records sharing a position are the few alternative descriptions of one site.
-    place = F.row_number().over(Window.partitionBy("chrom", "pos").orderBy("ref", "alts"))
-    return (
-        variants.join(upto, ["chrom", "pos"])
-        .withColumn("idx", F.col("_upto") - F.col("_n") + place)
-        .drop("_upto", "_n")
-    )
+    rows = variants.where("chrom IS NOT NULL AND pos IS NOT NULL").withColumn(BUCKET, F.floor(F.col("pos") / F.lit(INDEX_WIDTH)))
+    counts = rows.groupBy("chrom", BUCKET).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("chrom").orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("chrom", BUCKET, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    # Records are moved once; those sharing a position are the few alternative descriptions of one site.
+    place = F.row_number().over(Window.partitionBy("chrom", BUCKET).orderBy("pos", "ref", "alts"))
+    return rows.join(offsets, ["chrom", BUCKET]).withColumn("idx", F.col("_before") + place).drop("_before", BUCKET)
 
 
 def alleles() -> Column:

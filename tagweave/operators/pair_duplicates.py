@@ -7,11 +7,13 @@ records of a name are a pair, known by both ends in order; other mapped primary
 * A fragment at an end that a pair has, too, is a duplicate; of fragments alone at an end all but the best are.
 * Unmapped, secondary and supplementary records are never marked; earlier marks are taken away.
 
-Best reads are partial minima by end, so places of great depth are no group of rows anywhere, and reads are only moved to be flagged.
+Best reads are partial minima by end, so places of great depth are no group of rows anywhere. Ends are moved once by name, and reads only to be flagged.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -65,31 +67,72 @@ def _examined() -> Column:
 
 
 def _ends(reads: DataFrame, barcode: str | None) -> DataFrame:
+    """``reads`` with ``_end``: place, strand, chromosome and barcode as one short text (the length of the chromosome's name parts both)."""
     code = F.coalesce(F.col(barcode), F.lit("")) if barcode else F.lit("")
-    end = F.struct(F.col("rname"), unclipped_end().alias("place"), (F.col("flag").bitwiseAND(REVERSE) != 0).alias("reverse"), code.alias("code"))
+    strand = F.when(F.col("flag").bitwiseAND(REVERSE) == 0, F.lit("+")).otherwise(F.lit("-"))
+    end = F.concat(unclipped_end().cast("string"), strand, F.length("rname").cast("string"), F.lit(":"), F.col("rname"), code)
     return reads.withColumn("_end", F.when(_examined(), end))
 
 
+def _units(rows: DataFrame) -> DataFrame:
+    """(qname, low, high, score): a row per pair, by both ends, and one per record of other names, whose ``high`` is NULL.
+
+    Rows are moved once, by name, and read in order; of a name that may go on two rows are held at most.
+    """
+    placed = rows.where("qname IS NOT NULL").select("qname", "_end", "score").repartition("qname").sortWithinPartitions("qname", "_end")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Rows of the last name, and whether it has had more than two.
+        kept, crowded = [pa.array([], kind) for kind in (pa.string(), pa.string(), pa.int64())], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            joined = [pa.concat_arrays([k, c]) for k, c in zip(kept, batch.columns)]
+            names = pc.dictionary_encode(joined[0]).indices.to_numpy(zero_copy_only=False)
+            name = np.concatenate(([0], np.cumsum(names[1:] != names[:-1])))
+            counts = np.bincount(name)
+            if crowded is not None and joined[0][0].as_py() == crowded:
+                counts[0] += 2
+            # Records of the last name are told once it has more than two.
+            last = int(name[-1])
+            crowded = joined[0][len(name) - 1].as_py() if counts[last] > 2 else None
+            done = len(name) if crowded is not None else int(np.searchsorted(name, last))
+            kept = [c.slice(done) for c in joined]
+            yield told([c.slice(0, done) for c in joined], counts[name[:done]])
+        yield told(kept, np.full(len(kept[0]), len(kept[0])))
+
+    def told(rows: list[pa.Array], counts: np.ndarray) -> pa.RecordBatch:
+        """Units of whole names, or of records of crowded ones; ``counts`` has the size of each row's name."""
+        pair = np.flatnonzero(counts == 2)
+        first, second = pair[::2], pair[1::2]
+        score = rows[2].to_numpy(zero_copy_only=False).copy()
+        score[first] += score[second]
+        high = np.full(len(counts), -1)
+        high[first] = second
+        chosen = np.flatnonzero((counts != 2) | (high >= 0))
+        at, other = pa.array(chosen), pa.array(high[chosen], mask=high[chosen] < 0)
+        return pa.RecordBatch.from_arrays([rows[0].take(at), rows[1].take(at), rows[1].take(other), pa.array(score[chosen])], names=["qname", "low", "high", "score"])
+
+    return placed.mapInArrow(work, "qname string, low string, high string, score long")
+
+
 def mark_pair_duplicates(reads: DataFrame, barcode: str | None = "bx") -> DataFrame:
     """``reads`` with bit 1024 of ``flag`` set for duplicates and unset for all others; ``barcode`` None compares across barcodes."""
     placed = _ends(reads, barcode)
-    rows = placed.where("_end IS NOT NULL").select("qname", "_end", quality_sum().alias("score"))
-    names = checkpointed(
-        rows.groupBy("qname").agg(
-            F.count(F.lit(1)).alias("n"), F.min("_end").alias("low"), F.max("_end").alias("high"), F.sum("score").alias("score")
-        )
-    )
+    units = checkpointed(_units(placed.where("_end IS NOT NULL").select("qname", "_end", quality_sum().alias("score"))))
     rank = F.struct((-F.col("score")).alias("order"), "qname")
-    pairs = names.where("n = 2")
+    pairs, single = units.where("high IS NOT NULL"), units.where("high IS NULL").select("qname", F.col("low").alias("_end"), "score")
     best = pairs.groupBy("low", "high").agg(F.min(rank).alias("best")).select("low", "high", F.col("best.qname").alias("_keep"))
-    beaten = lookup(pairs, best, ["low", "high"]).where("qname <> _keep").select("qname", F.explode(F.array("low", "high")).alias("_end"))
-    # Names of one record, or of more than two, stand for single fragments.
-    single = lookup(rows, names.select("qname", "n"), "qname").where("n <> 2")
-    with_pair = pairs.select(F.explode(F.array("low", "high")).alias("_end")).distinct().withColumn("_paired", F.lit(True))
-    alone = single.groupBy("_end").agg(F.min(rank).alias("best")).select("_end", F.col("best.qname").alias("_keep"))
-    judged = lookup(lookup(single, alone, "_end"), with_pair, "_end")
-    lost = judged.where("_paired OR qname <> _keep").select("qname", "_end")
-    marks = beaten.unionByName(lost).distinct().withColumn("_again", F.lit(True))
+    both = F.explode(F.array_distinct(F.array("low", "high"))).alias("_end")
+    beaten = lookup(pairs.select("qname", "low", "high"), best, ["low", "high"]).where("qname <> _keep").select("qname", both)
+    # What is known of an end: the best fragment there, and whether a pair has it.
+    at_end = single.select("_end", rank.alias("rank"), F.lit(False).alias("paired")).unionByName(
+        pairs.select(both, F.lit(None).cast(single.select(rank.alias("rank")).schema["rank"].dataType).alias("rank"), F.lit(True).alias("paired"))
+    )
+    ends = at_end.groupBy("_end").agg(F.min("rank").alias("best"), F.max("paired").alias("_paired")).select("_end", F.col("best.qname").alias("_keep"), "_paired")
+    lost = lookup(single.select("qname", "_end"), ends, "_end").where("_paired OR qname <> _keep").select("qname", "_end")
+    # One row each: pairs by both ends, fragments by theirs.
+    marks = beaten.unionByName(lost.distinct()).withColumn("_again", F.lit(True))
     told = lookup(placed, marks, ["qname", "_end"])
     bare = F.col("flag").bitwiseAND(~DUPLICATE)
     flag = F.when(F.col("_again"), bare.bitwiseOR(DUPLICATE)).otherwise(bare)

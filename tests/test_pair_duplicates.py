@@ -92,3 +92,35 @@ def test_quality_sums_are_taken_a_batch_at_a_time(spark):
     assert summed.where("i < 0").count() == 0
     # No step for every character of every read.
     assert "lambdafunction" not in summed._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_names_over_batches_and_one_move_by_name(spark):
+    """Names of one, two and many records, three rows a batch: pairs by both ends, others a record each."""
+    choose = random.Random(7)
+    rows = [(f"n{k:02d}", f"e{choose.randint(0, 9)}", choose.randint(0, 50)) for k in range(30) for _ in range(choose.choice([1, 2, 2, 3, 11]))]
+    frame = spark.createDataFrame([*rows, (None, "e1", 5)], "qname string, _end string, score long").repartition(2)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        units = pd_._units(frame)
+        got = sorted((tuple(r) for r in units.collect()), key=str)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    held = defaultdict(list)
+    for name, end, score in rows:
+        held[name].append((end, score))
+    want = []
+    for name, group in held.items():
+        if len(group) == 2:
+            want.append((name, min(group)[0], max(group)[0], sum(s for _, s in group)))
+        else:
+            want += [(name, end, None, score) for end, score in group]
+    assert got == sorted(want, key=str)
+    plan = units._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan and plan.count("RepartitionByExpression [qname") == 1
+
+
+def test_ends_are_told_apart(spark):
+    """Chromosomes and barcodes whose texts join to the same string are different ends."""
+    rows = [("a", 0, "c1", 5, 9, "4M", None, "2x"), ("b", 0, "c12", 5, 9, "4M", None, "x"), ("d", 16, "c1", 2, 6, "4M", None, "2x"), ("e", 0, "c1", 5, 9, "4M", "IIII", "2x")]
+    marked = {r.qname: r.flag & 1024 for r in pd_.mark_pair_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert marked == {"a": 1024, "b": 0, "d": 0, "e": 0}
